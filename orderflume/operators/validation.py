@@ -138,13 +138,9 @@ def validate_table(df: DataFrame, spec: TableSpec, text_numbers: bool = False) -
     repeated_names = sorted({c for c in df.columns if df.columns.count(c) > 1})
     if repeated_names:
         df = df.toDF(*[c if df.columns.index(c) == i else f"{c}_{i}" for i, c in enumerate(df.columns)])
-    if not is_collapsed(df):
-        df = collapse(df)
-    rows = F.coalesce(F.sum(COPIES), F.lit(0)).cast("bigint")
-
     missing = _schema_findings(df, spec)
     if missing:
-        counted = df.agg(rows.alias("rows"))
+        counted = df.agg(F.count(F.lit(1)).alias("rows"))
         empty = F.col("rows") == 0
         return _findings(
             counted,
@@ -153,6 +149,9 @@ def validate_table(df: DataFrame, spec: TableSpec, text_numbers: bool = False) -
             spec.name,
         )
 
+    if not is_collapsed(df):
+        df = collapse(df)
+    rows = F.coalesce(F.sum(COPIES), F.lit(0)).cast("bigint")
     key = list(spec.primary_key)
     counts: list[tuple[str, str | None, str, Column]] = [
         ("null_primary_key", None, WARNING, _rows_where(any_null(key)))
