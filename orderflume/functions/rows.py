@@ -1,22 +1,19 @@
-"""Row-level predicates over a list of columns."""
+"""Row-level expressions over a list of columns."""
 
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
-from operator import or_
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 
-def any_of(conditions: Iterable[Column]) -> Column:
-    return reduce(or_, conditions, F.lit(False))
+def any_of(conditions: Iterable[str]) -> str:
+    return " or ".join(f"({c})" for c in conditions) or "false"
 
 
-def any_null(columns: Iterable[str]) -> Column:
-    return any_of(F.col(c).isNull() for c in columns)
+def any_null(columns: Iterable[str]) -> str:
+    return any_of(f"{c} is null" for c in columns)
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -26,7 +23,7 @@ def numeric_columns(df: DataFrame) -> list[str]:
 def naive_timestamps(df: DataFrame) -> DataFrame:
     """Every zoned timestamp column as microsecond ``timestamp_ntz``; no-op without one."""
     zoned = [f.name for f in df.schema if isinstance(f.dataType, T.TimestampType)]
-    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in zoned}) if zoned else df
+    return df.withColumns({c: df[c].cast("timestamp_ntz") for c in zoned}) if zoned else df
 
 
 def frozen(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -34,4 +31,6 @@ def frozen(df: DataFrame, schema: T.StructType) -> DataFrame:
     missing = sorted(set(schema.names) - set(df.columns))
     if missing:
         raise RuntimeError(f"missing required columns: {missing}")
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+    return df.selectExpr(
+        *[f"cast({f.name} as {f.dataType.simpleString()}) as {f.name}" for f in schema]
+    )

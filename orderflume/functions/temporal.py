@@ -1,39 +1,42 @@
-"""Timestamp expressions. All of them are free of the session time zone."""
+"""Timestamp expressions, as SQL text. None depends on the session time zone.
+
+Text keeps plan building cheap: a whole projection goes to the JVM in one call.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from orderflume.model import DATE_OR_DATE_TIME, TIMESTAMP_TEXT
 
 
-def parse_timestamp(name: str, source: T.DataType) -> Column:
+def parsed(df: DataFrame, name: str) -> str:
     """Column as ``timestamp_ntz``; text outside the column's format becomes null."""
-    column = F.col(name)
-    if isinstance(source, T.StringType):
-        text = TIMESTAMP_TEXT.get(name, DATE_OR_DATE_TIME)
-        return F.when(column.rlike(text), column.try_cast("timestamp_ntz"))
-    return column.cast("timestamp_ntz")
+    if isinstance(df.schema[name].dataType, T.StringType):
+        pattern = TIMESTAMP_TEXT.get(name, DATE_OR_DATE_TIME)
+        return f"case when {name} rlike '{pattern}' then try_cast({name} as timestamp_ntz) end"
+    return f"cast({name} as timestamp_ntz)"
 
 
-def whole_days(later: str, earlier: str) -> Column:
+def whole_days(later: str, earlier: str) -> str:
     """Full 24-hour days between two timestamps, cut toward zero (-36 h is -1)."""
-    return F.extract(F.lit("DAY"), F.col(later) - F.col(earlier)).cast("int")
+    return f"extract(day from ({later} - {earlier}))"
 
 
-def day_floor(name: str) -> Column:
-    return F.col(name).cast("date").cast("timestamp_ntz")
+def day_floor(name: str) -> str:
+    return f"cast(cast({name} as date) as timestamp_ntz)"
 
 
-def week_start(name: str) -> Column:
+def week_start(name: str) -> str:
     """Monday 00:00 of the ISO week."""
-    return F.trunc(F.col(name).cast("date"), "week").cast("timestamp_ntz")
+    return f"cast(trunc(cast({name} as date), 'week') as timestamp_ntz)"
 
 
-def iso_year_week(name: str) -> Column:
+def iso_year_week(name: str) -> str:
     """``2020-W53`` style week label; labels sort in time order."""
-    day = F.col(name).cast("date")
-    year = F.extract(F.lit("YEAROFWEEK"), day).cast("string")
-    return F.concat(F.lpad(year, 4, "0"), F.lit("-W"), F.lpad(F.weekofyear(day).cast("string"), 2, "0"))
+    day = f"cast({name} as date)"
+    return (
+        f"concat(lpad(cast(extract(yearofweek from {day}) as string), 4, '0'), '-W',"
+        f" lpad(cast(weekofyear({day}) as string), 2, '0'))"
+    )

@@ -111,9 +111,9 @@ TABLES: dict[str, TableSpec] = {
 }
 
 # Accepted text of a timestamp column; anything else is unparsable.
-DATE_TIME = r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$"
-DATE_ONLY = r"^\d{4}-\d{1,2}-\d{1,2}$"
-DATE_OR_DATE_TIME = r"^\d{4}-\d{1,2}-\d{1,2}( \d{1,2}:\d{1,2}:\d{1,2})?$"
+DATE_TIME = "^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} [0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}$"
+DATE_ONLY = "^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
+DATE_OR_DATE_TIME = "^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}( [0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2})?$"
 TIMESTAMP_TEXT = {
     "order_purchase_timestamp": DATE_TIME,
     "order_approved_at": DATE_TIME,
@@ -124,7 +124,7 @@ REQUIRED_TIMESTAMPS = list(TIMESTAMP_TEXT)
 
 # Ids that get an integer surrogate. A table holds the id if its schema names it.
 SURROGATE_KEYS = ("order_id", "customer_id", "product_id", "seller_id")
-MAX_SURROGATE = 2**32 - 1
+MAX_SURROGATE = 2**32 - 2  # unsigned 32-bit, less the one value that marks a missing id
 
 ASSEMBLED = T.StructType(
     [

@@ -10,13 +10,14 @@ from orderflume.functions.rows import frozen
 from orderflume.functions.temporal import day_floor, iso_year_week, whole_days
 from orderflume.model import ASSEMBLED
 
-_HALF, _LOW = 2**31, 2**32 - 1
+# Surrogates are unsigned 32-bit numbers; the top value is never given out.
+_HALF, _LOW, _MISSING = f"{2**31}L", f"{2**32 - 1}L", f"{2**32 - 1}L"
 
 
 def payments_by_order(payments: DataFrame) -> DataFrame:
     """Paid total per order; an order with only unknown amounts has paid 0."""
     return payments.groupBy("order_id_int").agg(
-        F.coalesce(F.sum(F.col("payment_value").cast("double")), F.lit(0.0)).alias("order_revenue")
+        F.expr("coalesce(sum(cast(payment_value as double)), 0D) as order_revenue")
     )
 
 
@@ -25,16 +26,17 @@ def items_by_order(items: DataFrame) -> DataFrame:
 
     Both are unsigned 32-bit numbers, so the pair is compared as one signed bigint. That
     keeps the aggregate in a hash map, where ``min(struct)`` would sort every partition.
-    Surrogates start at 1, which leaves 0 for a missing one.
+    A missing surrogate takes the unused top value, so known pairs come first.
     """
-    product = F.coalesce(F.col("product_id_int"), F.lit(0)).cast("bigint")
-    seller = F.coalesce(F.col("seller_id_int"), F.lit(0)).cast("bigint")
-    pair = F.shiftleft(product - _HALF, 32).bitwiseOR(seller)
-    lowest = items.groupBy("order_id_int").agg(F.min(pair).alias("_pair"))
-    return lowest.select(
+    pair = (
+        f"shiftleft(coalesce(cast(product_id_int as bigint), {_MISSING}) - {_HALF}, 32)"
+        f" | coalesce(cast(seller_id_int as bigint), {_MISSING})"
+    )
+    lowest = items.groupBy("order_id_int").agg(F.expr(f"min({pair}) as _pair"))
+    return lowest.selectExpr(
         "order_id_int",
-        F.nullif(F.shiftright("_pair", 32) + _HALF, F.lit(0)).alias("product_id_int"),
-        F.nullif(F.col("_pair").bitwiseAND(_LOW), F.lit(0)).alias("seller_id_int"),
+        f"nullif(shiftright(_pair, 32) + {_HALF}, {_MISSING}) as product_id_int",
+        f"nullif(_pair & {_LOW}, {_MISSING}) as seller_id_int",
     )
 
 
@@ -63,17 +65,19 @@ def merge_tables(orders: DataFrame, items: DataFrame, payments: DataFrame) -> Da
 
 def derive_fields(merged: DataFrame) -> DataFrame:
     """Day counts between the milestones, the order day and its ISO week."""
-    return merged.withColumns(
-        {
-            "lead_time_days": whole_days("order_delivered_timestamp", "order_approved_at").cast("short"),
-            "approval_lag_days": whole_days("order_approved_at", "order_purchase_timestamp").cast("short"),
-            "delivery_delay_days": whole_days(
-                "order_delivered_timestamp", "order_estimated_delivery_date"
-            ).cast("short"),
-            "order_date": day_floor("order_purchase_timestamp"),
-            "order_year_week": iso_year_week("order_purchase_timestamp"),
-        }
-    ).drop("order_estimated_delivery_date")
+    days = {
+        "lead_time_days": whole_days("order_delivered_timestamp", "order_approved_at"),
+        "approval_lag_days": whole_days("order_approved_at", "order_purchase_timestamp"),
+        "delivery_delay_days": whole_days(
+            "order_delivered_timestamp", "order_estimated_delivery_date"
+        ),
+    }
+    return merged.selectExpr(
+        *[c for c in merged.columns if c != "order_estimated_delivery_date"],
+        *[f"cast({days_between} as smallint) as {name}" for name, days_between in days.items()],
+        f"{day_floor('order_purchase_timestamp')} as order_date",
+        f"{iso_year_week('order_purchase_timestamp')} as order_year_week",
+    )
 
 
 def assemble_events(orders: DataFrame, items: DataFrame, payments: DataFrame) -> DataFrame:
@@ -82,6 +86,6 @@ def assemble_events(orders: DataFrame, items: DataFrame, payments: DataFrame) ->
 
 def dimension_reference(df: DataFrame, key: str, schema: T.StructType) -> DataFrame:
     """One row per key; of the rows a key has in several deltas the lowest one is kept."""
-    rest = [c for c in schema.names if c != key]
-    chosen = df.groupBy(key).agg(F.min(F.struct(*rest)).alias("_row"))
+    rest = ", ".join(c for c in schema.names if c != key)
+    chosen = df.groupBy(key).agg(F.expr(f"min(struct({rest})) as _row"))
     return frozen(chosen.select(key, "_row.*"), schema)

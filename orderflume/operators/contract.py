@@ -10,12 +10,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderflume.functions.rows import any_null, any_of
-from orderflume.functions.temporal import parse_timestamp
+from orderflume.functions.temporal import parsed
 from orderflume.model import (
     ENTITY_REFERENCE,
     EVENT_FACT,
@@ -50,7 +50,7 @@ def collapse(df: DataFrame) -> DataFrame:
 
     Copies merge before the shuffle, so a row repeated a billion times ships once per task.
     """
-    return df.groupBy(*data_columns(df)).agg(F.count(F.lit(1)).alias(COPIES))
+    return df.groupBy(*data_columns(df)).agg(F.expr(f"count(1) as {COPIES}"))
 
 
 def deduplicate(df: DataFrame) -> DataFrame:
@@ -60,25 +60,21 @@ def deduplicate(df: DataFrame) -> DataFrame:
 # --- row rules --------------------------------------------------------------------------
 
 
-def _parsed(df: DataFrame, name: str) -> Column:
-    return parse_timestamp(name, df.schema[name].dataType)
-
-
-def unparsable_timestamp(df: DataFrame) -> Column:
+def unparsable_timestamp(df: DataFrame) -> str:
     """A required timestamp is null or not in its format."""
-    return any_of(_parsed(df, c).isNull() for c in REQUIRED_TIMESTAMPS if c in df.columns)
+    return any_of(f"{parsed(df, c)} is null" for c in REQUIRED_TIMESTAMPS if c in df.columns)
 
 
-def impossible_timestamp(df: DataFrame) -> Column:
+def impossible_timestamp(df: DataFrame) -> str:
     """Approved or delivered before the purchase; unknown times do not count."""
-    purchase = _parsed(df, "order_purchase_timestamp")
-    early = (_parsed(df, "order_approved_at") < purchase) | (
-        _parsed(df, "order_delivered_timestamp") < purchase
+    purchase = parsed(df, "order_purchase_timestamp")
+    early = any_of(
+        f"{parsed(df, c)} < {purchase}" for c in ("order_approved_at", "order_delivered_timestamp")
     )
-    return F.coalesce(early, F.lit(False))
+    return f"coalesce({early}, false)"
 
 
-def null_violation(columns: list[str]) -> Column:
+def null_violation(columns: list[str]) -> str:
     return any_null(columns)
 
 
@@ -89,36 +85,37 @@ RULES_BY_ROLE = {
 }
 
 
-def row_reason(df: DataFrame, spec: TableSpec) -> Column:
+def row_reason(df: DataFrame, spec: TableSpec) -> str:
     """First row rule of the table's role that a row breaks, else null."""
     predicates = {
-        UNPARSABLE: lambda: unparsable_timestamp(df),
-        IMPOSSIBLE: lambda: impossible_timestamp(df),
-        NULLS: lambda: null_violation(spec.non_nullable),
+        UNPARSABLE: unparsable_timestamp,
+        IMPOSSIBLE: impossible_timestamp,
+        NULLS: lambda _: null_violation(spec.non_nullable),
     }
-    reason = F.lit(None).cast("string")
-    for rule in reversed(RULES_BY_ROLE[spec.role]):
-        if rule in predicates:
-            reason = F.when(predicates[rule](), F.lit(rule)).otherwise(reason)
-    return reason
+    cases = [
+        f"when {predicates[rule](df)} then '{rule}'"
+        for rule in RULES_BY_ROLE[spec.role]
+        if rule in predicates
+    ]
+    return f"case {' '.join(cases)} end"
 
 
 def flag_rows(raw: DataFrame, spec: TableSpec) -> DataFrame:
     """Collapsed table with the outcome of its row rules: one shuffle, done once per run."""
     collapsed = collapse(raw)
-    return collapsed.withColumn(REASON, row_reason(collapsed, spec))
+    return collapsed.selectExpr("*", f"{row_reason(collapsed, spec)} as {REASON}")
 
 
 def kept(flagged: DataFrame) -> DataFrame:
-    return flagged.where(F.col(REASON).isNull())
+    return flagged.where(f"{REASON} is null")
 
 
-def keep_rows(df: DataFrame, violation: Column) -> DataFrame:
+def keep_rows(df: DataFrame, violation: str) -> DataFrame:
     """Rows that do not break a rule."""
-    return df.where(~violation)
+    return df.where(f"not ({violation})")
 
 
-def rejected_ids(df: DataFrame, violation: Column) -> DataFrame:
+def rejected_ids(df: DataFrame, violation: str) -> DataFrame:
     """Distinct order ids of the rows that do."""
     return df.where(violation).select("order_id").distinct()
 
@@ -133,22 +130,20 @@ def order_membership(orders: DataFrame, *children: DataFrame) -> DataFrame:
     is forward only, so pass the ones that come before the table to be pruned.
     """
     frames = [
-        orders.select(
-            "order_id",
-            F.col(REASON).isNull().alias("_valid"),
-            F.col(REASON).isNotNull().alias("_invalid"),
+        orders.selectExpr(
+            "order_id", f"{REASON} is null as _valid", f"{REASON} is not null as _invalid"
         )
     ] + [
-        child.where(F.col(REASON).isNotNull()).select(
-            "order_id", F.lit(False).alias("_valid"), F.lit(True).alias("_invalid")
+        child.where(f"{REASON} is not null").selectExpr(
+            "order_id", "false as _valid", "true as _invalid"
         )
         for child in children
     ]
     return (
         reduce(DataFrame.unionByName, frames)
-        .where(F.col("order_id").isNotNull())
+        .where("order_id is not null")
         .groupBy("order_id")
-        .agg(F.bool_or("_valid").alias("_valid"), F.bool_or("_invalid").alias("_invalid"))
+        .agg(F.expr("bool_or(_valid) as _valid"), F.expr("bool_or(_invalid) as _invalid"))
     )
 
 
@@ -165,38 +160,36 @@ def has_parents(membership: DataFrame) -> bool:
     return not membership.where("_valid").isEmpty()
 
 
-def _child_reason(check_parent: bool) -> Column:
-    reason = F.when(F.coalesce(F.col("_invalid"), F.lit(False)), F.lit(CASCADE))
-    if check_parent:
-        reason = reason.when(~F.coalesce(F.col("_valid"), F.lit(False)), F.lit(ORPHAN))
-    return reason
+def _child_reason(check_parent: bool) -> str:
+    orphan = f"when not coalesce(_valid, false) then '{ORPHAN}'" if check_parent else ""
+    return f"case when coalesce(_invalid, false) then '{CASCADE}' {orphan} end"
 
 
 def prune_children(flagged: DataFrame, membership: DataFrame, check_parent: bool) -> DataFrame:
     """Rows of a flagged child table that pass both the cascade and the parent rule."""
     candidates = kept(flagged)
     joined = lookup_join(candidates, membership, "order_id")
-    return joined.where(_child_reason(check_parent).isNull()).select(candidates.columns)
+    return joined.where(f"{_child_reason(check_parent)} is null").select(candidates.columns)
+
+
+def _flag(ids: DataFrame) -> DataFrame:
+    return ids.where("order_id is not null").select("order_id").distinct().selectExpr(
+        "order_id", "true as _listed"
+    )
 
 
 def cascade_drop(df: DataFrame, invalid: DataFrame) -> DataFrame:
     """Rows whose order id is known and not among the rejected ones."""
-    flags = invalid.where(F.col("order_id").isNotNull()).groupBy("order_id").agg(
-        F.lit(True).alias("_invalid")
-    )
-    joined = lookup_join(df.where(F.col("order_id").isNotNull()), flags, "order_id")
-    return joined.where(F.col("_invalid").isNull()).select(df.columns)
+    joined = lookup_join(df.where("order_id is not null"), _flag(invalid), "order_id")
+    return joined.where("_listed is null").select(df.columns)
 
 
 def enforce_parent(df: DataFrame, valid: DataFrame) -> DataFrame:
     """Rows whose order id is among the surviving ones; no-op when there are none."""
     if valid.isEmpty():
         return df
-    flags = valid.where(F.col("order_id").isNotNull()).groupBy("order_id").agg(
-        F.lit(True).alias("_valid")
-    )
-    joined = lookup_join(df, flags, "order_id")
-    return joined.where(F.col("_valid").isNotNull()).select(df.columns)
+    joined = lookup_join(df, _flag(valid), "order_id")
+    return joined.where("_listed is not null").select(df.columns)
 
 
 # --- schema -----------------------------------------------------------------------------
@@ -207,11 +200,11 @@ def conform(df: DataFrame, spec: TableSpec) -> DataFrame:
     missing = [c for c in spec.required if c not in df.columns]
     if missing:
         raise RuntimeError(f"{spec.name}: missing required columns: {missing}")
-    return df.select(
-        [
-            _parsed(df, f.name).alias(f.name)
+    return df.selectExpr(
+        *[
+            f"{parsed(df, f.name)} as {f.name}"
             if isinstance(f.dataType, T.TimestampNTZType)
-            else F.col(f.name).cast(f.dataType).alias(f.name)
+            else f"cast({f.name} as {f.dataType.simpleString()}) as {f.name}"
             for f in spec.schema
         ]
     )
@@ -231,43 +224,22 @@ def contract_metrics(
     A child table is summed per order id before it meets the membership, so both sides of
     that join hold each id once, however many rows an order has.
     """
-
-    def removed(*conditions: tuple[str, Column]) -> list[Column]:
-        counted = dict(conditions)
-        return [
-            F.coalesce(F.sum(counted[r]), F.lit(0)).cast("bigint").alias(r)
-            if r in counted
-            else F.lit(0).cast("bigint").alias(r)
-            for r in REASONS
-        ]
-
-    def count_of(reason: str) -> Column:
-        return F.when(F.col(REASON) == reason, F.col("_rows")).otherwise(0)
-
-    if membership is None:
-        counts = flagged.groupBy(REASON).agg(
-            F.count(F.lit(1)).alias("_rows"), F.sum(COPIES).alias(COPIES)
-        )
-    else:
-        per_order = flagged.groupBy("order_id", REASON).agg(
-            F.count(F.lit(1)).alias("_rows"), F.sum(COPIES).alias(COPIES)
-        )
-        counts = per_order.join(membership, "order_id", "left").withColumn(
-            REASON, F.coalesce(F.col(REASON), _child_reason(check_parent))
-        )
-    totals = counts.agg(
-        F.coalesce(F.sum(COPIES), F.lit(0)).cast("bigint").alias("initial_rows"),
-        F.coalesce(F.sum(F.col(COPIES) - F.col("_rows")), F.lit(0))
-        .cast("bigint")
-        .alias("deduplicated_rows"),
-        *removed(*[(r, count_of(r)) for r in RULES_BY_ROLE[spec.role]]),
-        F.coalesce(F.sum(F.when(F.col(REASON).isNull(), F.col("_rows"))), F.lit(0))
-        .cast("bigint")
-        .alias("final_rows"),
+    keys = [REASON] if membership is None else ["order_id", REASON]
+    counts = flagged.groupBy(*keys).agg(
+        F.expr("count(1) as _rows"), F.expr(f"sum({COPIES}) as {COPIES}")
     )
+    if membership is not None:
+        counts = counts.join(membership, "order_id", "left").selectExpr(
+            "_rows", COPIES, f"coalesce({REASON}, {_child_reason(check_parent)}) as {REASON}"
+        )
     cut = len(data_columns(flagged)) - len(spec.required)
-    return totals.select(
-        F.lit(spec.name).alias("table_name"), "*", F.lit(cut).cast("bigint").alias("removed_column")
+    return counts.selectExpr(
+        f"'{spec.name}' as table_name",
+        f"coalesce(sum({COPIES}), 0L) as initial_rows",
+        f"coalesce(sum({COPIES} - _rows), 0L) as deduplicated_rows",
+        *[f"coalesce(sum(case when {REASON} = '{r}' then _rows end), 0L) as {r}" for r in REASONS],
+        f"coalesce(sum(case when {REASON} is null then _rows end), 0L) as final_rows",
+        f"{cut}L as removed_column",
     )
 
 

@@ -26,10 +26,10 @@ def broadcast_limit(df: DataFrame) -> int:
 def hot_keys(df: DataFrame, key: str) -> DataFrame:
     """The most frequent keys that are frequent at all; at most HOT_KEYS rows."""
     return (
-        df.where(F.col(key).isNotNull())
+        df.where(f"{key} is not null")
         .groupBy(key)
         .count()
-        .where(F.col("count") >= HOT_MIN_ROWS)
+        .where(f"count >= {HOT_MIN_ROWS}")
         .orderBy(F.desc("count"), key)
         .limit(HOT_KEYS)
         .select(key)
@@ -52,17 +52,18 @@ def lookup_join(df: DataFrame, lookup: DataFrame, key: str, *, small: int | None
     values = [c for c in lookup.columns if c != key]
     hot = hot_keys(df, key)
     hot_rows = lookup.join(F.broadcast(hot), key, "left_semi")
-    answers = hot.join(F.broadcast(hot_rows), key, "left").select(
-        key, F.lit(True).alias("_hot"), *[F.col(v).alias(f"_hot_{v}") for v in values]
+    answers = hot.join(F.broadcast(hot_rows), key, "left").selectExpr(
+        key, "true as _hot", *[f"{v} as _hot_{v}" for v in values]
     )
     spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    salt = F.when(
-        F.col("_hot").isNotNull() | F.col(key).isNull(),
-        F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(spread)) + 1,
-    ).otherwise(F.lit(0).cast("bigint"))
-    marked = df.join(F.broadcast(answers), key, "left").withColumn("_salt", salt)
+    row = ", ".join(f"`{c}`" for c in df.columns)
+    marked = df.join(F.broadcast(answers), key, "left").selectExpr(
+        "*",
+        f"case when _hot or {key} is null then 1L + pmod(xxhash64({row}), {spread}L)"
+        " else 0L end as _salt",
+    )
     # Lookup rows all carry salt 0: spread rows meet none of them and stay where they are.
-    joined = marked.join(lookup.withColumn("_salt", F.lit(0).cast("bigint")), [key, "_salt"], "left")
-    return joined.select(
-        *df.columns, *[F.coalesce(F.col(f"_hot_{v}"), F.col(v)).alias(v) for v in values]
+    joined = marked.join(lookup.selectExpr("*", "0L as _salt"), [key, "_salt"], "left")
+    return joined.selectExpr(
+        *[f"`{c}`" for c in df.columns], *[f"coalesce(_hot_{v}, {v}) as {v}" for v in values]
     )

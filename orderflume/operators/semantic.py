@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderflume.functions.rows import frozen
@@ -10,8 +12,19 @@ from orderflume.functions.temporal import week_start
 from orderflume.model import SELLER_DIM, dimension_schema, weekly_fact_schema
 
 
-def _total(name: str) -> Column:
-    return F.coalesce(F.sum(name), F.lit(0))
+# Weekly measures by name. A sum of nothing known is 0, an average of nothing is null.
+MEASURES = {
+    "week_start_date": f"min({week_start('order_date')})",
+    "weekly_order_count": "count(order_id_int)",
+    "weekly_delivered_orders": "count_if(order_status = 'delivered')",
+    "weekly_cancelled_orders": "count_if(order_status = 'cancelled')",
+    "weekly_revenue": "coalesce(sum(cast(order_revenue as double)), 0D)",
+    "weekly_avg_lead_time": "avg(lead_time_days)",
+    "weekly_total_lead_time": "coalesce(sum(lead_time_days), 0L)",
+    "weekly_avg_delivery_delay": "avg(delivery_delay_days)",
+    "weekly_total_delivery_delay": "coalesce(sum(delivery_delay_days), 0L)",
+    "weekly_avg_approval_lag": "avg(approval_lag_days)",
+}
 
 
 def weekly_fact(events: DataFrame, entity: str) -> DataFrame:
@@ -19,22 +32,8 @@ def weekly_fact(events: DataFrame, entity: str) -> DataFrame:
 
     A dominant seller costs one partial row per task and week, not its events.
     """
-    key = f"{entity}_id_int"
-    return (
-        events.withColumn("_week_start", week_start("order_date"))
-        .groupBy(key, "order_year_week")
-        .agg(
-            F.min("_week_start").alias("week_start_date"),
-            F.count("order_id_int").alias("weekly_order_count"),
-            F.count_if(F.col("order_status") == "delivered").alias("weekly_delivered_orders"),
-            F.count_if(F.col("order_status") == "cancelled").alias("weekly_cancelled_orders"),
-            F.coalesce(F.sum(F.col("order_revenue").cast("double")), F.lit(0.0)).alias("weekly_revenue"),
-            F.avg("lead_time_days").alias("weekly_avg_lead_time"),
-            _total("lead_time_days").alias("weekly_total_lead_time"),
-            F.avg("delivery_delay_days").alias("weekly_avg_delivery_delay"),
-            _total("delivery_delay_days").alias("weekly_total_delivery_delay"),
-            F.avg("approval_lag_days").alias("weekly_avg_approval_lag"),
-        )
+    return events.groupBy(f"{entity}_id_int", "order_year_week").agg(
+        *[F.expr(f"{measure} as {name}") for name, measure in MEASURES.items()]
     )
 
 
@@ -44,17 +43,16 @@ def seller_dim(events: DataFrame) -> DataFrame:
     Week labels are compared as numbers (``2020-W53`` as 202053), which order the same and,
     unlike text, aggregate in a hash map.
     """
-    week = F.replace(F.col("order_year_week"), F.lit("-W"), F.lit("")).cast("int")
     firsts = events.groupBy("seller_id_int").agg(
-        F.min("order_date").alias("first_order_date"), F.min(week).alias("_week")
+        F.expr("min(order_date) as first_order_date"),
+        F.expr("min(cast(replace(order_year_week, '-W', '') as int)) as _week"),
     )
-    digits = F.lpad(F.col("_week").cast("string"), 6, "0")
-    return firsts.select(
+    digits = "lpad(cast(_week as string), 6, '0')"
+    return firsts.selectExpr(
         "seller_id_int",
         "first_order_date",
-        F.concat(F.substring(digits, 1, 4), F.lit("-W"), F.substring(digits, 5, 2)).alias(
-            "first_order_year_week"
-        ),
+        f"concat(substring({digits}, 1, 4), '-W', substring({digits}, 5, 2))"
+        " as first_order_year_week",
     )
 
 
@@ -72,17 +70,15 @@ def build_module(module: str, events: DataFrame, dimensions: dict[str, DataFrame
 
 def grain_check(tables: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
     """Per table: rows, distinct grain keys and keys that occur more than once."""
-    frames = []
-    for name, (df, grain) in tables.items():
-        per_key = df.groupBy(*grain).agg(F.count(F.lit(1)).alias("_rows"))
-        frames.append(
-            per_key.agg(
-                F.coalesce(F.sum("_rows"), F.lit(0)).cast("bigint").alias("n_rows"),
-                F.count(F.lit(1)).alias("n_keys"),
-                F.count_if(F.col("_rows") > 1).alias("repeated_keys"),
-            ).select(F.lit(name).alias("table_name"), "*")
+    frames = [
+        df.groupBy(*grain)
+        .agg(F.expr("count(1) as _rows"))
+        .selectExpr(
+            f"'{name}' as table_name",
+            "coalesce(sum(_rows), 0L) as n_rows",
+            "count(1) as n_keys",
+            "count_if(_rows > 1) as repeated_keys",
         )
-    checks = frames[0]
-    for frame in frames[1:]:
-        checks = checks.unionByName(frame)
-    return checks
+        for name, (df, grain) in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, frames)

@@ -17,17 +17,17 @@ BUCKET_DIGITS = 3
 
 def discover_keys(frames: list[DataFrame], key: str) -> DataFrame:
     """Distinct non-null ids over all frames that hold the id."""
-    columns = [f.select(F.col(key).cast("string").alias(key)) for f in frames]
-    return reduce(DataFrame.union, columns).where(F.col(key).isNotNull()).distinct()
+    columns = [f.selectExpr(f"cast({key} as string) as {key}") for f in frames]
+    return reduce(DataFrame.union, columns).where(f"{key} is not null").distinct()
 
 
 def unique_registry(registry: DataFrame, key: str) -> DataFrame:
     """History with one surrogate per id, also where deltas overlap."""
     number = int_name(key)
     return (
-        registry.where(F.col(key).isNotNull())
+        registry.where(f"{key} is not null")
         .groupBy(key)
-        .agg(F.min(number).cast("bigint").alias(number))
+        .agg(F.expr(f"cast(min({number}) as bigint) as {number}"))
     )
 
 
@@ -42,7 +42,7 @@ def known_mappings(registry: DataFrame, batch: DataFrame, key: str) -> DataFrame
 
 def max_surrogate(registry: DataFrame, key: str) -> DataFrame:
     """One row: highest surrogate given out so far, 0 for an empty history."""
-    return registry.agg(F.coalesce(F.max(int_name(key)), F.lit(0)).cast("bigint").alias("current_max"))
+    return registry.selectExpr(f"cast(coalesce(max({int_name(key)}), 0) as bigint) as current_max")
 
 
 def new_keys(batch: DataFrame, known: DataFrame, key: str) -> DataFrame:
@@ -65,23 +65,20 @@ def assign_surrogates(
     the same one. Only bucket sizes are broadcast: at most ``16 ** digits`` rows.
     """
     number = int_name(key)
-    numbered = fresh.select(key, F.substring(F.md5(F.col(key)), 1, digits).alias("_bucket"))
-    numbered = numbered.selectExpr(
+    numbered = fresh.selectExpr(key, f"substring(md5({key}), 1, {digits}) as _bucket").selectExpr(
         key, "_bucket", f"row_number() over (partition by _bucket order by {key}) as _place"
     )
-    sizes = numbered.groupBy("_bucket").agg(F.max("_place").cast("bigint").alias("_size"))
-    shifts = sizes.selectExpr(
-        "_bucket",
-        # all buckets together are a bounded handful of rows
-        "sum(_size) over (order by _bucket rows between unbounded preceding and current row)"
-        " - _size as _shift",
+    # Running totals over one row per bucket: a bounded handful, whatever the number of ids.
+    shifts = (
+        numbered.groupBy("_bucket")
+        .agg(F.expr("cast(max(_place) as bigint) as _size"))
+        .selectExpr("_bucket", "sum(_size) over (order by _bucket) - _size as _shift")
     )
-    value = F.lit(current_max).cast("bigint") + F.col("_shift") + F.col("_place")
-    checked = F.when(value <= MAX_SURROGATE, value).otherwise(
-        F.raise_error(F.lit(f"{number} exceeds the unsigned 32-bit range"))
-    )
-    return numbered.join(F.broadcast(shifts), "_bucket").select(
-        key, checked.cast("bigint").alias(number)
+    value = f"{current_max}L + _shift + _place"
+    return numbered.join(F.broadcast(shifts), "_bucket").selectExpr(
+        key,
+        f"case when {value} <= {MAX_SURROGATE}L then {value}"
+        f" else raise_error('{number} exceeds the unsigned 32-bit range') end as {number}",
     )
 
 

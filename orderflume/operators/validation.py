@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderflume.functions.rows import any_null, numeric_columns
-from orderflume.functions.temporal import parse_timestamp
+from orderflume.functions.temporal import parsed
 from orderflume.model import EVENT_FACT, REQUIRED_TIMESTAMPS, TABLES, TRANSACTION_DETAIL, TableSpec
 from orderflume.operators.contract import COPIES, collapse, data_columns
 
@@ -25,12 +25,12 @@ CHECKS = T.StructType(
 ERROR, WARNING, INFO = "error", "warning", "info"
 
 
-# --- building blocks --------------------------------------------------------------------
+# --- building blocks: counts as SQL text ------------------------------------------------
 
 
-def _rows_where(condition: Column) -> Column:
+def rows_where(condition: str) -> str:
     """Raw rows (copies included) that meet a condition."""
-    return F.coalesce(F.sum(F.when(condition, F.col(COPIES))), F.lit(0)).cast("bigint")
+    return f"coalesce(sum(case when {condition} then {COPIES} end), 0L)"
 
 
 def key_profile(collapsed: DataFrame, key: list[str]) -> DataFrame:
@@ -40,51 +40,45 @@ def key_profile(collapsed: DataFrame, key: list[str]) -> DataFrame:
     here combine before they ship, so neither copies nor a dominant key gather anywhere.
     """
     per_key = collapsed.groupBy(*key).agg(
-        F.count(F.lit(1)).alias("_versions"), F.sum(COPIES).alias("_rows")
+        F.expr("count(1) as _versions"), F.expr(f"sum({COPIES}) as _rows")
     )
-    return per_key.agg(
-        F.count_if(F.col("_versions") > 1).alias("conflicting_keys"),
-        F.coalesce(F.sum(F.col("_rows") - 1), F.lit(0)).cast("bigint").alias("repeated_rows"),
+    return per_key.selectExpr(
+        "count_if(_versions > 1) as conflicting_keys",
+        "coalesce(sum(_rows - 1), 0L) as repeated_rows",
     )
 
 
-def null_counts(columns: list[str]) -> dict[str, Column]:
-    return {c: _rows_where(F.col(c).isNull()) for c in columns}
+def null_counts(columns: list[str]) -> dict[str, str]:
+    return {c: rows_where(f"{c} is null") for c in columns}
 
 
-def unparsable_counts(df: DataFrame) -> dict[str, Column]:
-    return {
-        c: _rows_where(parse_timestamp(c, df.schema[c].dataType).isNull())
-        for c in REQUIRED_TIMESTAMPS
-    }
-
+def unparsable_counts(df: DataFrame) -> dict[str, str]:
+    return {c: rows_where(f"{parsed(df, c)} is null") for c in REQUIRED_TIMESTAMPS}
 
-def chronology_counts(df: DataFrame) -> dict[str, Column]:
-    def at(c: str) -> Column:
-        return parse_timestamp(c, df.schema[c].dataType)
 
-    purchase = at("order_purchase_timestamp")
+def chronology_counts(df: DataFrame) -> dict[str, str]:
+    purchase = parsed(df, "order_purchase_timestamp")
     return {
-        "approval_precedes_purchase": _rows_where(at("order_approved_at") < purchase),
-        "delivery_precedes_purchase": _rows_where(at("order_delivered_timestamp") < purchase),
+        "approval_precedes_purchase": rows_where(f"{parsed(df, 'order_approved_at')} < {purchase}"),
+        "delivery_precedes_purchase": rows_where(
+            f"{parsed(df, 'order_delivered_timestamp')} < {purchase}"
+        ),
     }
 
 
-def negative_counts(df: DataFrame, text_numbers: bool = False) -> dict[str, Column]:
+def negative_counts(df: DataFrame, text_numbers: bool = False) -> dict[str, str]:
     """Negative values per numeric column.
 
     With ``text_numbers`` (CSV input, where every column is text) a column counts as numeric
     when each of its values reads as a number.
     """
-    counts = {
-        c: _rows_where(F.col(c) < 0) for c in numeric_columns(df) if c not in (COPIES,)
-    }
+    counts = {c: rows_where(f"`{c}` < 0") for c in numeric_columns(df) if c != COPIES}
     if text_numbers:
         for f in df.schema:
             if isinstance(f.dataType, T.StringType) and f.name in data_columns(df):
-                number = F.col(f.name).try_cast("double")
-                words = F.count_if(F.col(f.name).isNotNull() & number.isNull())
-                counts[f.name] = F.when(words == 0, _rows_where(number < 0)).otherwise(F.lit(0))
+                number = f"try_cast(`{f.name}` as double)"
+                words = f"count_if(`{f.name}` is not null and {number} is null)"
+                counts[f.name] = f"case when {words} = 0 then {rows_where(f'{number} < 0')} else 0L end"
     return counts
 
 
@@ -102,31 +96,25 @@ def collapse_for_checks(df: DataFrame, key: list[str]) -> DataFrame:
     shuffle of whole rows.
     """
     if df.groupBy(*key).count().where("count > 1").isEmpty():
-        return df.withColumn(COPIES, F.lit(1).cast("bigint"))
+        return df.selectExpr("*", f"1L as {COPIES}")
     return collapse(df)
 
 
-def _schema_findings(df: DataFrame, spec: TableSpec) -> list[tuple[str, str]]:
-    columns = data_columns(df)
-    missing = sorted(set(spec.required) - set(columns))
-    return [("missing_required_column", c) for c in missing]
+Finding = tuple[str, str | None, str, str]  # rule, column, severity, count as SQL text
+
 
+def _findings(one_row: DataFrame, name: str, findings: list[Finding]) -> DataFrame:
+    """Turn counts over a one-row frame into rows, leaving zeros out."""
+
+    def text(value: str | None) -> str:
+        return "cast(null as string)" if value is None else f"'{value}'"
 
-def _findings(one_row: DataFrame, findings: list[tuple[str, str | None, str, Column]], name: str) -> DataFrame:
-    """Turn named counts of a one-row frame into rows, leaving zeros out."""
     structs = [
-        F.struct(
-            F.lit(name).alias("table_name"),
-            F.lit(rule).alias("rule"),
-            F.lit(column).cast("string").alias("column_name"),
-            F.lit(severity).alias("severity"),
-            F.coalesce(n, F.lit(0)).cast("bigint").alias("n"),
-        )
+        f"named_struct('table_name', '{name}', 'rule', '{rule}', 'column_name', {text(column)},"
+        f" 'severity', '{severity}', 'n', cast(coalesce({n}, 0) as bigint))"
         for rule, column, severity, n in findings
     ]
-    return (
-        one_row.select(F.explode(F.array(*structs)).alias("f")).select("f.*").where("n > 0")
-    )
+    return one_row.selectExpr(f"inline(array({', '.join(structs)}))").where("n > 0")
 
 
 def validate_table(df: DataFrame, spec: TableSpec, text_numbers: bool = False) -> DataFrame:
@@ -138,24 +126,19 @@ def validate_table(df: DataFrame, spec: TableSpec, text_numbers: bool = False) -
     repeated_names = sorted({c for c in df.columns if df.columns.count(c) > 1})
     if repeated_names:
         df = df.toDF(*[c if df.columns.index(c) == i else f"{c}_{i}" for i, c in enumerate(df.columns)])
-    missing = _schema_findings(df, spec)
+    missing = sorted(set(spec.required) - set(df.columns))
     if missing:
-        counted = df.agg(F.count(F.lit(1)).alias("rows"))
-        empty = F.col("rows") == 0
         return _findings(
-            counted,
-            [("empty_dataset", None, ERROR, F.when(empty, 1))]
-            + [(rule, c, ERROR, F.when(~empty, 1)) for rule, c in missing],
+            df.selectExpr("count(1) as n_rows"),
             spec.name,
+            [("empty_dataset", None, ERROR, "if(n_rows = 0, 1, 0)")]
+            + [("missing_required_column", c, ERROR, "if(n_rows > 0, 1, 0)") for c in missing],
         )
 
     if not is_collapsed(df):
         df = collapse(df)
-    rows = F.coalesce(F.sum(COPIES), F.lit(0)).cast("bigint")
     key = list(spec.primary_key)
-    counts: list[tuple[str, str | None, str, Column]] = [
-        ("null_primary_key", None, WARNING, _rows_where(any_null(key)))
-    ]
+    counts: list[Finding] = [("null_primary_key", None, WARNING, rows_where(any_null(key)))]
     counts += [("null_values", c, WARNING, n) for c, n in null_counts(spec.non_nullable).items()]
     if spec.role == EVENT_FACT:
         counts += [
@@ -166,25 +149,31 @@ def validate_table(df: DataFrame, spec: TableSpec, text_numbers: bool = False) -
         counts += [
             ("negative_values", c, ERROR, n) for c, n in negative_counts(df, text_numbers).items()
         ]
-    named = {f"c{i}": n for i, (_, _, _, n) in enumerate(counts)}
-    profile = df.agg(rows.alias("rows"), *[n.alias(a) for a, n in named.items()])
+    aliases = [f"n{i}" for i in range(len(counts))]
+    profile = df.selectExpr(
+        f"coalesce(sum({COPIES}), 0L) as n_rows",
+        *[f"{n} as {alias}" for alias, (_, _, _, n) in zip(aliases, counts)],
+    )
+    # Both aggregates are one row; stacking them avoids a join.
     keys = key_profile(df, key)
-    merged = profile.unionByName(keys, allowMissingColumns=True).agg(
-        *[F.max(c).alias(c) for c in (*profile.columns, *keys.columns)]
+    merged = profile.unionByName(keys, allowMissingColumns=True).selectExpr(
+        *[f"max({c}) as {c}" for c in ("n_rows", *aliases, "conflicting_keys", "repeated_rows")]
+    )
+    sound = "conflicting_keys = 0"
+    return _findings(
+        merged,
+        spec.name,
+        [
+            ("empty_dataset", None, ERROR, "if(n_rows = 0, 1, 0)"),
+            ("conflicting_primary_key", None, ERROR, "conflicting_keys"),
+            ("repairable_duplicates", None, WARNING, f"if({sound}, repeated_rows, 0)"),
+        ]
+        + [("duplicate_column_name", c, WARNING, f"if({sound}, 1, 0)") for c in repeated_names]
+        + [
+            (rule, column, severity, f"if({sound}, {alias}, 0)")
+            for alias, (rule, column, severity, _) in zip(aliases, counts)
+        ],
     )
-
-    sound = F.col("conflicting_keys") == 0
-    findings = [
-        ("empty_dataset", None, ERROR, F.when(F.col("rows") == 0, 1)),
-        ("conflicting_primary_key", None, ERROR, F.col("conflicting_keys")),
-        ("repairable_duplicates", None, WARNING, F.when(sound, F.col("repeated_rows"))),
-    ]
-    findings += [("duplicate_column_name", c, WARNING, F.when(sound, 1)) for c in repeated_names]
-    findings += [
-        (rule, column, severity, F.when(sound, F.col(alias)))
-        for alias, (rule, column, severity, _) in zip(named, counts)
-    ]
-    return _findings(merged, findings, spec.name)
 
 
 # --- across tables ----------------------------------------------------------------------
@@ -195,14 +184,10 @@ def orphan_count(child: DataFrame, orders: DataFrame) -> DataFrame:
 
     The child is summed per id first, so a dominant id is one row by the time it joins.
     """
-    weight = F.sum(COPIES) if is_collapsed(child) else F.count(F.lit(1))
-    per_order = (
-        child.where(F.col("order_id").isNotNull()).groupBy("order_id").agg(weight.alias("_n"))
-    )
-    parents = orders.where(F.col("order_id").isNotNull()).select("order_id").distinct()
-    return per_order.join(parents, "order_id", "left_anti").agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("n")
-    )
+    weight = f"sum({COPIES})" if is_collapsed(child) else "count(1)"
+    per_order = child.where("order_id is not null").groupBy("order_id").agg(F.expr(f"{weight} as _n"))
+    parents = orders.where("order_id is not null").select("order_id").distinct()
+    return per_order.join(parents, "order_id", "left_anti").selectExpr("coalesce(sum(_n), 0L) as n")
 
 
 def validate_references(tables: dict[str, DataFrame]) -> list[DataFrame]:
@@ -213,8 +198,8 @@ def validate_references(tables: dict[str, DataFrame]) -> list[DataFrame]:
     return [
         _findings(
             orphan_count(tables[child], tables["df_orders"]),
-            [("orphan_rows", "order_id", WARNING, F.col("n"))],
             child,
+            [("orphan_rows", "order_id", WARNING, "n")],
         )
         for child in needed[1:]
     ]

@@ -8,6 +8,7 @@ from datetime import datetime, timezone
 from pyspark.sql import SparkSession
 
 from orderflume.model import SEMANTIC_MODULES
+from orderflume.plans.jobs import together
 from orderflume.plans.workspace import Workspace
 from orderflume.sources import storage
 from orderflume.sources.sinks import dated_name
@@ -48,13 +49,18 @@ def promote_version(spark: SparkSession, ws: Workspace) -> dict:
     """Copy the run's semantic tables to ``published/v<run_id>``, never over an older one."""
     if storage.exists(spark, ws.version):
         return _report("version directory already exists")
+    names = [
+        f"{module}/{dated_name(table.name, ws.run_id)}.parquet"
+        for module, tables in SEMANTIC_MODULES.items()
+        for table in tables
+    ]
+
+    def copy(name: str) -> None:
+        table = spark.read.parquet(f"{ws.semantic}/{name}")
+        table.write.mode("errorifexists").parquet(f"{ws.version}/{name}")
+
     try:
-        for module, tables in SEMANTIC_MODULES.items():
-            for table in tables:
-                name = f"{module}/{dated_name(table.name, ws.run_id)}.parquet"
-                spark.read.parquet(f"{ws.semantic}/{name}").write.mode("errorifexists").parquet(
-                    f"{ws.version}/{name}"
-                )
+        together(spark, *[lambda n=n: copy(n) for n in names])
     except Exception as failure:
         return _report(str(failure))
     return _report()
