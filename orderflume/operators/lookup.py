@@ -46,24 +46,23 @@ def lookup_join(df: DataFrame, lookup: DataFrame, key: str, *, small: int | None
     The key column of ``df`` is read twice, so pass a frame that is cheap to scan.
     """
     limit = broadcast_limit(df) if small is None else small
+    values = [c for c in lookup.columns if c != key]
     if estimated_bytes(lookup) <= limit:
-        return df.join(lookup, key, "left")
+        return df.join(lookup, key, "left").select(*df.columns, *values)
 
-    values = [c for c in lookup.columns if c != key]
     hot = hot_keys(df, key)
     hot_rows = lookup.join(F.broadcast(hot), key, "left_semi")
     answers = hot.join(F.broadcast(hot_rows), key, "left").selectExpr(
         key, "true as _hot", *[f"{v} as _hot_{v}" for v in values]
     )
-    spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     row = ", ".join(f"`{c}`" for c in df.columns)
     marked = df.join(F.broadcast(answers), key, "left").selectExpr(
-        "*",
-        f"case when _hot or {key} is null then 1L + pmod(xxhash64({row}), {spread}L)"
-        " else 0L end as _salt",
+        "*", f"case when _hot or {key} is null then xxhash64({row}) | 1L else 0L end as _salt"
     )
-    # Lookup rows all carry salt 0: spread rows meet none of them and stay where they are.
-    joined = marked.join(lookup.selectExpr("*", "0L as _salt"), [key, "_salt"], "left")
+    # Lookup rows all carry salt 0, so spread rows (odd salts) meet none of them and stay
+    # where they are. It is computed: a literal would be folded out of the join key.
+    salted = lookup.selectExpr("*", f"pmod(xxhash64({key}), 1L) as _salt")
+    joined = marked.join(salted, [key, "_salt"], "left")
     return joined.selectExpr(
         *[f"`{c}`" for c in df.columns], *[f"coalesce(_hot_{v}, {v}) as {v}" for v in values]
     )
