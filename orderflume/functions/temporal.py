@@ -11,14 +11,25 @@ from pyspark.sql import types as T
 from orderflume.model import DATE_OR_DATE_TIME, TIMESTAMP_TEXT
 
 
+PARSED = "_at_"  # prefix of the columns that hold timestamps parsed ahead of use
+
+
 def parsed(df: DataFrame, name: str) -> str:
     """Column as ``timestamp_ntz``; text outside the column's format becomes null."""
+    if PARSED + name in df.columns:
+        return PARSED + name
     if isinstance(df.schema[name].dataType, T.StringType):
         pattern = TIMESTAMP_TEXT.get(name, DATE_OR_DATE_TIME)
         return f"case when {name} rlike '{pattern}' then try_cast({name} as timestamp_ntz) end"
     return f"cast({name} as timestamp_ntz)"
 
 
+def with_parsed(df: DataFrame, names: list[str]) -> DataFrame:
+    """Adds parsed timestamps as columns, so that later rules, checks and casts reuse them."""
+    present = [c for c in names if c in df.columns]
+    return df.selectExpr("*", *[f"{parsed(df, c)} as {PARSED}{c}" for c in present])
+
+
 def whole_days(later: str, earlier: str) -> str:
     """Full 24-hour days between two timestamps, cut toward zero (-36 h is -1)."""
     return f"extract(day from ({later} - {earlier}))"

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderflume.functions.rows import any_null, any_of
-from orderflume.functions.temporal import parsed
+from orderflume.functions.temporal import PARSED, parsed, with_parsed
 from orderflume.model import (
     ENTITY_REFERENCE,
     EVENT_FACT,
@@ -42,7 +42,8 @@ REASONS = (UNPARSABLE, IMPOSSIBLE, NULLS, CASCADE, ORPHAN)
 
 
 def data_columns(df: DataFrame) -> list[str]:
-    return [c for c in df.columns if c not in BOOKKEEPING]
+    """The table's own columns, without what the contract keeps beside them."""
+    return [c for c in df.columns if c not in BOOKKEEPING and not c.startswith(PARSED)]
 
 
 def collapse(df: DataFrame) -> DataFrame:
@@ -101,8 +102,12 @@ def row_reason(df: DataFrame, spec: TableSpec) -> str:
 
 
 def flag_rows(raw: DataFrame, spec: TableSpec) -> DataFrame:
-    """Collapsed table with the outcome of its row rules: one shuffle, done once per run."""
-    collapsed = collapse(raw)
+    """Collapsed table with the outcome of its row rules: one shuffle, done once per run.
+
+    Timestamp text is parsed here and carried along for everything that follows.
+    """
+    stamps = [f.name for f in spec.schema if isinstance(f.dataType, T.TimestampNTZType)]
+    collapsed = with_parsed(collapse(raw), stamps)
     return collapsed.selectExpr("*", f"{row_reason(collapsed, spec)} as {REASON}")
 
 
@@ -166,10 +171,14 @@ def _child_reason(check_parent: bool) -> str:
 
 
 def prune_children(flagged: DataFrame, membership: DataFrame, check_parent: bool) -> DataFrame:
-    """Rows of a flagged child table that pass both the cascade and the parent rule."""
-    candidates = kept(flagged)
-    joined = lookup_join(candidates, membership, "order_id")
-    return joined.where(f"{_child_reason(check_parent)} is null").select(candidates.columns)
+    """Rows of a flagged child table that pass both the cascade and the parent rule.
+
+    Further columns of ``membership`` (the order's surrogate) come along, which saves a
+    second trip of all child rows to the same key.
+    """
+    extra = [c for c in membership.columns if c not in ("order_id", "_valid", "_invalid")]
+    joined = lookup_join(kept(flagged), membership, "order_id", scan=flagged)
+    return joined.where(f"{_child_reason(check_parent)} is null").select(*flagged.columns, *extra)
 
 
 def _flag(ids: DataFrame) -> DataFrame:
@@ -195,8 +204,9 @@ def enforce_parent(df: DataFrame, valid: DataFrame) -> DataFrame:
 # --- schema -----------------------------------------------------------------------------
 
 
-def conform(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """The declared columns with their declared types; anything else is cut off."""
+def conform(df: DataFrame, spec: TableSpec, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The declared columns with their declared types, and columns to ``keep`` as they are;
+    anything else is cut off."""
     missing = [c for c in spec.required if c not in df.columns]
     if missing:
         raise RuntimeError(f"{spec.name}: missing required columns: {missing}")
@@ -206,7 +216,8 @@ def conform(df: DataFrame, spec: TableSpec) -> DataFrame:
             if isinstance(f.dataType, T.TimestampNTZType)
             else f"cast({f.name} as {f.dataType.simpleString()}) as {f.name}"
             for f in spec.schema
-        ]
+        ],
+        *keep,
     )
 
 

@@ -36,21 +36,31 @@ def hot_keys(df: DataFrame, key: str) -> DataFrame:
     )
 
 
-def lookup_join(df: DataFrame, lookup: DataFrame, key: str, *, small: int | None = None) -> DataFrame:
+def lookup_join(
+    df: DataFrame,
+    lookup: DataFrame,
+    key: str,
+    *,
+    scan: DataFrame | None = None,
+    small: int | None = None,
+) -> DataFrame:
     """``df`` left-joined to ``lookup`` on ``key``; ``lookup`` must be unique per key.
 
     Below the broadcast threshold this is a plain join, which Spark broadcasts. Above it the
     join shuffles, and then the rows of hot keys (and of null keys) would pile up in one
     task: those get their answer from a broadcast of at most HOT_KEYS lookup rows and are
     spread over all partitions by a hash of the row, which is stable under task retries.
-    The key column of ``df`` is read twice, so pass a frame that is cheap to scan.
+
+    Hot keys are looked for in ``scan``: a stored frame ``df`` comes from, of which only the
+    key column is read. Without it ``df`` itself is evaluated for them. Which keys are taken
+    for hot decides where rows go, never what they get.
     """
     limit = broadcast_limit(df) if small is None else small
     values = [c for c in lookup.columns if c != key]
     if estimated_bytes(lookup) <= limit:
         return df.join(lookup, key, "left").select(*df.columns, *values)
 
-    hot = hot_keys(df, key)
+    hot = hot_keys(df if scan is None else scan, key)
     hot_rows = lookup.join(F.broadcast(hot), key, "left_semi")
     answers = hot.join(F.broadcast(hot_rows), key, "left").selectExpr(
         key, "true as _hot", *[f"{v} as _hot_{v}" for v in values]

@@ -21,23 +21,16 @@ def discover_keys(frames: list[DataFrame], key: str) -> DataFrame:
     return reduce(DataFrame.union, columns).where(f"{key} is not null").distinct()
 
 
-def unique_registry(registry: DataFrame, key: str) -> DataFrame:
-    """History with one surrogate per id, also where deltas overlap."""
-    number = int_name(key)
-    return (
-        registry.where(f"{key} is not null")
-        .groupBy(key)
-        .agg(F.expr(f"cast(min({number}) as bigint) as {number}"))
-    )
-
-
 def known_mappings(registry: DataFrame, batch: DataFrame, key: str) -> DataFrame:
-    """History restricted to the ids of this batch.
+    """History restricted to the ids of this batch, one surrogate per id also where deltas
+    overlap.
 
-    Both sides are unique per id, so the semi join has no hot key, and its runtime filter
-    lets the history scan skip what the batch cannot contain.
+    The semi join comes first: its runtime filter lets the history scan drop what the batch
+    cannot contain before anything is shuffled, and the grouping keeps its partitioning.
     """
-    return unique_registry(registry, key).join(batch, key, "left_semi")
+    number = int_name(key)
+    found = registry.select(key, number).join(batch, key, "left_semi")
+    return found.groupBy(key).agg(F.expr(f"cast(min({number}) as bigint) as {number}"))
 
 
 def max_surrogate(registry: DataFrame, key: str) -> DataFrame:
@@ -50,8 +43,8 @@ def new_keys(batch: DataFrame, known: DataFrame, key: str) -> DataFrame:
 
 
 def match_registry(batch: DataFrame, registry: DataFrame, key: str) -> DataFrame:
-    """Batch ids with their surrogate, null for new ids: known and new ids in one join."""
-    return batch.join(unique_registry(registry, key), key, "left")
+    """Batch ids with their surrogate, null for new ids."""
+    return batch.join(known_mappings(registry, batch, key), key, "left")
 
 
 def assign_surrogates(
@@ -90,10 +83,15 @@ def resolve_mapping(batch: DataFrame, registry: DataFrame | None, key: str, curr
     return known.unionByName(assign_surrogates(new_keys(batch, known, key), key, current_max))
 
 
-def attach_surrogates(df: DataFrame, mappings: dict[str, DataFrame]) -> DataFrame:
-    """Adds ``<id>_int`` for every id in the table; ids of one seller, customer or product
-    may fill most of it, which ``lookup_join`` takes care of."""
+def attach_surrogates(
+    df: DataFrame, mappings: dict[str, DataFrame], scan: DataFrame | None = None
+) -> DataFrame:
+    """Adds ``<id>_int`` for every id in the table that has none yet.
+
+    One seller, customer or product may fill most of a table, which ``lookup_join`` takes
+    care of; ``scan`` is the stored frame it may look for such ids in.
+    """
     for key in SURROGATE_KEYS:
-        if key in df.columns and key in mappings:
-            df = lookup_join(df, mappings[key], key)
+        if key in df.columns and key in mappings and int_name(key) not in df.columns:
+            df = lookup_join(df, mappings[key], key, scan=scan)
     return df

@@ -205,11 +205,20 @@ def validate_references(tables: dict[str, DataFrame]) -> list[DataFrame]:
     ]
 
 
-def validate_tables(tables: dict[str, DataFrame], text_numbers: frozenset[str] = frozenset()) -> DataFrame:
-    """The whole report: each table on its own, then references between them."""
+def table_reports(
+    tables: dict[str, DataFrame], text_numbers: frozenset[str] = frozenset()
+) -> list[DataFrame]:
+    """The whole report in independent parts: each table on its own, then references."""
     frames = [
         validate_table(df, TABLES[name], name in text_numbers) for name, df in tables.items()
     ]
-    usable = {n: df for n, df in tables.items() if "order_id" in df.columns}
-    frames += validate_references(usable)
-    return reduce(DataFrame.unionByName, frames)
+    return frames + validate_references(
+        {n: df for n, df in tables.items() if "order_id" in df.columns}
+    )
+
+
+def validate_tables(
+    tables: dict[str, DataFrame], text_numbers: frozenset[str] = frozenset()
+) -> DataFrame:
+    """The whole report as one frame."""
+    return reduce(DataFrame.unionByName, table_reports(tables, text_numbers))

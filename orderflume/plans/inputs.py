@@ -17,12 +17,13 @@ from orderflume.model import SURROGATE_KEYS, TABLES, TRANSACTION_DETAIL, int_nam
 from orderflume.operators.assembly import assemble_events
 from orderflume.operators.contract import (
     conform,
-    contract_table,
     flag_rows,
     has_parents,
+    kept,
     order_membership,
     prune_children,
 )
+from orderflume.plans.jobs import together
 from orderflume.sources.storage import Stage
 
 _ORDERS = """
@@ -128,10 +129,21 @@ class Inputs:
         ids = order_membership(self.flagged("df_orders"), *before)
         return self.stage.put(f"membership_{table}", ids)
 
+    def prepare(self, *tables: str) -> None:
+        """Stage what several tables need side by side."""
+        children = [t for t in tables if TABLES[t].role == TRANSACTION_DETAIL]
+        wanted = {*tables, *(("df_orders",) if children else ())}
+        if "df_payments" in children:
+            wanted.add("df_order_items")
+        together(self.spark, *[lambda t=t: self.flagged(t) for t in wanted])
+        if children:
+            together(self.spark, *[lambda t=t: self.membership(t) for t in children])
+
     def contracted(self, table: str) -> DataFrame:
+        self.prepare(table)
         spec = TABLES[table]
         if spec.role != TRANSACTION_DETAIL:
-            return contract_table(self.raw(table), table)
+            return conform(kept(self.flagged(table)), spec)
         ids = self.membership(table)
         return conform(prune_children(self.flagged(table), ids, has_parents(ids)), spec)
 
@@ -144,7 +156,9 @@ class Inputs:
         )
 
     def event_tables(self) -> tuple[DataFrame, DataFrame, DataFrame]:
-        return self.keyed("df_orders"), self.keyed("df_order_items"), self.keyed("df_payments")
+        tables = ("df_orders", "df_order_items", "df_payments")
+        self.prepare(*tables)
+        return tuple(self.keyed(t) for t in tables)
 
     def assembled(self) -> DataFrame:
         return assemble_events(*self.event_tables())

@@ -13,7 +13,9 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderflume.functions.rows import frozen
 from orderflume.model import (
+    ASSEMBLED,
     ENTITY_REFERENCE,
     SEMANTIC_MODULES,
     SURROGATE_KEYS,
@@ -36,12 +38,12 @@ from orderflume.operators.contract import (
     prune_children,
 )
 from orderflume.operators.semantic import build_module, grain_check
-from orderflume.operators.validation import ERROR, collapse_for_checks, validate_tables
+from orderflume.operators.validation import ERROR, collapse_for_checks, table_reports
 from orderflume.plans.jobs import together
 from orderflume.plans.publish import publish
 from orderflume.plans.workspace import Workspace
 from orderflume.sources import storage
-from orderflume.sources.deltas import dated_scan, historical_scan, latest_delta, read_delta
+from orderflume.sources.deltas import dated_scan, historical_scan, latest_delta
 from orderflume.sources.sinks import dated_name, promote_deltas
 from orderflume.sources.storage import Stage
 
@@ -87,20 +89,25 @@ class Run:
         flagged = {t: df for t, (df, _) in zip(TABLES, loaded)}
         return flagged, frozenset(t for t, (_, text) in zip(TABLES, loaded) if text)
 
-    def gate(self, name: str, checks: DataFrame, fatal: Callable[[list], list]) -> None:
+    def gate(
+        self,
+        name: str,
+        tables: dict[str, DataFrame],
+        textual: frozenset[str],
+        fatal: Callable[[dict], bool],
+    ) -> None:
         """Findings are a few rows per table and column, whatever the size of the data."""
-        findings = [row.asDict() for row in checks.collect()]
+        reports = table_reports(tables, textual)
+        collected = together(self.spark, *[lambda r=r: r.collect() for r in reports])
+        findings = [row.asDict() for rows in collected for row in rows]
         self.record(name, {"status": "failed" if findings else "success", "findings": findings})
-        stopping = fatal(findings)
+        stopping = [f for f in findings if fatal(f)]
         if stopping:
             raise StageFailure(f"{name}: {stopping}")
 
     def raw_gate(self, flagged: dict[str, DataFrame], textual: frozenset[str]) -> None:
-        self.gate(
-            "initial_validation",
-            validate_tables(flagged, textual),
-            lambda findings: [f for f in findings if f["severity"] == ERROR],
-        )
+        """Only errors stop a run here; the contract removes what is merely a warning."""
+        self.gate("initial_validation", flagged, textual, lambda f: f["severity"] == ERROR)
 
     # --- surrogates -----------------------------------------------------------------------
 
@@ -127,7 +134,7 @@ class Run:
             return known
         delta = f"{registry_path}/map_{self.ws.run_id}.parquet"
         surrogates.assign_surrogates(fresh, key, current).write.parquet(delta)
-        return known.unionByName(spark.read.parquet(delta))
+        return known.unionByName(spark.read.schema(known.schema).parquet(delta))
 
     def resolve_mappings(self, flagged: dict[str, DataFrame]) -> dict[str, DataFrame]:
         jobs = [lambda k=k: self.resolve_key(k, flagged) for k in SURROGATE_KEYS]
@@ -138,35 +145,55 @@ class Run:
     def contract(self, flagged: dict[str, DataFrame], mappings: dict[str, DataFrame]) -> None:
         """Contracted tables of this run, waiting next to the history for the second gate."""
         orders, items = flagged["df_orders"], flagged["df_order_items"]
+        order_ids = mappings["order_id"]
+
+        def stage_membership(name: str, ids: DataFrame) -> DataFrame:
+            return self.stage.put(name, ids.join(order_ids, "order_id", "left"))
+
         for_items, for_payments = together(
             self.spark,
-            lambda: self.stage.put("membership_items", order_membership(orders)),
-            lambda: self.stage.put("membership_payments", order_membership(orders, items)),
+            lambda: stage_membership("membership_items", order_membership(orders)),
+            lambda: stage_membership("membership_payments", order_membership(orders, items)),
         )
         memberships = {"df_order_items": for_items, "df_payments": for_payments}
         check_parent = has_parents(for_items)
 
-        def run(table: str) -> dict:
-            spec, membership = TABLES[table], memberships.get(table)
+        def write(table: str) -> None:
+            spec, rows = TABLES[table], flagged[table]
             if spec.role == TRANSACTION_DETAIL:
-                rows = prune_children(flagged[table], membership, check_parent)
+                pruned = prune_children(rows, memberships[table], check_parent)
+                conformed = conform(pruned, spec, keep=(int_name("order_id"),))
             else:
-                rows = kept(flagged[table])
-            silver = surrogates.attach_surrogates(conform(rows, spec), mappings)
-            silver.write.parquet(f"{self.ws.pending}/{self.stems[table]}.parquet")
-            return contract_metrics(flagged[table], spec, membership, check_parent).first().asDict()
+                conformed = conform(kept(rows), spec)
+            silver = surrogates.attach_surrogates(conformed, mappings, scan=rows)
+            frozen(silver, silver_schema(table)).write.parquet(
+                f"{self.ws.pending}/{self.stems[table]}.parquet"
+            )
 
-        self.record("contract_application", together(self.spark, *[lambda t=t: run(t) for t in TABLES]))
+        def count(table: str) -> dict:
+            metrics = contract_metrics(
+                flagged[table], TABLES[table], memberships.get(table), check_parent
+            )
+            return metrics.first().asDict()
+
+        done = together(
+            self.spark,
+            *[lambda t=t: write(t) for t in TABLES],
+            *[lambda t=t: count(t) for t in TABLES],
+        )
+        self.record("contract_application", done[len(TABLES) :])
 
     def silver_gate(self) -> None:
         """After the contract nothing may be left to report."""
 
         def load(table: str) -> DataFrame:
-            df = read_delta(self.spark, f"{self.ws.pending}/{self.stems[table]}.parquet")
+            df = self.spark.read.schema(silver_schema(table)).parquet(
+                f"{self.ws.pending}/{self.stems[table]}.parquet"
+            )
             return collapse_for_checks(df, list(TABLES[table].primary_key))
 
         tables = dict(zip(TABLES, together(self.spark, *[lambda t=t: load(t) for t in TABLES])))
-        self.gate("post_contract_validation", validate_tables(tables), lambda findings: findings)
+        self.gate("post_contract_validation", tables, frozenset(), lambda finding: True)
 
     def promote(self) -> None:
         promote_deltas(self.spark, self.ws.pending, self.ws.contracted, list(TABLES))
@@ -194,8 +221,10 @@ class Run:
 
     def model(self) -> None:
         spark, ws = self.spark, self.ws
-        events = dated_scan(spark, ws.assembled, "assembled_events")
-        dimensions = {t: dated_scan(spark, ws.assembled, t) for t in DIMENSION_TABLES}
+        events = dated_scan(spark, ws.assembled, "assembled_events", ASSEMBLED)
+        dimensions = {
+            t: dated_scan(spark, ws.assembled, t, dimension_schema(t)) for t in DIMENSION_TABLES
+        }
 
         def write(module: str, table: str, df: DataFrame) -> None:
             df.write.parquet(f"{ws.semantic}/{module}/{dated_name(table, ws.run_id)}.parquet")

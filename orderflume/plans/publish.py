@@ -7,7 +7,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession
 
-from orderflume.model import SEMANTIC_MODULES
+from orderflume.model import SEMANTIC_MODULES, SemanticTable
 from orderflume.plans.jobs import together
 from orderflume.plans.workspace import Workspace
 from orderflume.sources import storage
@@ -29,38 +29,51 @@ def integrity_gate(spark: SparkSession, ws: Workspace) -> dict:
     if modules != set(SEMANTIC_MODULES):
         return _report(f"semantic modules differ: {sorted(modules ^ set(SEMANTIC_MODULES))}")
     for module, tables in SEMANTIC_MODULES.items():
-        expected = {f"{dated_name(t.name, ws.run_id)}.parquet": t for t in tables}
+        expected = {f"{dated_name(t.name, ws.run_id)}.parquet" for t in tables}
         found = {
             name
             for name, _ in storage.entries(spark, f"{ws.semantic}/{module}")
             if name.endswith(".parquet")
         }
-        if found != set(expected):
-            return _report(f"{module}: table set differs: {sorted(found ^ set(expected))}")
-        for name, table in expected.items():
-            columns = spark.read.parquet(f"{ws.semantic}/{module}/{name}").columns
-            missing = sorted(set(table.schema.names) - set(columns))
-            if missing:
-                return _report(f"{name}: missing required columns: {missing}")
-    return _report()
+        if found != expected:
+            return _report(f"{module}: table set differs: {sorted(found ^ expected)}")
+
+    def missing_columns(module: str, table: SemanticTable) -> str | None:
+        name = f"{dated_name(table.name, ws.run_id)}.parquet"
+        columns = spark.read.parquet(f"{ws.semantic}/{module}/{name}").columns
+        missing = sorted(set(table.schema.names) - set(columns))
+        return f"{name}: missing required columns: {missing}" if missing else None
+
+    problems = together(
+        spark,
+        *[
+            lambda m=module, t=table: missing_columns(m, t)
+            for module, tables in SEMANTIC_MODULES.items()
+            for table in tables
+        ],
+    )
+    return _report(*[p for p in problems if p])
 
 
 def promote_version(spark: SparkSession, ws: Workspace) -> dict:
     """Copy the run's semantic tables to ``published/v<run_id>``, never over an older one."""
     if storage.exists(spark, ws.version):
         return _report("version directory already exists")
-    names = [
-        f"{module}/{dated_name(table.name, ws.run_id)}.parquet"
-        for module, tables in SEMANTIC_MODULES.items()
-        for table in tables
-    ]
 
-    def copy(name: str) -> None:
-        table = spark.read.parquet(f"{ws.semantic}/{name}")
-        table.write.mode("errorifexists").parquet(f"{ws.version}/{name}")
+    def copy(module: str, table: SemanticTable) -> None:
+        name = f"{module}/{dated_name(table.name, ws.run_id)}.parquet"
+        rows = spark.read.schema(table.schema).parquet(f"{ws.semantic}/{name}")
+        rows.write.mode("errorifexists").parquet(f"{ws.version}/{name}")
 
     try:
-        together(spark, *[lambda n=n: copy(n) for n in names])
+        together(
+            spark,
+            *[
+                lambda m=module, t=table: copy(m, t)
+                for module, tables in SEMANTIC_MODULES.items()
+                for table in tables
+            ],
+        )
     except Exception as failure:
         return _report(str(failure))
     return _report()
@@ -75,7 +88,10 @@ def swap_views(spark: SparkSession, ws: Workspace) -> dict:
                 versioned = f"{module}.{table.name}_v{ws.run_id}"
                 location = f"{ws.version}/{module}/{dated_name(table.name, ws.run_id)}.parquet"
                 spark.sql(f"DROP TABLE IF EXISTS {versioned}")
-                spark.sql(f"CREATE TABLE {versioned} USING parquet LOCATION '{location}'")
+                columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in table.schema)
+                spark.sql(
+                    f"CREATE TABLE {versioned} ({columns}) USING parquet LOCATION '{location}'"
+                )
                 spark.sql(
                     f"CREATE OR REPLACE VIEW {module}.published_{table.name} AS"
                     f" SELECT * FROM {versioned}"

@@ -20,6 +20,7 @@ from orderflume.model import (
 )
 from orderflume.operators import assembly, contract, semantic, surrogates, validation
 from orderflume.plans.inputs import Inputs
+from orderflume.plans.jobs import together
 from orderflume.plans.pipeline import Run
 from orderflume.plans.workspace import Workspace
 from orderflume.sources import deltas, storage
@@ -204,6 +205,7 @@ def contract_products(i: Inputs) -> DataFrame:
 @query
 def contract_metrics(i: Inputs) -> DataFrame:
     children = ("df_order_items", "df_payments")
+    i.prepare(*TABLES)
     return reduce(
         DataFrame.unionByName,
         [
@@ -315,6 +317,7 @@ def validate_products(i: Inputs) -> DataFrame:
 
 @query
 def validation_report(i: Inputs) -> DataFrame:
+    together(i.spark, *[lambda t=t: i.flagged(t) for t in TABLES])
     return validation.validate_tables({t: i.flagged(t) for t in TABLES})
 
 
@@ -496,8 +499,13 @@ def product_dim(i: Inputs) -> DataFrame:
 def _published_run(i: Inputs) -> Workspace:
     """The raw tables delivered as deltas, then every stage up to the published views."""
     base = f"{i.stage.root}/lake"
-    for table in TABLES:
-        i.raw(table).write.parquet(f"{base}/raw/{table}_2026_03_25.parquet")
+    together(
+        i.spark,
+        *[
+            lambda t=t: i.raw(t).write.parquet(f"{base}/raw/{t}_2026_03_25.parquet")
+            for t in TABLES
+        ],
+    )
     ws = Workspace(base)
     Run(i.spark, ws).execute()
     return ws

@@ -13,6 +13,8 @@ SETTINGS = {
     # Surrogate ids written as unsigned 32-bit and ids written as bigint scan alike.
     "spark.sql.parquet.mergeSchema": "false",
     "spark.sql.parquet.compression.codec": "zstd",
+    # A whole run compiles several hundred stages; keep them for the next one.
+    "spark.sql.codegen.cache.maxEntries": "1000",
 }
 
 

@@ -73,11 +73,14 @@ def historical_scan(
     return reduce(DataFrame.unionByName, frames)
 
 
-def dated_scan(spark: SparkSession, base: str, table: str) -> DataFrame:
-    """All parquet output of a table written by one run."""
+def dated_scan(
+    spark: SparkSession, base: str, table: str, schema: T.StructType | None = None
+) -> DataFrame:
+    """All parquet output of a table written by one run; a known schema saves reading footers."""
     if not delta_names(spark, base, table, ("parquet",)):
         raise FileNotFoundError(f"no parquet output of {table} in {base}")
-    return naive_timestamps(spark.read.parquet(f"{base}/{table}_*.parquet"))
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return naive_timestamps(reader.parquet(f"{base}/{table}_*.parquet"))
 
 
 def key_scan(spark: SparkSession, base: str, table: str, key: str) -> list[DataFrame]:
