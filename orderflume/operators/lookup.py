@@ -19,8 +19,8 @@ def estimated_bytes(df: DataFrame) -> int:
 
 
 def broadcast_limit(df: DataFrame) -> int:
-    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    return df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)
+    """``spark.sql.autoBroadcastJoinThreshold`` in bytes; -1 when switched off."""
+    return df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
 
 
 def hot_keys(df: DataFrame, key: str) -> DataFrame:

@@ -289,6 +289,7 @@ where year(o_orderdate) = (select max(year(o_orderdate)) from orders)""",
     "historical_scan_declared": _HISTORY,
     "catalog_scan": f"select {_ORDER_COLUMNS} from orders",
     "ingest_once": "select * from raw_orders",
+    "stream_ingest": "select * from raw_orders",
     "enforce_schema": f"""
 select order_id, customer_id, order_status, {_P} as order_purchase_timestamp,
        {_A} as order_approved_at, {_D} as order_delivered_timestamp,

@@ -24,6 +24,7 @@ from orderflume.plans.jobs import together
 from orderflume.plans.pipeline import Run
 from orderflume.plans.workspace import Workspace
 from orderflume.sources import deltas, storage
+from orderflume.streaming.deliveries import stream_deliveries
 from orderflume.sources.ingest import HANDSHAKE_FILE, HANDSHAKE_TEXT, ingest_batch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -118,6 +119,18 @@ def ingest_once(i: Inputs) -> DataFrame:
     return i.spark.read.parquet(f"{base}/raw/df_orders_2026_03_25.parquet")
 
 
+@query
+def stream_ingest(i: Inputs) -> DataFrame:
+    """Two deliveries, each taken over by its own call of the stream."""
+    landing, base = f"{i.stage.root}/landing", f"{i.stage.root}/lake"
+    orders = i.raw("df_orders")
+    first = F.col("order_status") == "delivered"
+    for day, part in (("2026_03_25", orders.where(first)), ("2026_03_26", orders.where(~first))):
+        part.write.option("header", True).csv(f"{landing}/df_orders_{day}.csv")
+        stream_deliveries(i.spark, landing, "df_orders", base).awaitTermination()
+    return deltas.historical_scan(i.spark, f"{base}/raw", "df_orders", orders.schema)
+
+
 # --- contract rules ---------------------------------------------------------------------
 
 

@@ -22,6 +22,20 @@ def test_query(spark, connection, name):
     assert difference(ours, connection.execute(ORACLE[name]).df()) is None
 
 
+@pytest.mark.parametrize(
+    "name", ["cascade_drop", "contract_items", "contract_payments", "attach_surrogates", "pipeline_end_to_end"]
+)
+def test_query_without_broadcast(spark, connection, monkeypatch, name):
+    """The same answers when no side is small enough to broadcast and many keys count as hot."""
+    monkeypatch.setattr("orderflume.operators.lookup.HOT_MIN_ROWS", 2)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ours = QUERIES[name](spark, SF).toPandas()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert difference(ours, connection.execute(ORACLE[name]).df()) is None
+
+
 def test_entry(spark):
     assert entry_points.entry(spark).count() > 0
 

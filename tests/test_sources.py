@@ -126,3 +126,25 @@ def test_delivery_without_handshake_is_left_alone(spark, tmp_path, handshake):
 
 def test_scratch_folder_is_the_one_the_session_names(spark):
     assert storage.scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_stream_takes_each_file_over_once(spark, tmp_path):
+    from orderflume.streaming.deliveries import stream_deliveries
+
+    landing, base = tmp_path / "landing", f"{tmp_path}/lake"
+    landing.mkdir()
+
+    def run():
+        stream_deliveries(spark, str(landing), "df_payments", base).awaitTermination()
+        return sorted(
+            tuple(r)
+            for r in deltas.historical_scan(spark, f"{base}/raw", "df_payments").collect()
+        )
+
+    (landing / "df_payments_2026_03_25.csv").write_text("order_id,payment_value\no1,1.5\no1,1.5\n")
+    (landing / "df_orders_2026_03_25.csv").write_text("order_id\nx\n")
+    assert run() == [("o1", "1.5"), ("o1", "1.5")]
+    (landing / "df_payments_2026_03_26.csv").write_text("order_id,payment_value\no2,\n")
+    assert run() == run() == [("o1", "1.5"), ("o1", "1.5"), ("o2", None)]
+    names = deltas.delta_names(spark, f"{base}/raw", "df_payments")
+    assert names == ["df_payments_2026_03_25.parquet", "df_payments_2026_03_26.parquet"]
