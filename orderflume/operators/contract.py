@@ -170,14 +170,16 @@ def _child_reason(check_parent: bool) -> str:
     return f"case when coalesce(_invalid, false) then '{CASCADE}' {orphan} end"
 
 
-def prune_children(flagged: DataFrame, membership: DataFrame, check_parent: bool) -> DataFrame:
+def prune_children(
+    flagged: DataFrame, membership: DataFrame, check_parent: bool, unique: bool = False
+) -> DataFrame:
     """Rows of a flagged child table that pass both the cascade and the parent rule.
 
     Further columns of ``membership`` (the order's surrogate) come along, which saves a
-    second trip of all child rows to the same key.
+    second trip of all child rows to the same key. ``unique``: each order has one row.
     """
     extra = [c for c in membership.columns if c not in ("order_id", "_valid", "_invalid")]
-    joined = lookup_join(kept(flagged), membership, "order_id", scan=flagged)
+    joined = lookup_join(kept(flagged), membership, "order_id", scan=flagged, unique=unique)
     return joined.where(f"{_child_reason(check_parent)} is null").select(*flagged.columns, *extra)
 
 

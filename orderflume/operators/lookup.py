@@ -42,6 +42,7 @@ def lookup_join(
     key: str,
     *,
     scan: DataFrame | None = None,
+    unique: bool = False,
     small: int | None = None,
 ) -> DataFrame:
     """``df`` left-joined to ``lookup`` on ``key``; ``lookup`` must be unique per key.
@@ -53,11 +54,12 @@ def lookup_join(
 
     Hot keys are looked for in ``scan``: a stored frame ``df`` comes from, of which only the
     key column is read. Without it ``df`` itself is evaluated for them. Which keys are taken
-    for hot decides where rows go, never what they get.
+    for hot decides where rows go, never what they get. Where a gate has established that
+    ``df`` holds each key once (``unique``), there is nothing to look for.
     """
     limit = broadcast_limit(df) if small is None else small
     values = [c for c in lookup.columns if c != key]
-    if estimated_bytes(lookup) <= limit:
+    if unique or estimated_bytes(lookup) <= limit:
         return df.join(lookup, key, "left").select(*df.columns, *values)
 
     hot = hot_keys(df if scan is None else scan, key)

@@ -84,14 +84,18 @@ def resolve_mapping(batch: DataFrame, registry: DataFrame | None, key: str, curr
 
 
 def attach_surrogates(
-    df: DataFrame, mappings: dict[str, DataFrame], scan: DataFrame | None = None
+    df: DataFrame,
+    mappings: dict[str, DataFrame],
+    scan: DataFrame | None = None,
+    unique: tuple[str, ...] = (),
 ) -> DataFrame:
     """Adds ``<id>_int`` for every id in the table that has none yet.
 
     One seller, customer or product may fill most of a table, which ``lookup_join`` takes
-    care of; ``scan`` is the stored frame it may look for such ids in.
+    care of; ``scan`` is the stored frame it may look for such ids in. ``unique`` names the
+    ids the table is known to hold once.
     """
     for key in SURROGATE_KEYS:
         if key in df.columns and key in mappings and int_name(key) not in df.columns:
-            df = lookup_join(df, mappings[key], key, scan=scan)
+            df = lookup_join(df, mappings[key], key, scan=scan, unique=key in unique)
     return df

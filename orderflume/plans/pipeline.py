@@ -29,16 +29,32 @@ from orderflume.model import (
 from orderflume.operators import surrogates
 from orderflume.operators.assembly import assemble_events, dimension_reference
 from orderflume.operators.contract import (
+    COPIES,
+    REASON,
     conform,
     contract_metrics,
+    data_columns,
     flag_rows,
-    has_parents,
     kept,
-    order_membership,
     prune_children,
 )
+from orderflume.operators.ledger import (
+    CHILDREN,
+    SHORT_NAMES,
+    child_metrics,
+    key_numbers,
+    ledger_membership,
+    ledger_summary,
+    order_ledger,
+)
 from orderflume.operators.semantic import build_module, grain_check
-from orderflume.operators.validation import ERROR, collapse_for_checks, table_reports
+from orderflume.operators.validation import (
+    CHECKS,
+    ERROR,
+    WARNING,
+    collapse_for_checks,
+    validate_table,
+)
 from orderflume.plans.jobs import together
 from orderflume.plans.publish import publish
 from orderflume.plans.workspace import Workspace
@@ -63,6 +79,8 @@ class Run:
         self.stage = Stage(spark, ws.staging)
         self.reports: dict[str, object] = {}
         self.stems: dict[str, str] = {}
+        self.ledger: DataFrame | None = None
+        self.summary: dict[str, int] | None = None
 
     def record(self, name: str, report: object) -> None:
         self.reports[name] = report
@@ -93,21 +111,45 @@ class Run:
         self,
         name: str,
         tables: dict[str, DataFrame],
+        summary: dict[str, int] | None,
         textual: frozenset[str],
         fatal: Callable[[dict], bool],
     ) -> None:
-        """Findings are a few rows per table and column, whatever the size of the data."""
-        reports = table_reports(tables, textual)
-        collected = together(self.spark, *[lambda r=r: r.collect() for r in reports])
-        findings = [row.asDict() for rows in collected for row in rows]
+        """Findings are a few rows per table and column, whatever the size of the data.
+
+        ``summary`` holds what the order ledger has counted; without it (a table lacks its
+        columns) every table is checked on its own.
+        """
+
+        def check(table: str) -> list[dict]:
+            known = key_numbers(summary, table) if summary and table in SHORT_NAMES else None
+            report = validate_table(tables[table], TABLES[table], table in textual, known)
+            return [row.asDict() for row in report.collect()]
+
+        checked = together(self.spark, *[lambda t=t: check(t) for t in tables])
+        findings = [finding for part in checked for finding in part]
+        for table in CHILDREN if summary else ():
+            orphans = summary[f"{SHORT_NAMES[table]}_orphans"]
+            if orphans:
+                values = (table, "orphan_rows", "order_id", WARNING, orphans)
+                findings.append(dict(zip(CHECKS.names, values)))
         self.record(name, {"status": "failed" if findings else "success", "findings": findings})
         stopping = [f for f in findings if fatal(f)]
         if stopping:
             raise StageFailure(f"{name}: {stopping}")
 
+    def take_ledger(self, flagged: dict[str, DataFrame]) -> None:
+        """Gather what is known per order id, once for gate, surrogates and contract."""
+        self.ledger = self.stage.put("order_ledger", order_ledger(flagged))
+        self.summary = ledger_summary(self.ledger).first().asDict()
+
     def raw_gate(self, flagged: dict[str, DataFrame], textual: frozenset[str]) -> None:
         """Only errors stop a run here; the contract removes what is merely a warning."""
-        self.gate("initial_validation", flagged, textual, lambda f: f["severity"] == ERROR)
+        if all(REASON in flagged[t].columns for t in SHORT_NAMES):
+            self.take_ledger(flagged)
+        self.gate(
+            "initial_validation", flagged, self.summary, textual, lambda f: f["severity"] == ERROR
+        )
 
     # --- surrogates -----------------------------------------------------------------------
 
@@ -115,7 +157,10 @@ class Run:
         """Mapping of one id for this run; new ids go to the registry as this run's delta."""
         spark, number = self.spark, int_name(key)
         registry_path = f"{self.ws.id_mapping}/{key}"
-        batch = surrogates.discover_keys([flagged[t] for t in tables_with(key)], key)
+        if key == "order_id":
+            batch = self.ledger.where("order_id is not null").select("order_id")
+        else:
+            batch = surrogates.discover_keys([flagged[t] for t in tables_with(key)], key)
         if storage.entries(spark, registry_path):
             registry = spark.read.schema(f"{key} string, {number} bigint").parquet(
                 f"{registry_path}/*.parquet"
@@ -144,37 +189,33 @@ class Run:
 
     def contract(self, flagged: dict[str, DataFrame], mappings: dict[str, DataFrame]) -> None:
         """Contracted tables of this run, waiting next to the history for the second gate."""
-        orders, items = flagged["df_orders"], flagged["df_order_items"]
-        order_ids = mappings["order_id"]
-
-        def stage_membership(name: str, ids: DataFrame) -> DataFrame:
-            return self.stage.put(name, ids.join(order_ids, "order_id", "left"))
-
-        for_items, for_payments = together(
-            self.spark,
-            lambda: stage_membership("membership_items", order_membership(orders)),
-            lambda: stage_membership("membership_payments", order_membership(orders, items)),
+        lines = self.stage.put(
+            "order_lines", self.ledger.join(mappings["order_id"], "order_id", "left")
         )
-        memberships = {"df_order_items": for_items, "df_payments": for_payments}
-        check_parent = has_parents(for_items)
+        memberships = {t: ledger_membership(lines, t) for t in CHILDREN}
+        check_parent = self.summary["valid_orders"] > 0
 
+        # The raw gate let no key through that has two different rows, so a collapsed table
+        # holds its primary key once; null keys were rejected.
         def write(table: str) -> None:
             spec, rows = TABLES[table], flagged[table]
             if spec.role == TRANSACTION_DETAIL:
-                pruned = prune_children(rows, memberships[table], check_parent)
+                pruned = prune_children(rows, memberships[table], check_parent, unique=True)
                 conformed = conform(pruned, spec, keep=(int_name("order_id"),))
             else:
                 conformed = conform(kept(rows), spec)
-            silver = surrogates.attach_surrogates(conformed, mappings, scan=rows)
+            silver = surrogates.attach_surrogates(
+                conformed, mappings, scan=rows, unique=spec.primary_key
+            )
             frozen(silver, silver_schema(table)).write.parquet(
                 f"{self.ws.pending}/{self.stems[table]}.parquet"
             )
 
         def count(table: str) -> dict:
-            metrics = contract_metrics(
-                flagged[table], TABLES[table], memberships.get(table), check_parent
-            )
-            return metrics.first().asDict()
+            cut = len(data_columns(flagged[table])) - len(TABLES[table].required)
+            if table in CHILDREN:
+                return child_metrics(self.summary, table, cut)
+            return contract_metrics(flagged[table], TABLES[table]).first().asDict()
 
         done = together(
             self.spark,
@@ -185,15 +226,33 @@ class Run:
 
     def silver_gate(self) -> None:
         """After the contract nothing may be left to report."""
-
-        def load(table: str) -> DataFrame:
-            df = self.spark.read.schema(silver_schema(table)).parquet(
-                f"{self.ws.pending}/{self.stems[table]}.parquet"
+        tables = {
+            t: self.spark.read.schema(silver_schema(t)).parquet(
+                f"{self.ws.pending}/{self.stems[t]}.parquet"
             )
-            return collapse_for_checks(df, list(TABLES[table].primary_key))
+            for t in TABLES
+        }
+        # Where no key repeats, no row does: each table is then its own collapsed form.
+        single = {
+            t: df.selectExpr("*", f"1L as {COPIES}", f"cast(null as string) as {REASON}")
+            for t, df in tables.items()
+        }
+
+        def count_orders() -> dict[str, int]:
+            return ledger_summary(order_ledger(single)).first().asDict()
 
-        tables = dict(zip(TABLES, together(self.spark, *[lambda t=t: load(t) for t in TABLES])))
-        self.gate("post_contract_validation", tables, frozenset(), lambda finding: True)
+        others = [t for t in TABLES if t not in SHORT_NAMES]
+        summary, *collapsed = together(
+            self.spark,
+            count_orders,
+            *[lambda t=t: collapse_for_checks(tables[t], list(TABLES[t].primary_key)) for t in others],
+        )
+        checked = {**single, **dict(zip(others, collapsed))}
+        if any(key_numbers(summary, t) != (0, 0) for t in SHORT_NAMES):
+            checked, summary = tables, None  # find out exactly what repeats
+        self.gate("post_contract_validation", checked, summary, frozenset(), lambda finding: True)
+        if summary is None:
+            raise StageFailure("post_contract_validation: repeated order ids")
 
     def promote(self) -> None:
         promote_deltas(self.spark, self.ws.pending, self.ws.contracted, list(TABLES))

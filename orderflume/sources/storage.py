@@ -102,5 +102,6 @@ class Stage:
 
     def put(self, name: str, df: DataFrame) -> DataFrame:
         path = f"{self.root}/{name}"
-        df.write.parquet(path)  # a name is used once per run
+        # read back within minutes: cheap compression; a name is used once per run
+        df.write.option("compression", "snappy").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)

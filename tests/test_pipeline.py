@@ -124,6 +124,7 @@ def test_warnings_end_the_run_after_the_contract(spark, tmp_path):
     ws = Workspace(lake(tmp_path))
     run = Run(spark, ws)
     flagged, textual = run.load_raw()
+    run.raw_gate(flagged, textual)
     run.contract(flagged, run.resolve_mappings(flagged))
     spark.sql("select 'zz' as order_id, 'p' as product_id, 's' as seller_id, cast(1 as float) as price").write.mode(
         "overwrite"
