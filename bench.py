@@ -34,7 +34,7 @@ HEADLINE = (
     "payments_by_order",
     "pk_conflicts",
     "dedupe_exact",
-    "pipeline_end_to_end",
+    "end_to_end_run",
 )
 
 

@@ -405,7 +405,7 @@ select seller_id_int, min(order_date) as first_order_date,
     "product_dim": _first_version(
         "products_ok", "product_id", _columns("df_products"), "product_category_name", _MEASURES
     ),
-    "pipeline_end_to_end": _weekly("events_silver", "seller"),
+    "end_to_end_run": _weekly("events_silver", "seller"),
     "published_view": """
 select customer_id_int, customer_state, customer_city, customer_segment, account_creation_date
 from customers_ok left join customer_map using (customer_id)""",

@@ -111,7 +111,7 @@ def catalog_scan(i: Inputs) -> DataFrame:
 @query
 def ingest_once(i: Inputs) -> DataFrame:
     """A delivered folder taken over twice lands once."""
-    folder, base = f"{i.stage.root}/delivery/operations_2026_03_25", f"{i.stage.root}/lake"
+    folder, base = f"{i.stage.root}/delivery/delivery_2026_03_25", f"{i.stage.root}/lake"
     i.raw("df_orders").write.option("header", True).csv(f"{folder}/df_orders_2026_03_25.csv")
     storage.write_text(i.spark, f"{folder}/{HANDSHAKE_FILE}", HANDSHAKE_TEXT)
     for _ in range(2):
@@ -338,9 +338,10 @@ def validation_report(i: Inputs) -> DataFrame:
 
 
 def _order_batch(i: Inputs) -> DataFrame:
-    return surrogates.discover_keys(
-        [i.raw(t) for t in ("df_orders", "df_order_items", "df_payments")], "order_id"
-    )
+    """Order ids of this run, staged because matching and numbering both read them."""
+    tables = ("df_orders", "df_order_items", "df_payments")
+    batch = surrogates.discover_keys([i.raw(t) for t in tables], "order_id")
+    return i.stage.put("order_batch", batch)
 
 
 def _order_registry(i: Inputs) -> DataFrame:
@@ -355,15 +356,19 @@ def discover_keys(i: Inputs) -> DataFrame:
     return surrogates.discover_keys([i.raw("df_orders"), i.raw("df_customers")], "customer_id")
 
 
+def _registry_and_batch(i: Inputs) -> tuple[DataFrame, DataFrame]:
+    return tuple(together(i.spark, lambda: _order_registry(i), lambda: _order_batch(i)))
+
+
 @query
 def known_mappings(i: Inputs) -> DataFrame:
-    return surrogates.known_mappings(_order_registry(i), _order_batch(i), "order_id")
+    return surrogates.known_mappings(*_registry_and_batch(i), "order_id")
 
 
 @query
 def new_keys(i: Inputs) -> DataFrame:
-    batch = _order_batch(i)
-    known = surrogates.known_mappings(_order_registry(i), batch, "order_id")
+    registry, batch = _registry_and_batch(i)
+    known = surrogates.known_mappings(registry, batch, "order_id")
     return surrogates.new_keys(batch, known, "order_id")
 
 
@@ -379,18 +384,24 @@ def assign_surrogates(i: Inputs) -> DataFrame:
 
 @query
 def resolve_mapping(i: Inputs) -> DataFrame:
-    registry = _order_registry(i)
+    registry, batch = _registry_and_batch(i)
     current = surrogates.max_surrogate(registry, "order_id").first()[0]
-    return surrogates.resolve_mapping(_order_batch(i), registry, "order_id", current)
+    return surrogates.resolve_mapping(batch, registry, "order_id", current)
 
 
 @query
 def attach_surrogates(i: Inputs) -> DataFrame:
-    customers = surrogates.discover_keys([i.raw("df_orders"), i.raw("df_customers")], "customer_id")
-    mappings = {
-        key: i.stage.put(f"map_{key}", surrogates.assign_surrogates(batch, key, 0))
-        for key, batch in {"order_id": _order_batch(i), "customer_id": customers}.items()
-    }
+    def number(key: str, *tables: str) -> DataFrame:
+        batch = surrogates.discover_keys([i.raw(t) for t in tables], key)
+        return i.stage.put(f"map_{key}", surrogates.assign_surrogates(batch, key, 0))
+
+    order_ids, customer_ids, _ = together(
+        i.spark,
+        lambda: number("order_id", "df_orders", "df_order_items", "df_payments"),
+        lambda: number("customer_id", "df_orders", "df_customers"),
+        lambda: i.flagged("df_orders"),
+    )
+    mappings = {"order_id": order_ids, "customer_id": customer_ids}
     orders = i.contracted("df_orders").select("order_id", "customer_id", "order_status")
     return surrogates.attach_surrogates(orders, mappings)
 
@@ -525,7 +536,7 @@ def _published_run(i: Inputs) -> Workspace:
 
 
 @query
-def pipeline_end_to_end(i: Inputs) -> DataFrame:
+def end_to_end_run(i: Inputs) -> DataFrame:
     ws = _published_run(i)
     published = f"{ws.version}/seller_semantic/seller_weekly_fact_*.parquet"
     return _rounded(i.spark.read.parquet(published))

@@ -23,7 +23,7 @@ def test_query(spark, connection, name):
 
 
 @pytest.mark.parametrize(
-    "name", ["cascade_drop", "contract_items", "contract_payments", "attach_surrogates", "pipeline_end_to_end"]
+    "name", ["cascade_drop", "contract_items", "contract_payments", "attach_surrogates", "end_to_end_run"]
 )
 def test_query_without_broadcast(spark, connection, monkeypatch, name):
     """The same answers when no side is small enough to broadcast and many keys count as hot."""

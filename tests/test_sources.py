@@ -99,7 +99,7 @@ def test_pointer_is_replaced_in_one_step(spark, tmp_path):
 
 
 def delivery(tmp_path, handshake="file-upload=safe"):
-    folder = tmp_path / "in" / "operations_2026_03_25"
+    folder = tmp_path / "in" / "delivery_2026_03_25"
     folder.mkdir(parents=True)
     (folder / "df_orders_2026_03_25.csv").write_text("order_id\no1\no2\n")
     if handshake:
@@ -112,8 +112,8 @@ def test_delivery_is_taken_over_once(spark, tmp_path):
     first = ingest_batch(spark, folder, base)
     assert first["status"] == "success" and first["files_processed"] == ["df_orders_2026_03_25.csv"]
     assert spark.read.parquet(f"{base}/raw/df_orders_2026_03_25.parquet").count() == 2
-    assert spark.read.parquet(f"{base}/archive/operations_2026_03_25/df_orders_2026_03_25.parquet").count() == 2
-    assert storage.exists(spark, f"{base}/status/operations_2026_03_25.success")
+    assert spark.read.parquet(f"{base}/archive/delivery_2026_03_25/df_orders_2026_03_25.parquet").count() == 2
+    assert storage.exists(spark, f"{base}/status/delivery_2026_03_25.success")
     assert ingest_batch(spark, folder, base)["status"] == "skipped"
 
 
@@ -121,7 +121,7 @@ def test_delivery_is_taken_over_once(spark, tmp_path):
 def test_delivery_without_handshake_is_left_alone(spark, tmp_path, handshake):
     folder, base = delivery(tmp_path, handshake)
     assert ingest_batch(spark, folder, base)["status"] == "failed"
-    assert not storage.exists(spark, f"{base}/status/operations_2026_03_25.success")
+    assert not storage.exists(spark, f"{base}/status/delivery_2026_03_25.success")
 
 
 def test_scratch_folder_is_the_one_the_session_names(spark):
