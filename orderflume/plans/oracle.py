@@ -281,7 +281,35 @@ order_delivered_timestamp, lead_time_days, approval_lag_days, delivery_delay_day
 order_year_week"""
 _MEASURES = ("product_length_cm", "product_height_cm", "product_width_cm", "product_weight_g")
 
+
+
+def _ledger_lines(own: str, rejected: str) -> str:
+    shorts, counters = ("orders", "items", "payments"), ("versions", "rows", "rejected")
+    values = {"versions": "1", "rows": "copies", "rejected": f"({rejected})::int"}
+    columns = [
+        f"{values[c] if s == own else '0'} as {s}_{c}" for s in shorts for c in counters
+    ]
+    return f"select order_id, {', '.join(columns)} from {own}_flagged"
+
+
+_NULL_RULE = "reason is not distinct from 'removed_null_values'"
+
 BODIES: dict[str, str] = {
+    "order_ledger": "select order_id, "
+    + ", ".join(
+        f"sum({s}_{c})::bigint as {s}_{c}"
+        for s in ("orders", "items", "payments")
+        for c in ("versions", "rows", "rejected")
+    )
+    + " from ("
+    + " union all ".join(
+        [
+            _ledger_lines("orders", "reason is not null"),
+            _ledger_lines("items", _NULL_RULE),
+            _ledger_lines("payments", _NULL_RULE),
+        ]
+    )
+    + ") lines group by order_id",
     "latest_delta": f"""select {_ORDER_COLUMNS} from orders
 where year(o_orderdate) = (select max(year(o_orderdate)) from orders)""",
     "csv_scan": "select * from raw_customers",

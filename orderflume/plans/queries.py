@@ -18,7 +18,7 @@ from orderflume.model import (
     int_name,
     weekly_fact_schema,
 )
-from orderflume.operators import assembly, contract, semantic, surrogates, validation
+from orderflume.operators import assembly, contract, ledger, semantic, surrogates, validation
 from orderflume.plans.inputs import Inputs
 from orderflume.plans.jobs import together
 from orderflume.plans.pipeline import Run
@@ -230,6 +230,13 @@ def contract_metrics(i: Inputs) -> DataFrame:
     )
 
 
+@query
+def order_ledger(i: Inputs) -> DataFrame:
+    """Counters per order id that gate and contract share."""
+    together(i.spark, *[lambda t=t: i.flagged(t) for t in ledger.SHORT_NAMES])
+    return ledger.order_ledger({t: i.flagged(t) for t in ledger.SHORT_NAMES})
+
+
 # --- validation -------------------------------------------------------------------------
 
 
