@@ -320,6 +320,8 @@ class Run:
             self.model()
             self.publish()
             status = "SUCCESS"
+            # As large as the raw data and of no use to anyone now; a failed run keeps it.
+            storage.remove_directory(self.spark, self.ws.staging)
         finally:
             ended = datetime.now(timezone.utc)
             storage.write_json(

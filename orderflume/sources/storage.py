@@ -93,6 +93,11 @@ def scratch_root(spark: SparkSession) -> str:
     return named
 
 
+def remove_directory(spark: SparkSession, path: str) -> None:
+    fs, target = _handle(spark, path)
+    fs.delete(target, True)
+
+
 class Stage:
     """Intermediate tables of one run, written so that later steps restart from disk."""
 

@@ -68,6 +68,7 @@ def test_a_run_from_csv_to_published_tables(spark, tmp_path):
     pointer = json.loads(storage.read_text(spark, ws.latest_pointer))
     assert pointer["version"] == f"v{ws.run_id}" and pointer["run_year"] == int(ws.run_id[:4])
     assert json.loads(storage.read_text(spark, ws.metadata))["status"] == "SUCCESS"
+    assert storage.exists(spark, ws.semantic) and not storage.exists(spark, ws.staging)
     report = json.loads(storage.read_text(spark, f"{ws.logs}/contract_application.json"))["report"]
     by_table = {r["table_name"]: r for r in report}
     assert by_table["df_orders"]["removed_column"] == 1
