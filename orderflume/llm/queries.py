@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderflume.llm import langid, pii
+from orderflume.llm import langid, pii, simhash
 from orderflume.llm.common import table
 
 
@@ -17,9 +17,14 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, langid.fit(docs))
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.digest(simhash.near_duplicates(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op3_language": op3_language,
+    "op10_simhash": op10_simhash,
 }
 
 ORACLE_SQL: dict[str, str] = {}
