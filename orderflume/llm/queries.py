@@ -4,27 +4,97 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderflume.llm import langid, pii, simhash
+from orderflume.llm import langid, neardup, packing, pieces, pii, quality, simhash, suffixtree, topk, toxicity
 from orderflume.llm.common import table
 
 
+def packing_tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def piece_model() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find_spans(table(spark, sf_dir, "documents")))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.severity(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return langid.predict(docs, langid.fit(docs))
 
 
+def op4_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixtree.score(table(spark, sf_dir, "documents"))
+
+
+def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trip(table(spark, sf_dir, "documents"), piece_model())
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), packing_tokenizer())
+
+
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), "vec_id % 100 = 0", 10)
+
+
+def op8_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(simhash.near_duplicates(table(spark, sf_dir, "documents")))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_pii": op1_pii,
+    "op2_toxicity": op2_toxicity,
     "op3_language": op3_language,
+    "op4_suffix_tree": op4_suffix_tree,
+    "op5_pieces": op5_pieces,
+    "op6_packing": op6_packing,
+    "op7_topk": op7_topk,
+    "op8_pivots": op8_pivots,
+    "op9_quality": op9_quality,
     "op10_simhash": op10_simhash,
+    "pipeline": pipeline,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: What SQL can say in full; the learned, hashed and tokenized ones are tested against brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op7_topk": """
+        with scaled as (
+          select vec_id, list_transform(embedding, x -> cast(floor(1024 * cast(x as double)) as bigint)) as v from embeddings
+          where vec_id is not null and len(embedding) > 0
+            and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+        ), queries as (select vec_id as query_id, v as q from scaled where vec_id % 100 = 0),
+        scores as (
+          select query_id, vec_id, cast(list_sum(list_transform(list_zip(q, v), p -> p[1] * p[2])) as bigint) as score
+          from queries join scaled on query_id <> vec_id
+        ), ranked as (select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank from scores)
+        select query_id, rank, vec_id, score from ranked where rank <= 10
+    """,
+}
