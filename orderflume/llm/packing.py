@@ -35,8 +35,8 @@ END_ID = 2
 GRID = 16
 GAP = 1e-3
 SALTS = 256
-CACHED_WORDS = 700_000
-STEP = 400_000
+CACHED_WORDS = 1_400_000
+STEP = 2_000_000
 
 
 #: Ends of words that are split off before the rest is looked up.
