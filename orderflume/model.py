@@ -9,7 +9,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
-STRING, LONG, SHORT = T.StringType(), T.LongType(), T.ShortType()
+STRING, LONG, INT = T.StringType(), T.LongType(), T.IntegerType()
 FLOAT, STAMP = T.FloatType(), T.TimestampNTZType()
 
 EVENT_FACT = "event_fact"
@@ -124,7 +124,6 @@ REQUIRED_TIMESTAMPS = list(TIMESTAMP_TEXT)
 
 # Ids that get an integer surrogate. A table holds the id if its schema names it.
 SURROGATE_KEYS = ("order_id", "customer_id", "product_id", "seller_id")
-MAX_SURROGATE = 2**32 - 2  # unsigned 32-bit, less the one value that marks a missing id
 
 ASSEMBLED = T.StructType(
     [
@@ -137,9 +136,9 @@ ASSEMBLED = T.StructType(
         T.StructField("order_purchase_timestamp", STAMP),
         T.StructField("order_approved_at", STAMP),
         T.StructField("order_delivered_timestamp", STAMP),
-        T.StructField("lead_time_days", SHORT),
-        T.StructField("approval_lag_days", SHORT),
-        T.StructField("delivery_delay_days", SHORT),
+        T.StructField("lead_time_days", INT),
+        T.StructField("approval_lag_days", INT),
+        T.StructField("delivery_delay_days", INT),
         T.StructField("order_date", STAMP),
         T.StructField("order_year_week", STRING),
     ]
@@ -148,14 +147,14 @@ ASSEMBLED = T.StructType(
 WEEKLY_MEASURES = [
     T.StructField("order_year_week", STRING),
     T.StructField("week_start_date", STAMP),
-    T.StructField("weekly_order_count", SHORT),
-    T.StructField("weekly_delivered_orders", SHORT),
-    T.StructField("weekly_cancelled_orders", SHORT),
+    T.StructField("weekly_order_count", INT),
+    T.StructField("weekly_delivered_orders", INT),
+    T.StructField("weekly_cancelled_orders", INT),
     T.StructField("weekly_revenue", FLOAT),
     T.StructField("weekly_avg_lead_time", FLOAT),
-    T.StructField("weekly_total_lead_time", SHORT),
+    T.StructField("weekly_total_lead_time", LONG),
     T.StructField("weekly_avg_delivery_delay", FLOAT),
-    T.StructField("weekly_total_delivery_delay", SHORT),
+    T.StructField("weekly_total_delivery_delay", LONG),
     T.StructField("weekly_avg_approval_lag", FLOAT),
 ]
 

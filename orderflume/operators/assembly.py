@@ -10,8 +10,9 @@ from orderflume.functions.rows import frozen
 from orderflume.functions.temporal import day_floor, iso_year_week, whole_days
 from orderflume.model import ASSEMBLED
 
-# Surrogates are unsigned 32-bit numbers; the top value is never given out.
-_HALF, _LOW, _MISSING = f"{2**31}L", f"{2**32 - 1}L", f"{2**32 - 1}L"
+# A pair of bigints as one decimal: the first in units of 10^19, which no bigint reaches.
+_UNIT = "cast('10000000000000000000' as decimal(20, 0))"
+_MISSING = f"{2**63 - 1}L"
 
 
 def payments_by_order(payments: DataFrame) -> DataFrame:
@@ -24,19 +25,19 @@ def payments_by_order(payments: DataFrame) -> DataFrame:
 def items_by_order(items: DataFrame) -> DataFrame:
     """The (product, seller) pair of one item of each order, always the lowest pair.
 
-    Both are unsigned 32-bit numbers, so the pair is compared as one signed bigint. That
-    keeps the aggregate in a hash map, where ``min(struct)`` would sort every partition.
-    A missing surrogate takes the unused top value, so known pairs come first.
+    The pair is compared as one decimal of fixed width. That keeps the aggregate in a hash
+    map, where ``min(struct)`` would sort every partition. A missing surrogate takes the top
+    value, so known pairs come first.
     """
     pair = (
-        f"shiftleft(coalesce(cast(product_id_int as bigint), {_MISSING}) - {_HALF}, 32)"
-        f" | coalesce(cast(seller_id_int as bigint), {_MISSING})"
+        f"cast(coalesce(product_id_int, {_MISSING}) as decimal(19, 0)) * {_UNIT}"
+        f" + cast(coalesce(seller_id_int, {_MISSING}) as decimal(19, 0))"
     )
-    lowest = items.groupBy("order_id_int").agg(F.expr(f"min({pair}) as _pair"))
+    lowest = items.groupBy("order_id_int").agg(F.expr(f"min(cast({pair} as decimal(38, 0))) as _pair"))
     return lowest.selectExpr(
         "order_id_int",
-        f"nullif(shiftright(_pair, 32) + {_HALF}, {_MISSING}) as product_id_int",
-        f"nullif(_pair & {_LOW}, {_MISSING}) as seller_id_int",
+        f"nullif(_pair div {_UNIT}, {_MISSING}) as product_id_int",
+        f"nullif(cast(_pair % {_UNIT} as bigint), {_MISSING}) as seller_id_int",
     )
 
 
@@ -74,7 +75,7 @@ def derive_fields(merged: DataFrame) -> DataFrame:
     }
     return merged.selectExpr(
         *[c for c in merged.columns if c != "order_estimated_delivery_date"],
-        *[f"cast({days_between} as smallint) as {name}" for name, days_between in days.items()],
+        *[f"cast({days_between} as int) as {name}" for name, days_between in days.items()],
         f"{day_floor('order_purchase_timestamp')} as order_date",
         f"{iso_year_week('order_purchase_timestamp')} as order_year_week",
     )

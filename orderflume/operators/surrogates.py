@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderflume.model import MAX_SURROGATE, SURROGATE_KEYS, int_name
+from orderflume.model import SURROGATE_KEYS, int_name
 from orderflume.operators.lookup import lookup_join
 
 # Hex digits of the key's md5 that pick its numbering bucket: 16**3 buckets. Keys are
@@ -67,11 +67,8 @@ def assign_surrogates(
         .agg(F.expr("cast(max(_place) as bigint) as _size"))
         .selectExpr("_bucket", "sum(_size) over (order by _bucket) - _size as _shift")
     )
-    value = f"{current_max}L + _shift + _place"
     return numbered.join(F.broadcast(shifts), "_bucket").selectExpr(
-        key,
-        f"case when {value} <= {MAX_SURROGATE}L then {value}"
-        f" else raise_error('{number} exceeds the unsigned 32-bit range') end as {number}",
+        key, f"{current_max}L + _shift + _place as {number}"
     )
 
 

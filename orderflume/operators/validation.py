@@ -69,16 +69,18 @@ def chronology_counts(df: DataFrame) -> dict[str, str]:
 def negative_counts(df: DataFrame, text_numbers: bool = False) -> dict[str, str]:
     """Negative values per numeric column.
 
-    With ``text_numbers`` (CSV input, where every column is text) a column counts as numeric
-    when each of its values reads as a number.
+    With ``text_numbers`` text columns are looked at too: those declared numeric count their
+    negatives whatever else they hold, others if each of their values reads as a number.
     """
+    declared = {f.name for spec in TABLES.values() for f in spec.schema if isinstance(f.dataType, T.NumericType)}
     counts = {c: rows_where(f"`{c}` < 0") for c in numeric_columns(df) if c != COPIES}
     if text_numbers:
         for f in df.schema:
             if isinstance(f.dataType, T.StringType) and f.name in data_columns(df):
                 number = f"try_cast(`{f.name}` as double)"
                 words = f"count_if(`{f.name}` is not null and {number} is null)"
-                counts[f.name] = f"case when {words} = 0 then {rows_where(f'{number} < 0')} else 0L end"
+                below = rows_where(f"{number} < 0")
+                counts[f.name] = below if f.name in declared else f"case when {words} = 0 then {below} else 0L end"
     return counts
 
 

@@ -42,14 +42,14 @@ def _weekly(events: str, entity: str) -> str:
     return f"""
 select {entity}_id_int, order_year_week,
        min(date_trunc('week', order_date))::timestamp as week_start_date,
-       count(order_id_int)::smallint as weekly_order_count,
-       count(*) filter (where order_status = 'delivered')::smallint as weekly_delivered_orders,
-       count(*) filter (where order_status = 'cancelled')::smallint as weekly_cancelled_orders,
+       count(order_id_int)::int as weekly_order_count,
+       count(*) filter (where order_status = 'delivered')::int as weekly_delivered_orders,
+       count(*) filter (where order_status = 'cancelled')::int as weekly_cancelled_orders,
        round(coalesce(sum(order_revenue::double), 0)::float::double, 2) as weekly_revenue,
        round(avg(lead_time_days)::float::double, 6) as weekly_avg_lead_time,
-       coalesce(sum(lead_time_days), 0)::smallint as weekly_total_lead_time,
+       coalesce(sum(lead_time_days), 0)::bigint as weekly_total_lead_time,
        round(avg(delivery_delay_days)::float::double, 6) as weekly_avg_delivery_delay,
-       coalesce(sum(delivery_delay_days), 0)::smallint as weekly_total_delivery_delay,
+       coalesce(sum(delivery_delay_days), 0)::bigint as weekly_total_delivery_delay,
        round(avg(approval_lag_days)::float::double, 6) as weekly_avg_approval_lag
 from {events}
 group by {entity}_id_int, order_year_week
@@ -61,9 +61,9 @@ def _events(orders: str, items: str, payments: str) -> str:
 select o.order_id_int, p.order_revenue, i.seller_id_int, o.customer_id_int, i.product_id_int,
        o.order_status, o.order_purchase_timestamp, o.order_approved_at,
        o.order_delivered_timestamp,
-       date_sub('day', o.order_approved_at, o.order_delivered_timestamp)::smallint as lead_time_days,
-       date_sub('day', o.order_purchase_timestamp, o.order_approved_at)::smallint as approval_lag_days,
-       date_sub('day', o.order_estimated_delivery_date, o.order_delivered_timestamp)::smallint
+       date_sub('day', o.order_approved_at, o.order_delivered_timestamp)::int as lead_time_days,
+       date_sub('day', o.order_purchase_timestamp, o.order_approved_at)::int as approval_lag_days,
+       date_sub('day', o.order_estimated_delivery_date, o.order_delivered_timestamp)::int
            as delivery_delay_days,
        date_trunc('day', o.order_purchase_timestamp)::timestamp as order_date,
        strftime(o.order_purchase_timestamp, '%G-W%V') as order_year_week
@@ -318,6 +318,8 @@ where year(o_orderdate) = (select max(year(o_orderdate)) from orders)""",
     "catalog_scan": f"select {_ORDER_COLUMNS} from orders",
     "ingest_once": "select * from raw_orders",
     "stream_ingest": "select * from raw_orders",
+    "ingest_mixed_formats": "select * from raw_orders",
+    "stream_late_parts": "select * from raw_orders",
     "enforce_schema": f"""
 select order_id, customer_id, order_status, {_P} as order_purchase_timestamp,
        {_A} as order_approved_at, {_D} as order_delivered_timestamp,
@@ -396,14 +398,18 @@ select l_orderkey as order_id_int, round(sum(l_extendedprice), 2) as order_reven
 from lineitem group by l_orderkey""",
     "items_by_order": """
 select l_orderkey as order_id_int, l_partkey as product_id_int, l_suppkey as seller_id_int
+from (select *, row_number() over (partition by l_orderkey order by l_partkey, l_suppkey) as place
+      from lineitem) where place = 1""",
+    "items_by_order_wide": """
+select l_orderkey as order_id_int, l_partkey + 8589934592 as product_id_int, l_suppkey + 8589934592 as seller_id_int
 from (select *, row_number() over (partition by l_orderkey order by l_partkey, l_suppkey) as place
       from lineitem) where place = 1""",
     "assemble_inner": "select order_id_int, order_status, product_id_int, seller_id_int from events",
     "derive_fields": """
 select order_id_int, order_purchase_timestamp, order_approved_at, order_delivered_timestamp,
-       date_sub('day', order_approved_at, order_delivered_timestamp)::smallint as lead_time_days,
-       date_sub('day', order_purchase_timestamp, order_approved_at)::smallint as approval_lag_days,
-       date_sub('day', order_estimated_delivery_date, order_delivered_timestamp)::smallint
+       date_sub('day', order_approved_at, order_delivered_timestamp)::int as lead_time_days,
+       date_sub('day', order_purchase_timestamp, order_approved_at)::int as approval_lag_days,
+       date_sub('day', order_estimated_delivery_date, order_delivered_timestamp)::int
            as delivery_delay_days,
        date_trunc('day', order_purchase_timestamp)::timestamp as order_date,
        strftime(order_purchase_timestamp, '%G-W%V') as order_year_week

@@ -131,6 +131,31 @@ def stream_ingest(i: Inputs) -> DataFrame:
     return deltas.historical_scan(i.spark, f"{base}/raw", "df_orders", orders.schema)
 
 
+@query
+def ingest_mixed_formats(i: Inputs) -> DataFrame:
+    """One delta delivered as a CSV and a parquet file of the same stem."""
+    folder, base = f"{i.stage.root}/delivery/delivery_2026_03_26", f"{i.stage.root}/lake"
+    orders = i.raw("df_orders")
+    first = F.col("order_status") == "delivered"
+    orders.where(first).write.option("header", True).csv(f"{folder}/df_orders_2026_03_26.csv")
+    orders.where(~first).write.parquet(f"{folder}/df_orders_2026_03_26.parquet")
+    storage.write_text(i.spark, f"{folder}/{HANDSHAKE_FILE}", HANDSHAKE_TEXT)
+    ingest_batch(i.spark, folder, base)
+    return i.spark.read.parquet(f"{base}/raw/df_orders_2026_03_26.parquet")
+
+
+@query
+def stream_late_parts(i: Inputs) -> DataFrame:
+    """One delivery whose parts arrive over two calls of the stream."""
+    landing, base = f"{i.stage.root}/landing", f"{i.stage.root}/lake"
+    orders = i.raw("df_orders")
+    first = F.col("order_status") == "delivered"
+    for part in (orders.where(first), orders.where(~first)):
+        part.write.mode("append").option("header", True).csv(f"{landing}/df_orders_2026-03-25.csv")
+        stream_deliveries(i.spark, landing, "df_orders", base).awaitTermination()
+    return i.spark.read.parquet(f"{base}/raw/df_orders_2026-03-25.parquet")
+
+
 # --- contract rules ---------------------------------------------------------------------
 
 
@@ -432,6 +457,13 @@ def items_by_order(i: Inputs) -> DataFrame:
     return assembly.items_by_order(items)
 
 
+@query
+def items_by_order_wide(i: Inputs) -> DataFrame:
+    """Surrogates beyond 32 bits."""
+    wide = [f"{c} + {2**33} as {n}_id_int" for c, n in (("l_partkey", "product"), ("l_suppkey", "seller"))]
+    return assembly.items_by_order(i.source("lineitem").selectExpr("l_orderkey as order_id_int", *wide))
+
+
 @query
 def assemble_inner(i: Inputs) -> DataFrame:
     items = assembly.items_by_order(i.keyed("df_order_items"))

@@ -76,6 +76,15 @@ def move_directory(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"could not move {source} to {target}")
 
 
+def move_file(spark: SparkSession, source: str, target: str) -> None:
+    """Move one finished file; the target must not exist."""
+    fs, old = _handle(spark, source)
+    _, new = _handle(spark, target)
+    fs.mkdirs(new.getParent())
+    if not fs.rename(old, new):
+        raise OSError(f"could not move {source} to {target}")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: the one the cluster names for checkpoints.
 

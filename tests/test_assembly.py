@@ -56,6 +56,13 @@ def test_lowest_pair_covers_the_whole_range_and_gaps(spark):
     assert pairs == {1: (top, 5), 2: (None, None), 3: (8, None), 4: (0, 0), 5: (2**31 - 1, 2)}
 
 
+def test_lowest_pair_beyond_32_bits(spark):
+    top = 2**63 - 2
+    items = spark.createDataFrame([(1, 5_000_000_000, top), (1, top, 1), (2, top, top)], ITEMS)
+    pairs = {r.order_id_int: (r.product_id_int, r.seller_id_int) for r in assembly.items_by_order(items).collect()}
+    assert pairs == {1: (5_000_000_000, top), 2: (top, top)}
+
+
 def test_pair_and_weekly_aggregates_stay_in_hash_maps(spark):
     events = spark.createDataFrame([], ASSEMBLED)
     items = spark.createDataFrame([], ITEMS)
@@ -88,7 +95,7 @@ def test_day_counts_do_not_depend_on_the_session_zone(spark):
 def test_frozen_refuses_missing_columns_and_overflow(spark):
     with pytest.raises(RuntimeError, match="missing required columns"):
         frozen(orders(spark, (1, "delivered")), ASSEMBLED)
-    big = spark.sql("select 40000 as weekly_order_count")
+    big = spark.sql("select 3000000000 as weekly_order_count")
     schema = weekly_fact_schema("seller")
     only = type(schema)([schema["weekly_order_count"]])
     with pytest.raises(Exception, match="CAST_OVERFLOW"):

@@ -148,3 +148,40 @@ def test_stream_takes_each_file_over_once(spark, tmp_path):
     assert run() == run() == [("o1", "1.5"), ("o1", "1.5"), ("o2", None)]
     names = deltas.delta_names(spark, f"{base}/raw", "df_payments")
     assert names == ["df_payments_2026_03_25.parquet", "df_payments_2026_03_26.parquet"]
+
+
+def test_files_of_one_stem_are_one_delta(spark, tmp_path):
+    folder, base = delivery(tmp_path)
+    spark.createDataFrame([("o3",)], "order_id string").write.parquet(f"{folder}/df_orders_2026_03_25.parquet")
+    assert ingest_batch(spark, folder, base)["status"] == "success"
+    rows = spark.read.parquet(f"{base}/raw/df_orders_2026_03_25.parquet").collect()
+    assert sorted(r.order_id for r in rows) == ["o1", "o2", "o3"]
+
+
+def test_unknown_file_type_fails_the_delivery(spark, tmp_path):
+    folder, base = delivery(tmp_path)
+    with open(f"{folder}/readme.docx", "w") as file:
+        file.write("x")
+    assert ingest_batch(spark, folder, base)["status"] == "failed"
+
+
+def test_stream_keeps_dashed_names_and_late_parts(spark, tmp_path):
+    from orderflume.streaming.deliveries import stream_deliveries
+
+    landing, base = tmp_path / "landing", f"{tmp_path}/lake"
+    delta = landing / "df_payments_2026-03-25.csv"
+    delta.mkdir(parents=True)
+    for number, row in enumerate(("o1,1", "o2,2")):
+        (delta / f"part-{number}.csv").write_text(f"order_id,payment_value\n{row}\n")
+        stream_deliveries(spark, str(landing), "df_payments", base).awaitTermination()
+    rows = spark.read.parquet(f"{base}/raw/df_payments_2026-03-25.parquet").collect()
+    assert sorted(r.order_id for r in rows) == ["o1", "o2"]
+
+
+def test_declared_numbers_in_text_count_their_negatives(spark):
+    from orderflume.operators import validation
+
+    rows = spark.createDataFrame([("o1", "-5"), ("o2", "many")], "order_id string, payment_value string")
+    collapsed = rows.selectExpr("*", "1L as " + validation.COPIES)
+    counts = validation.negative_counts(collapsed, text_numbers=True)
+    assert collapsed.selectExpr(counts["payment_value"]).first()[0] == 1

@@ -42,12 +42,9 @@ def test_numbering_is_gapless_and_independent_of_placement(spark):
     assert one.exceptAll(two).isEmpty() and two.exceptAll(one).isEmpty()
 
 
-def test_numbering_refuses_to_leave_the_range(spark):
-    import pytest
-
-    full = surrogates.assign_surrogates(keys(spark, "x", "y"), "order_id", 2**32 - 3)
-    with pytest.raises(Exception, match="32-bit range"):
-        full.collect()
+def test_numbering_goes_on_beyond_32_bits(spark):
+    full = surrogates.assign_surrogates(keys(spark, "x", "y"), "order_id", 2**32 - 1)
+    assert sorted(r.order_id_int for r in full.collect()) == [2**32, 2**32 + 1]
 
 
 def test_second_run_changes_no_id(spark):
