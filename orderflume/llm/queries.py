@@ -87,12 +87,12 @@ QUERIES = {
 ORACLE_SQL: dict[str, str] = {
     "op7_topk": """
         with scaled as (
-          select vec_id, list_transform(embedding, x -> cast(floor(1024 * cast(x as double)) as bigint)) as v from embeddings
+          select vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as v from embeddings
           where vec_id is not null and len(embedding) > 0
-            and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+            and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
         ), queries as (select vec_id as query_id, v as q from scaled where vec_id % 100 = 0),
         scores as (
-          select query_id, vec_id, cast(list_sum(list_transform(list_zip(q, v), p -> p[1] * p[2])) as bigint) as score
+          select query_id, vec_id, cast(list_sum(list_transform(list_zip(q, v), lambda p: p[1] * p[2])) as bigint) as score
           from queries join scaled on query_id <> vec_id
         ), ranked as (select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank from scores)
         select query_id, rank, vec_id, score from ranked where rank <= 10
