@@ -47,7 +47,7 @@ def features(word: str) -> list[str]:
 class Indexed(dict):
     """The vocabulary features of each word seen, by position; forgets all when ``most`` words are held."""
 
-    def __init__(self, index: dict[str, int], most: int = 300_000):
+    def __init__(self, index: dict[str, int], most: int = 100_000):
         self.index, self.most = index, most
 
     def __missing__(self, word: str) -> tuple[int, ...]:
