@@ -35,7 +35,7 @@ END_ID = 2
 GRID = 16
 GAP = 1e-3
 SALTS = 256
-CACHED_WORDS = 700_000
+CACHED_WORDS = 350_000
 STEP = 2_000_000
 
 
