@@ -6,7 +6,8 @@ A vector's score is the sum of ``SLICES`` partial scores, one per slice of its c
    and the k best of a task go on. The k-th best over all tasks is a score that k candidates do reach.
 2. That cutoff is broadcast. A total of at least the cutoff needs one slice with at least cutoff / SLICES, whatever the
    signs, so every task collects all entries with such a slice.
-3. Their remaining slices are added and totals below the cutoff dropped. What is left, k per query and ties, is ranked.
+3. Their remaining slices are added and totals below the cutoff dropped. Of what is left, a task passes on its own k best
+   by score and vec_id, so that a vector with very many copies leaves k rows a task; these are ranked.
 
 Queries come in blocks of ``QUERY_BLOCK``, each broadcast to one pass over the candidates, which are never shuffled.
 
@@ -33,6 +34,7 @@ QUERY_BLOCK = 8192
 STEP_QUERIES = 256
 STEP_ROWS = 4096
 SCALE = 1024
+NONE = np.iinfo(np.int64).min
 
 
 def finite(vectors: DataFrame) -> DataFrame:
@@ -114,15 +116,29 @@ def block_top_k(rows: DataFrame, queries: DataFrame, k: int) -> DataFrame | None
     safe = context.broadcast(cutoff)
 
     def sufficient(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score = np.full((len(names), k), NONE)
+        vec_id = np.full((len(names), k), np.iinfo(np.int64).max)
+        held = np.zeros(len(names), dtype=np.int64)
         for batch in batches:
             for at, own, ids, part in steps(shared.value, batch):
                 low = safe.value[at]
                 i, j = np.nonzero((part.max(axis=0) * SLICES >= low[:, None]) & (ids[None] != own[:, None]))
                 totals = part[:, i, j].sum(axis=0)
                 kept = totals >= low[i]
-                i, j, totals = i[kept], j[kept], totals[kept]
+                i, j, totals = i[kept], j[kept], totals[kept].astype(np.int64)
                 if len(i):
-                    yield pa.RecordBatch.from_arrays([pa.array(own[i]), pa.array(ids[j]), pa.array([int(x) for x in totals], pa.int64())], ["query_id", "vec_id", "score"])
+                    q = np.unique(at[i])
+                    old = np.repeat(q, held[q]), score[q][np.arange(k) < held[q][:, None]], vec_id[q][np.arange(k) < held[q][:, None]]
+                    query, total, name = (np.concatenate(x) for x in zip(old, (at[i], totals, ids[j])))
+                    order = np.lexsort((name, -total, query))
+                    query, total, name = query[order], total[order], name[order]
+                    place = np.arange(len(query)) - np.searchsorted(query, query)
+                    best_k = place < k
+                    query, total, name, place = query[best_k], total[best_k], name[best_k], place[best_k]
+                    score[query, place], vec_id[query, place] = total, name
+                    held[q] = np.bincount(query, minlength=len(names))[q]
+        full = np.arange(k) < held[:, None]
+        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(names, held)), pa.array(vec_id[full]), pa.array(score[full])], ["query_id", "vec_id", "score"])
 
     return rows.mapInArrow(sufficient, "query_id long, vec_id long, score long")
 

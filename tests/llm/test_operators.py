@@ -298,6 +298,13 @@ def test_top_k_equals_brute_force(spark):
     assert topk.top_k(vectors(spark, []), "vec_id % 100 = 0", 10).collect() == []
 
 
+def test_top_k_of_one_vector_many_times(spark):
+    rows = [(i, [0.5, 0.25, 1.0]) for i in range(9000)]
+    got = topk.top_k(vectors(spark, rows).repartition(3), "vec_id % 1000 = 0", 4).collect()
+    want = [(q, r + 1, v) for q in range(0, 9000, 1000) for r, v in enumerate([v for v in range(5) if v != q][:4])]
+    assert sorted((r["query_id"], r["rank"], r["vec_id"]) for r in got) == want
+
+
 @pytest.mark.parametrize("long_list", [4096, 16])
 def test_pivot_index_recall_and_components(spark, long_list):
     rng = np.random.default_rng(8)
