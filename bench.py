@@ -11,6 +11,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -42,6 +43,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS") or str(os.cpu_count())
     repeats = int(os.environ.get("BENCH_REPEATS", "3"))
+    scratch = tempfile.TemporaryDirectory(prefix="orderflume-")
     spark = build_session(
         "orderflume-bench",
         f"local[{cpus}]",
@@ -49,6 +51,7 @@ def main() -> None:
             "spark.driver.memory": "8g",
             "spark.sql.shuffle.partitions": cpus,
             "spark.ui.enabled": "false",
+            "spark.checkpoint.dir": scratch.name,
             "spark.ui.showConsoleProgress": "false",
         },
     )
@@ -76,6 +79,7 @@ def main() -> None:
         )
     )
     spark.stop()
+    scratch.cleanup()
 
 
 if __name__ == "__main__":

@@ -191,7 +191,7 @@ def _flag(ids: DataFrame) -> DataFrame:
 
 def cascade_drop(df: DataFrame, invalid: DataFrame) -> DataFrame:
     """Rows whose order id is known and not among the rejected ones."""
-    joined = lookup_join(df.where("order_id is not null"), _flag(invalid), "order_id")
+    joined = lookup_join(df.where("order_id is not null"), _flag(invalid), "order_id", repeats=True)
     return joined.where("_listed is null").select(df.columns)
 
 
@@ -199,7 +199,7 @@ def enforce_parent(df: DataFrame, valid: DataFrame) -> DataFrame:
     """Rows whose order id is among the surviving ones; no-op when there are none."""
     if valid.isEmpty():
         return df
-    joined = lookup_join(df, _flag(valid), "order_id")
+    joined = lookup_join(df, _flag(valid), "order_id", repeats=True)
     return joined.where("_listed is not null").select(df.columns)
 
 

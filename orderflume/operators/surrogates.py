@@ -58,13 +58,14 @@ def assign_surrogates(
     the same one. Only bucket sizes are broadcast: at most ``16 ** digits`` rows.
     """
     number = int_name(key)
-    numbered = fresh.selectExpr(key, f"substring(md5({key}), 1, {digits}) as _bucket").selectExpr(
+    bucketed = fresh.selectExpr(key, f"substring(md5({key}), 1, {digits}) as _bucket")
+    numbered = bucketed.selectExpr(
         key, "_bucket", f"row_number() over (partition by _bucket order by {key}) as _place"
     )
     # Running totals over one row per bucket: a bounded handful, whatever the number of ids.
     shifts = (
-        numbered.groupBy("_bucket")
-        .agg(F.expr("cast(max(_place) as bigint) as _size"))
+        bucketed.groupBy("_bucket")
+        .agg(F.expr("count(1) as _size"))
         .selectExpr("_bucket", "sum(_size) over (order by _bucket) - _size as _shift")
     )
     return numbered.join(F.broadcast(shifts), "_bucket").selectExpr(

@@ -11,7 +11,7 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Sides that fit a task's memory are hashed instead of sorted; larger ones still sort.
-    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "128m",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "32m",
     # Surrogate ids written as unsigned 32-bit and ids written as bigint scan alike.
     "spark.sql.parquet.mergeSchema": "false",
     "spark.sql.parquet.compression.codec": "zstd",

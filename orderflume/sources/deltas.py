@@ -98,8 +98,8 @@ def key_scan(spark: SparkSession, base: str, table: str, key: str) -> list[DataF
 def catalog_scan(spark: SparkSession, name: str) -> DataFrame:
     """An external table of the catalog; an empty one is an error."""
     df = spark.table(name)
-    if not df.inputFiles():
-        raise ValueError(f"{name} has no files")
+    if df.isEmpty():
+        raise ValueError(f"{name} is empty")
     return naive_timestamps(df)
 
 

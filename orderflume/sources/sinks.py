@@ -26,8 +26,10 @@ def export(df: DataFrame, path: str, mode: str = "overwrite") -> bool:
 def promote_deltas(spark: SparkSession, pending: str, history: str, tables: list[str]) -> list[str]:
     """Add a run's contracted deltas to the history; a delta of the same name is replaced.
 
-    The files were written once, next to the history, and only change place.
+    The files were written once, next to the history, and only change place. A delta that an
+    earlier run was replacing when it died is put back first.
     """
+    storage.restore_directories(spark, history)
     moved = []
     for table in tables:
         for name in delta_names(spark, pending, table, ("parquet",)):

@@ -6,6 +6,7 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -50,10 +51,12 @@ def main() -> None:
     from orderflume.session import build_session
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    scratch = tempfile.TemporaryDirectory(prefix="orderflume-")
     spark = build_session(
         master="local[8]",
         **{
             "spark.ui.enabled": "false",
+            "spark.checkpoint.dir": scratch.name,
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.showConsoleProgress": "false",
         },
@@ -74,6 +77,8 @@ def main() -> None:
             print(f"{name:28} {problem or 'ok'} rows={len(ours)} {taken:.2f}s", flush=True)
         except Exception as failure:
             print(f"{name:28} FAILED {type(failure).__name__}: {str(failure)[:600]}", flush=True)
+    spark.stop()
+    scratch.cleanup()
 
 
 if __name__ == "__main__":

@@ -6,7 +6,7 @@ import pytest
 
 from orderflume.model import TABLES
 from orderflume.operators import contract
-from orderflume.operators.lookup import lookup_join
+from orderflume.operators.lookup import hot_keys, lookup_join
 
 ORDER_SCHEMA = (
     "order_id string, customer_id string, order_status string, order_purchase_timestamp string,"
@@ -195,3 +195,45 @@ def test_dominant_keys_do_not_share_a_partition(spark, monkeypatch):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert len(sizes) == 8 and max(sizes) < 1.3 * 20000 / 8
+
+
+def _partition_sizes(spark, joined):
+    return [r["count"] for r in joined.selectExpr("spark_partition_id() as p").groupBy("p").count().collect()]
+
+
+def test_thousands_of_hot_keys_are_all_taken_out(spark, monkeypatch):
+    monkeypatch.setattr("orderflume.operators.lookup.HOT_MIN_ROWS", 4)
+    df = spark.range(20000).selectExpr("id", "concat('k', id % 4000) as k")
+    assert hot_keys(df, "k").count() == 4000
+    lookup = spark.range(2000).selectExpr("concat('k', id) as k", "id as v")
+    rows = lookup_join(df, lookup, "k", small=-1).collect()
+    assert len(rows) == 20000
+    assert all(r.v == (r.id % 4000 if r.id % 4000 < 2000 else None) for r in rows)
+
+
+def test_a_key_is_hot_by_its_share_of_the_rows(spark, monkeypatch):
+    monkeypatch.setattr("orderflume.operators.lookup.HOT_MIN_ROWS", 2)
+    monkeypatch.setattr("orderflume.operators.lookup.HOT_SHARE", 10)
+    df = spark.range(100).selectExpr("case when id < 11 then 'a' when id < 21 then 'b' else concat('k', id) end as k")
+    assert [r.k for r in hot_keys(df, "k").collect()] == ["a"]
+    assert hot_keys(df.limit(0), "k").isEmpty()
+
+
+def test_copies_of_one_row_do_not_pile_up(spark, monkeypatch):
+    """Half of the rows are one row, a quarter has no key."""
+    monkeypatch.setattr("orderflume.operators.lookup.HOT_MIN_ROWS", 100)
+    df = spark.range(0, 20000, 1, 8).selectExpr(
+        "case when id % 4 < 2 then 'hot' when id % 4 = 2 then null else concat('k', id) end as order_id",
+        "case when id % 4 < 2 then 0 else id end as x",
+    )
+    valid = spark.range(20000).selectExpr("concat('k', id) as order_id").unionByName(spark.sql("select 'hot' as order_id"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = contract.enforce_parent(df, valid)
+        sizes = _partition_sizes(spark, joined)
+        assert joined.where("order_id = 'hot'").count() == 10000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(sizes) == 15000 and max(sizes) < 1.3 * 10000 / 8

@@ -187,3 +187,13 @@ def test_run_ids_and_paths():
 
 def test_table_order_puts_parents_first():
     assert list(TABLES) == ["df_orders", "df_order_items", "df_customers", "df_payments", "df_products"]
+
+
+def test_submitted_job_says_how_it_ended(spark, tmp_path):
+    from orderflume.__main__ import main
+
+    base = lake(tmp_path)
+    assert main([]) == 2
+    assert main([base, "20260325T000000_aaaaaa"]) == 0
+    assert storage.exists(spark, f"{base}/published/v20260325T000000_aaaaaa")
+    assert main([f"{base}/nothing"]) == 1
