@@ -1,10 +1,12 @@
 """Near-duplicate vectors through a pivot-permutation index.
 
-Pivots are some of the vectors, chosen by a hash, their number growing with the square root of the table. A vector is
-described by its ``PREFIX`` nearest pivots, in order, and entered in the inverted list of each. Two vectors that have at
+Pivots are some of the vectors, chosen by a hash, their number growing with the square root of the table, no two of them
+with a cosine above ``APART``. So a dense group gets few pivots, however many vectors it holds, and its members share
+them; only their lists grow. A vector is described by its ``PREFIX`` nearest pivots, in order, and entered in the inverted list of each. Two vectors that have at
 least ``SHARED`` pivots in common are compared; all pairs with a cosine of at least 0.95 among them link. A pair is
 counted in the list of its least common pivot alone. Within a list, pairs are compared as matrix products and leave as
-link counts per vector and a spanning forest, never as pairs. Long lists are dealt over a grid of salts, every two salts
+link counts per vector and a spanning forest, never as pairs; blocks of vectors that have one lesser pivot in common are
+passed over, as they meet in its list. Long lists are dealt over a grid of salts, every two salts
 being a group of their own.
 
 Equal vectors are first put into one class with a count, so that groups of copies cost one vector.
@@ -26,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderflume.llm.common import arrow_map, stage
+from orderflume.llm.common import arrow_map, spread, stage
 from orderflume.llm.components import components
 from orderflume.llm.topk import finite
 
@@ -35,6 +37,8 @@ PREFIX = 10
 SHARED = 1
 PIVOTS_PER_ROOT = 2
 MOST_PIVOTS = 4096
+APART = 0.5
+CANDIDATES = 4  # for each pivot wanted
 LONG_LIST = 4096
 BLOCK = 1024
 
@@ -46,6 +50,27 @@ def unit(column: pa.ListArray | pa.ChunkedArray, width: int) -> np.ndarray:
     return rows / np.sqrt((rows * rows).sum(axis=1, keepdims=True))
 
 
+def keep_apart(candidates: np.ndarray, want: int, apart: float = APART) -> np.ndarray:
+    """The first ``want`` unit vectors of which none has a cosine above ``apart`` to one before it."""
+    kept = candidates[:0]
+    for a in range(0, len(candidates), BLOCK):
+        rows = candidates[a : a + BLOCK]
+        rows = rows[(rows @ kept.T <= apart).all(axis=1)]
+        near = rows @ rows.T > apart
+        fit = np.ones(len(rows), dtype=bool)
+        for i in range(len(rows)):
+            if fit[i]:
+                fit[i + 1 :] &= ~near[i, i + 1 :]
+        kept = np.concatenate([kept, rows[fit]])[:want]
+        if len(kept) == want:
+            break
+    return kept
+
+
+def nearest(rows: np.ndarray, pivots: np.ndarray, prefix: int) -> np.ndarray:
+    return np.concatenate([np.argsort(-(rows[a : a + BLOCK] @ pivots.T), axis=1, kind="stable")[:, :prefix] for a in range(0, len(rows), BLOCK)]).astype(np.int32)
+
+
 def entries(classes: DataFrame, pivots: np.ndarray, width: int, prefix: int) -> DataFrame:
     """(pivot, node, weight, near, embedding) for each of a vector's nearest pivots; near lists all of them."""
     shared = classes.sparkSession.sparkContext.broadcast(pivots)
@@ -53,7 +78,7 @@ def entries(classes: DataFrame, pivots: np.ndarray, width: int, prefix: int) ->
 
     def step(batch: pa.RecordBatch) -> dict:
         rows = unit(batch.column("embedding"), width)
-        near = np.concatenate([np.argsort(-(rows[a : a + BLOCK] @ shared.value.T), axis=1, kind="stable")[:, :prefix] for a in range(0, len(rows), BLOCK)]).astype(np.int32)
+        near = nearest(rows, shared.value, prefix)
         own = pa.array(np.repeat(np.arange(len(rows)), near.shape[1]))
         lists = pa.array(list(near), pa.list_(pa.int32()))
         return {"pivot": near.ravel()} | {k: (lists if k == "near" else batch.column(k)).take(own) for k in ("node", "weight", "near", "embedding")}
@@ -67,10 +92,12 @@ def compare(width: int, threshold: float, shared: int):
     def run(group: pa.Table) -> pa.Table:
         pivot, lo, hi = (group.column(c)[0].as_py() for c in ("pivot", "lo", "hi"))
         salt, node, weight = (group.column(c).to_numpy() for c in ("salt", "node", "weight"))
-        near = np.array(group.column("near").to_pylist(), dtype=np.int32)
+        near = group.column("near").combine_chunks().flatten().to_numpy().reshape(len(node), -1)
+        first = near.min(axis=1)
         rows = unit(group.column("embedding"), width)
         links, root = np.zeros(len(node), dtype=np.int64), np.arange(len(node))
-        left, right = np.flatnonzero(salt == lo), np.flatnonzero(salt == hi)
+        order = np.argsort(first, kind="stable")
+        left, right = order[salt[order] == lo], order[salt[order] == hi]
 
         def top(x: int) -> int:
             while root[x] != x:
@@ -82,10 +109,12 @@ def compare(width: int, threshold: float, shared: int):
             own = left[a : a + BLOCK]
             for b in range(a if lo == hi else 0, len(right), BLOCK):
                 other = right[b : b + BLOCK]
+                if shared == 1 and first[own[0]] == first[own[-1]] == first[other[0]] == first[other[-1]] < pivot:
+                    continue
                 i, j = np.nonzero(rows[own] @ rows[other].T >= threshold)
-                i, j = own[i], other[j]
                 if lo == hi:
-                    i, j = i[i < j], j[i < j]
+                    i, j = i[a + i < b + j], j[a + i < b + j]
+                i, j = own[i], other[j]
                 for c in range(0, len(i), 100_000):
                     u, v = i[c : c + 100_000], j[c : c + 100_000]
                     same = near[u][:, :, None] == near[v][:, None, :]
@@ -119,10 +148,11 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, prefix: in
         width, n = r["width"], r["count"]
         own = classes.where(F.size("embedding") == width)
         want = min(MOST_PIVOTS, n, max(32, math.ceil(PIVOTS_PER_ROOT * math.sqrt(n))))
-        chosen = own.orderBy(F.xxhash64("node"), "node").limit(want).select("embedding").toArrow()
-        lists = entries(own, unit(chosen.column(0), width), width, prefix)
+        chosen = own.where(spread(F.col("node")) < CANDIDATES * want / n).select("node", "embedding").toArrow().sort_by("node")
+        pivots = keep_apart(unit(chosen.column("embedding"), width), want)
+        lists = entries(own, pivots, width, prefix)
         sizes = {x["pivot"]: x["count"] for x in lists.groupBy("pivot").count().collect()}  # one row per pivot
-        salts = np.ones(want, dtype=np.int64)
+        salts = np.ones(len(pivots), dtype=np.int64)
         for pivot, size in sizes.items():
             salts[pivot] = -(-size // long_list)
         few = spark.sparkContext.broadcast(salts)
@@ -138,7 +168,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, prefix: in
                 yield pa.RecordBatch.from_arrays([*out.columns, pa.array(salt), pa.array(np.minimum(salt, other)), pa.array(np.maximum(salt, other))], [*out.schema.names, "salt", "lo", "hi"])
 
         dealt = lists.mapInArrow(deal, "pivot int, node long, weight long, near array<int>, embedding array<double>, salt long, lo long, hi long")
-        made = dealt.groupBy("pivot", "lo", "hi").applyInArrow(compare(width, threshold, min(shared, want)), "u long, v long, links long")
+        made = dealt.groupBy("pivot", "lo", "hi").applyInArrow(compare(width, threshold, min(shared, len(pivots))), "u long, v long, links long")
         found = made if found is None else found.unionByName(made)
     ids = vectors.select(F.col("vec_id").cast("long").alias("vec_id"))
     if found is None:

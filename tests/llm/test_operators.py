@@ -320,3 +320,38 @@ def test_pivot_index_recall_and_components(spark, long_list):
     assert (links <= near.sum(axis=1)).all() and links.sum() >= 0.95 * near.sum()
     assert all(got[i].n_links == 0 and got[i].component_id == i for i in (900, 1000, 1001, 1002, 1003)) and len(got) == len(rows) + len(BAD)
     assert neardup.near_duplicates(vectors(spark, [])).collect() == []
+
+
+def dense_third(n, seed, mean=0.96, width=64):
+    """n unit vectors in mixed order, a third of them around one centre; and which those are."""
+    rng = np.random.default_rng(seed)
+    rows = rng.normal(size=(n, width))
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    inside = rng.permutation(n) < n // 3
+    rows[inside] *= math.sqrt(1 - mean)
+    rows[inside, 0] += math.sqrt(mean)
+    return rows / np.linalg.norm(rows, axis=1, keepdims=True), inside
+
+
+@pytest.mark.parametrize("long_list", [4096, 300])
+def test_pivot_index_keeps_links_of_a_dense_group(spark, long_list):
+    made, inside = dense_third(3000, 9)
+    made = made.astype(np.float32)
+    rows = [(i, v.tolist()) for i, v in enumerate(made)]
+    got = {r.vec_id: r for r in neardup.near_duplicates(vectors(spark, rows), prefix=2, long_list=long_list).collect()}
+    near = made.astype(float) @ made.astype(float).T >= 0.95 * np.outer(*[np.linalg.norm(made.astype(float), axis=1)] * 2)
+    np.fill_diagonal(near, False)
+    links = np.array([got[i].n_links for i in range(len(made))])
+    assert (links <= near.sum(axis=1)).all() and links.sum() >= 0.99 * near.sum()
+    assert len({got[i].component_id for i in np.flatnonzero(inside & near.any(axis=1))}) == 1
+
+
+def test_pivots_of_a_large_table_are_shared_in_a_dense_group():
+    made, inside = dense_third(120_000, 10)
+    pivots = neardup.keep_apart(made, 2 * math.isqrt(len(made)))
+    some = made[inside][:1500]
+    near = neardup.nearest(some, pivots, neardup.PREFIX)
+    i, j = np.nonzero(np.triu(some @ some.T >= neardup.THRESHOLD, 1))
+    pick = np.random.default_rng(11).choice(len(i), 20_000)
+    assert (near[i[pick]][:, :, None] == near[j[pick]][:, None, :]).any(axis=(1, 2)).mean() >= 0.99
+    assert (np.triu(pivots @ pivots.T, 1) <= neardup.APART).all()
