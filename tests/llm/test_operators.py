@@ -162,6 +162,34 @@ def test_score_edges(odd, none):
     assert suffixtree.score(none).collect() == []
 
 
+@pytest.mark.parametrize("states", [200_000, 50])
+def test_every_context_that_passes_is_kept(spark, docs, states):
+    seen = Counter(w for r in docs.collect() for w in r.text.encode().lower().split())
+    unknown = [b"zzyzx", "żółw".encode(), b"q"]
+    rows = [(w, n, n) for w, n in seen.items()] + [(w, 1, 0) for w in unknown] + [(suffixtree.END, 7, 7)]
+    words = spark.createDataFrame(rows, "word binary, n long, n_train long")
+    counts = Counter()
+    for w, n, learned in rows[:-1]:
+        data = b" " + w + b" "
+        for i in range(1, len(data)):
+            for d in range(min(i, 6) + 1):
+                counts[d, data[i - d : i], data[i]] += learned
+    counts[0, b"", 10] += 7
+    counts[1, b" ", 10] += 7
+    total, gained = Counter(), Counter()
+    for (d, c, a), n in counts.items():
+        total[c] += n
+    for (d, c, a), n in counts.items():
+        if d and n:
+            gained[c] += n * math.log(n / total[c] * total[c[1:]] / counts[d - 1, c[1:], a])
+    kept = {c[i:] for c, g in gained.items() if g >= 10 for i in range(len(c) + 1)} | {b""}
+    tree = suffixtree.build([(d << 56 | int.from_bytes(c, "big") << 8 | a, n) for (d, c, a), n in counts.items() if c in kept and n], 6)
+    got = {bytes(r.word): r.found for r in suffixtree.word_costs(words, suffixtree.fit(words, 7), states).collect()}
+    assert len(kept) > 200 and got.keys() == {w for w, _, _ in rows}
+    for w, found in got.items():
+        assert math.isclose(found, tree.end() if w == suffixtree.END else tree.word(w), rel_tol=1e-9), w
+
+
 # --- pieces and packing -----------------------------------------------------------------
 
 
