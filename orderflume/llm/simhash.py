@@ -181,7 +181,7 @@ def links(cell_rows: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, most_bits: int = MOST_BITS, dense: int = DENSE) -> DataFrame:
-    """doc_id, fp and component_id, the least doc_id that links reach."""
+    """doc_id, fp, component_id, the least doc_id that links reach, and root, which names the component."""
     if most_bits > MOST_BITS:
         raise ValueError(f"the keys are complete up to {MOST_BITS} bits")
     rows = stage(fingerprints(docs, words), "fingerprints")
@@ -189,18 +189,29 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, most_bits: int = MOST_B
     found = components(links(cells(nodes, dense), most_bits))
     rooted = nodes.join(found, nodes["fp"] == found["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_fp = rooted.select("fp", "root").join(named, "root").select(F.col("fp").alias("node"), "component_id")
-    return rows.join(of_fp, rows["fp"] == of_fp["node"]).select("doc_id", "fp", "component_id")
+    of_fp = rooted.select("fp", "root").join(named, "root").select(F.col("fp").alias("node"), "root", "component_id")
+    return rows.join(of_fp, rows["fp"] == of_fp["node"]).select("doc_id", "fp", "component_id", "root")
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """One document of each group of near-duplicates: the one with the least doc_id, once if its row is repeated.
 
-    Documents without a doc_id stay, as nothing can name them.
+    Different texts of one doc_id are told apart by their fingerprints. Documents without a doc_id stay, as nothing can
+    name them.
     """
-    found = near_duplicates(docs).where("doc_id = component_id").select(F.col("doc_id").alias("kept_id"))
-    kept = docs.join(found, docs["doc_id"].cast("long") == found["kept_id"], "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null"))
+    named = near_duplicates(docs).where("doc_id = component_id")
+    found = stage(named.groupBy("root").agg(F.min("doc_id").alias("kept_id"), F.min("fp").alias("kept_fp")).drop("root"), "first")
+    columns = docs.columns
+    own = docs.join(found.select("kept_id"), docs["doc_id"].cast("long") == found["kept_id"], "left_semi")
+
+    def step(batch: pa.RecordBatch) -> dict:
+        found = np.array([fingerprint(t.as_py() or b"") for t in batch.column("text").cast(pa.binary())], dtype=np.uint64)
+        return {c: batch.column(c) for c in columns} | {"own_fp": found.view(np.int64)}
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    own = arrow_map(own, step, f"{fields}, own_fp long")
+    kept = own.join(found, (own["doc_id"].cast("long") == found["kept_id"]) & (own["own_fp"] == found["kept_fp"]), "left_semi")
+    return kept.dropDuplicates(["doc_id", "own_fp"]).drop("own_fp").unionByName(docs.where("doc_id is null"))
 
 
 def digest(found: DataFrame) -> DataFrame:

@@ -308,6 +308,13 @@ def test_near_duplicate_documents(odd, none):
     assert kept.count(4) == 1 and 5 not in kept and None in kept and simhash.keep_first(odd).columns == odd.columns
 
 
+def test_different_texts_of_one_id_stay(spark):
+    copy, other, lone = "one two three four five six", "red green blue black white grey", "north east south west up down"
+    rows = [(1, copy), (5, copy), (5, other), (5, other), (5, lone), (7, lone), (9, other)]
+    kept = simhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == [(1, copy), (5, lone), (5, other)]
+
+
 def vectors(spark, rows):
     return spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<float>, label int")
 
