@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderflume.llm import langid, neardup, packing, pieces, pii, quality, simhash, suffixtree, topk, toxicity
+from orderflume.llm import bwtmerge, langid, neardup, packing, pieces, pii, quality, simhash, suffixtree, topk, toxicity
 from orderflume.llm.common import table
 
 
@@ -63,6 +63,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(simhash.near_duplicates(table(spark, sf_dir, "documents")))
 
 
+def op12_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bwtmerge.digest(bwtmerge.remove_repeats(table(spark, sf_dir, "documents")))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -80,6 +84,7 @@ QUERIES = {
     "op8_pivots": op8_pivots,
     "op9_quality": op9_quality,
     "op10_simhash": op10_simhash,
+    "op12_repeats": op12_repeats,
     "pipeline": pipeline,
 }
 
