@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderflume.llm.common import stage, texts
+from orderflume.llm.common import settle, texts
 
 LENGTH = 50
 ANCHOR = 16
@@ -78,7 +78,7 @@ def packs(docs: DataFrame) -> DataFrame:
                 )
 
     rows = texts(docs).select("doc_id", F.encode("text", "utf-8").alias("body")).withColumn("size", F.octet_length("body").cast("long"))
-    return stage(rows.mapInArrow(run, PACK_FIELDS).withColumn("pack", F.monotonically_increasing_id()), "packs")
+    return settle(rows.mapInArrow(run, PACK_FIELDS).withColumn("pack", F.monotonically_increasing_id()), "packs")
 
 
 def slices(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
@@ -469,9 +469,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     buckets = max(1, math.ceil(total / BUCKET_BYTES))
     lists = anchor_lists(made.select("pack", "size", "ids", "missing", "lengths", "body"), length, buckets)
     shared = lists.groupBy("bucket").applyInArrow(shared_anchors, "pack long, anchors binary")
-    parts = stage(made.groupBy("pack").cogroup(shared.groupBy("pack")).applyInArrow(strings_of_pack(length, buckets), PART_FIELDS), "strings")
+    parts = settle(made.groupBy("pack").cogroup(shared.groupBy("pack")).applyInArrow(strings_of_pack(length, buckets), PART_FIELDS), "strings")
     shards = parts.where("bucket >= 0").groupBy("bucket", "shard").applyInArrow(shard_transform, "bucket long, symbols binary, own binary, pack binary, sids binary, least binary, most binary")
-    found = shards.groupBy("bucket").applyInArrow(merge_bucket(length), "pack long, sids binary, lengths binary, strings binary, least binary")
+    found = settle(shards.groupBy("bucket").applyInArrow(merge_bucket(length), "pack long, sids binary, lengths binary, strings binary, least binary"), "found")
     occurs = parts.where("bucket < 0").select("pack", "sids", "lengths", "strings", "least", F.lit(False).alias("found"))
     back = found.withColumn("found", F.lit(True)).unionByName(occurs)
     return made.groupBy("pack").cogroup(back.groupBy("pack")).applyInArrow(cut_pack(length), "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -9,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderflume.sources.storage import Stage
+from orderflume.sources.storage import Stage, scratch_root
 
 #: Code points of text that one numpy step works on.
 STEP_CHARS = 1_000_000
@@ -39,6 +40,19 @@ def stage(df: DataFrame, name: str = "part") -> DataFrame:
     return Stage(df.sparkSession).put(name, df)
 
 
+def settle(df: DataFrame, name: str = "part") -> DataFrame:
+    """Like ``stage`` for wide rows: zstd, and the shuffle files that led to the table go once it is written."""
+    spark, path = df.sparkSession, f"{scratch_root(df.sparkSession)}/stage-{uuid.uuid4().hex}/{name}"
+    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(cleanup, "false")
+    spark.conf.set(cleanup, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(cleanup, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def arrow_map(df: DataFrame, step: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
     """``step`` makes the columns of ``schema`` from each Arrow batch."""
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderflume.llm import bwtmerge, langid, neardup, packing, pieces, pii, quality, simhash, suffixtree, topk, toxicity
+from orderflume.llm import bwtmerge, langid, neardup, packing, pieces, pii, quality, simhash, spelling, suffixtree, topk, toxicity, whitening
 from orderflume.llm.common import table
 
 
@@ -63,10 +63,18 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(simhash.near_duplicates(table(spark, sf_dir, "documents")))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(table(spark, sf_dir, "documents"))
+
+
 def op12_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bwtmerge.digest(bwtmerge.remove_repeats(table(spark, sf_dir, "documents")))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.digest(whitening.whiten(table(spark, sf_dir, "embeddings")))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -84,7 +92,9 @@ QUERIES = {
     "op8_pivots": op8_pivots,
     "op9_quality": op9_quality,
     "op10_simhash": op10_simhash,
+    "op11_spelling": op11_spelling,
     "op12_repeats": op12_repeats,
+    "op13_whitening": op13_whitening,
     "pipeline": pipeline,
 }
 
@@ -102,4 +112,20 @@ ORACLE_SQL: dict[str, str] = {
         ), ranked as (select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank from scores)
         select query_id, rank, vec_id, score from ranked where rank <= 10
     """,
+    "op12_repeats": """
+        with d as (select row_number() over (order by doc_id, text) as row, doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+        c as (select row, doc_id, b, substr(h, 2 * b + 1, 610) as c from (select *, unnest(range(0, length(h) // 2 - 49, 256)) as b from d)),
+        w as (select row, doc_id, b + j as i, substr(c, 2 * j + 1, 100) as s from (select *, unnest(range(0, least(256, length(c) // 2 - 49))) as j from c)),
+        f as (select s, min(doc_id) as least from w group by s),
+        g as (select row, i from w join f using (s) where least < doc_id),
+        m as (select *, max(i + 50) over (partition by row order by i rows between unbounded preceding and 1 preceding) as reach from g),
+        k as (select *, sum(case when reach is null or i > reach then 1 else 0 end) over (partition by row order by i) as run from m),
+        r as (select row, run, min(i) as a, max(i) + 50 as b from k group by row, run),
+        e as (select row, a, b, lag(b, 1, 0) over (partition by row order by a) as before from r),
+        x as (select row, sum(b - a) as n_removed, count(*) as n_spans, max(b) as last from e group by row),
+        p as (select e.row, string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' order by a) as head from e join d using (row) group by e.row)
+        select doc_id, length(h) // 2 as n_bytes, cast(coalesce(n_removed, 0) as bigint) as n_removed, cast(coalesce(n_spans, 0) as bigint) as n_spans,
+          sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) as kept_sha256
+        from d left join x using (row) left join p using (row)
+    """,
 }
