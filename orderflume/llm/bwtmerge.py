@@ -2,7 +2,8 @@
 
 A byte goes if a string of ``length`` bytes that covers it also starts in a document with a smaller doc_id.
 
-1. Texts are put into packs of a few megabytes (zstd). Every window of ``length`` bytes has an anchor, the least hash
+1. Texts are put into packs of a few megabytes (zstd). Of texts that are equal as a whole only those of the least doc_id go
+   on; the rest is theirs from the first byte. Every window of ``length`` bytes has an anchor, the least hash
    among its ``ANCHOR``-byte strings, which depends on the window alone; neighbouring windows mostly share theirs, so a
    run of them is one short string. Equal windows have equal anchors: an anchor that occurs in one document only cannot
    belong to a repeat, and its windows are passed over. That loses nothing and leaves the transforms a small part.
@@ -39,17 +40,18 @@ from pyspark.sql import functions as F
 from orderflume.llm.common import settle, texts
 
 LENGTH = 50
-ANCHOR = 16
+ANCHOR = 22
 PACK_BYTES = 8 << 20
 BUCKET_BYTES = 1 << 20  # of text for each bucket
 SHARDS = 4
-HOT = 4096
+HOT = 1 << 14
 RUN = 31  # windows in a string at most
 CHUNK = 1 << 16
 SYMBOL_BITS = 8  # UTF-8 never uses the byte 255, so byte + 1 fits and 0 ends a string
 STEP = 5  # symbols sorted at a time
-PACK_FIELDS = "size long, ids binary, missing binary, lengths binary, body binary"
-PART_FIELDS = "bucket long, shard int, pack long, sids binary, lengths binary, strings binary, least binary, most binary"
+PACK_FIELDS = "size long, ids binary, missing binary, copies binary, lengths binary, body binary"
+PART_FIELDS = "bucket long, shard int, pack long, sid int, lengths binary, strings binary, least binary"
+BACK_FIELDS = "pack long, sids binary, lengths binary, strings binary, least binary"
 
 _mixed = np.random.default_rng(20240501).integers(0, 2**64, 256, dtype=np.uint64)
 
@@ -72,13 +74,17 @@ def packs(docs: DataFrame) -> DataFrame:
                         "size": pa.array([len(body)], pa.int64()),
                         "ids": [ids.fill_null(0).to_numpy().tobytes()],
                         "missing": [ids.is_null().to_numpy(zero_copy_only=False).astype(np.uint8).tobytes()],
+                        "copies": [part.column("copy").to_numpy(zero_copy_only=False).astype(np.uint8).tobytes()],
                         "lengths": [part.column("size").to_numpy().astype(np.int64).tobytes()],
                         "body": [pa.compress(body, codec="zstd", asbytes=True)],
                     }
                 )
 
     rows = texts(docs).select("doc_id", F.encode("text", "utf-8").alias("body")).withColumn("size", F.octet_length("body").cast("long"))
-    return settle(rows.mapInArrow(run, PACK_FIELDS).withColumn("pack", F.monotonically_increasing_id()), "packs")
+    rows = rows.withColumn("text_key", F.unhex(F.sha2("body", 256)))
+    classes = rows.groupBy("text_key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("text_key", "first")
+    marked = rows.join(classes, "text_key", "left").select("doc_id", "body", "size", F.coalesce(F.col("first") < F.col("doc_id"), F.lit(False)).alias("copy"))
+    return settle(marked.mapInArrow(run, PACK_FIELDS).withColumn("pack", F.monotonically_increasing_id()), "packs")
 
 
 def slices(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
@@ -98,6 +104,7 @@ class Pack:
         self.pack = row["pack"]
         self.ids = np.frombuffer(row["ids"], np.int64)
         self.missing = np.frombuffer(row["missing"], np.uint8).astype(bool)
+        self.copies = np.frombuffer(row["copies"], np.uint8).astype(bool)  # of a text with a lesser doc_id
         self.lengths = np.frombuffer(row["lengths"], np.int64)
         self.body = pa.decompress(row["body"], decompressed_size=row["size"], codec="zstd", asbytes=True) if row["size"] else b""
         self.ends = np.cumsum(self.lengths)
@@ -140,7 +147,7 @@ def anchors(pack: Pack, a: int, b: int, length: int) -> tuple[np.ndarray, np.nda
     usable = np.zeros(b - a + 1, dtype=np.int8)  # difference array over windows inside one document that has an id
     lo = np.maximum(ends - pack.lengths[first:last], a)
     hi = np.minimum(ends - length + 1, b)
-    fit = (lo < hi) & ~pack.missing[first:last]
+    fit = (lo < hi) & ~(pack.missing | pack.copies)[first:last]
     usable[lo[fit] - a] += 1
     usable[hi[fit] - a] -= 1
     inside = np.cumsum(usable[:-1]).astype(bool)
@@ -228,21 +235,25 @@ def strings_of_pack(length: int, buckets: int):
             sid = np.fromiter((seen.setdefault(body[i:j], len(seen)) for i, j in zip(start.tolist(), (start + size + length - 1).tolist())), np.int32, len(start))
             doc = pack.ids[pack.doc(start)]
             order, first = grouped(sid)
-            least, most = np.minimum.reduceat(doc[order], first), np.maximum.reduceat(doc[order], first)
+            least = np.minimum.reduceat(doc[order], first)
+            several = (least < np.maximum.reduceat(doc[order], first)).astype(np.uint8)
             strings = list(seen)
             content = np.fromiter(map(zlib.crc32, strings), np.uint64, len(strings))
             anchor, hot = anchor[order[first]], hot[order[first]]
             bucket = np.where(hot, content // np.uint64(SHARDS) % np.uint64(buckets), dealt(anchor, buckets)).astype(np.int64)
-            order, first = grouped(bucket * SHARDS + (content % np.uint64(SHARDS)).astype(np.int64))
-            lengths = np.fromiter(map(len, strings), np.int32, len(strings))
+            shard = (content % np.uint64(SHARDS)).astype(np.int64)
+            order, first = grouped(bucket * SHARDS + shard)
+            lengths = np.fromiter(map(len, strings), np.uint8, len(strings)) | several << 7
+            new = np.empty(len(order), np.int32)  # strings are numbered as they leave
+            new[order] = np.arange(len(order), dtype=np.int32)
             for i, j in zip(first.tolist(), np.append(first[1:], len(order)).tolist()):
                 these = order[i:j]
-                values = int(bucket[these[0]]), int(content[these[0]] % np.uint64(SHARDS)), pack.pack, these.astype(np.int32).tobytes(), lengths[these].tobytes(), b"".join([strings[x] for x in these.tolist()]), least[these].tobytes(), most[these].tobytes()
+                values = int(bucket[these[0]]), int(shard[these[0]]), pack.pack, i, lengths[these].tobytes(), b"".join([strings[x] for x in these.tolist()]), least[these].tobytes()
                 for name, value in zip(out, values):
                     out[name].append(value)
-            for name, value in zip(out, (-1, 0, pack.pack, sid.tobytes(), None, start.tobytes(), None, None)):
+            for name, value in zip(out, (-1, 0, pack.pack, 0, new[sid].tobytes(), start.tobytes(), None)):
                 out[name].append(value)
-        types = {"bucket": pa.int64(), "shard": pa.int32(), "pack": pa.int64()}
+        types = {"bucket": pa.int64(), "shard": pa.int32(), "pack": pa.int64(), "sid": pa.int32()}
         return pa.table({name: pa.array(values, types.get(name, pa.binary())) for name, values in out.items()})
 
     return run
@@ -298,21 +309,13 @@ def stable_order(key: np.ndarray, bits: int) -> np.ndarray:
 
 def shard_transform(group: pa.Table) -> pa.Table:
     """One shard: equal strings of its packs become one; its transform, and who has each string."""
-    lengths, strings = joined(group.column("lengths"), np.int32), joined(group.column("strings"), np.uint8).tobytes()
-    ends = np.cumsum(lengths, dtype=np.int64)
+    flags, strings = joined(group.column("lengths"), np.uint8), b"".join(group.column("strings").to_pylist())
+    lengths = (flags & 0x7F).astype(np.int64)
     distinct: dict[bytes, int] = {}
-    own = np.fromiter((distinct.setdefault(strings[j - n : j], len(distinct)) for j, n in zip(ends.tolist(), lengths.tolist())), np.int32, len(lengths))
-    pack = np.repeat(group.column("pack").to_numpy(), [len(x) // 4 for x in group.column("sids").to_pylist()])
-    symbols = transform(list(distinct))
-    return pa.table(
-        {
-            "bucket": group.column("bucket").slice(0, 1),
-            "symbols": pa.array([symbols.tobytes()], pa.binary()),
-            "own": pa.array([own.tobytes()], pa.binary()),
-            "pack": pa.array([pack.astype(np.int64).tobytes()], pa.binary()),
-            **{name: pa.array([b"".join(group.column(name).to_pylist())], pa.binary()) for name in ("sids", "least", "most")},
-        }
-    )
+    own = np.fromiter((distinct.setdefault(strings[j - n : j], len(distinct)) for j, n in zip(np.cumsum(lengths).tolist(), lengths.tolist())), np.int32, len(lengths))
+    sources = np.stack([group.column("pack").to_numpy(), group.column("sid").to_numpy(), [len(x) for x in group.column("lengths").to_pylist()]]).astype(np.int64)
+    blobs = {"symbols": transform(list(distinct)), "own": own, "several": flags >> 7, "sources": sources, "least": joined(group.column("least"), np.int64)}
+    return pa.table({"bucket": group.column("bucket").slice(0, 1), **{name: pa.array([x.tobytes()], pa.binary()) for name, x in blobs.items()}})
 
 
 def last_to_first(symbols: np.ndarray) -> np.ndarray:
@@ -368,8 +371,8 @@ def merge_bucket(length: int):
 
     def run(group: pa.Table) -> pa.Table:
         shards = [np.frombuffer(x, np.uint8) for x in group.column("symbols").to_pylist()]
-        strings, lefts, spans, links, owners, base, rows = [], [], [], [], [], 0, 0
-        for symbols, own in zip(shards, group.column("own").to_pylist()):
+        strings, lefts, spans, links, owners, packs_, sids, base, rows = [], [], [], [], [], [], [], 0, 0
+        for symbols, own, source in zip(shards, group.column("own").to_pylist(), group.column("sources").to_pylist()):
             lf = last_to_first(symbols)
             string, left, lengths = places(symbols, lf)
             strings.append(string.astype(np.int64) + base)
@@ -378,9 +381,11 @@ def merge_bucket(length: int):
             links.append(lf + rows)
             owners.append(np.frombuffer(own, np.int32).astype(np.int64) + base)
             base, rows = base + len(lengths), rows + len(symbols)
-        string, left, lengths, own = (np.concatenate(x) for x in (strings, lefts, spans, owners))
-        least, most, pack = (joined(group.column(c), np.int64) for c in ("least", "most", "pack"))
-        sid = joined(group.column("sids"), np.int32)
+            pack, sid, times = np.frombuffer(source, np.int64).reshape(3, -1)
+            packs_.append(np.repeat(pack, times))
+            sids.append(np.repeat(sid - np.cumsum(times) + times, times) + np.arange(times.sum()))
+        string, left, lengths, own, pack, sid = (np.concatenate(x) for x in (strings, lefts, spans, owners, packs_, sids))
+        least, several = joined(group.column("least"), np.int64), joined(group.column("several"), np.uint8).astype(bool)
         order, at = grouped(own)
         first = np.minimum.reduceat(least[order], at)  # by string; every string has someone
         row, block = merge(np.concatenate(shards), np.concatenate(links), np.flatnonzero(left <= lengths[string] - length), length)
@@ -396,11 +401,11 @@ def merge_bucket(length: int):
         times = end - begin
         member = np.repeat(np.arange(len(own)), times)
         which = np.arange(len(member)) - np.repeat(np.cumsum(times) - times, times) + begin[member]
-        kept = run_low[which] < most[member]
+        kept = (run_low[which] < least[member]) | several[member]
         member, which = member[kept], which[kept]
         order, at = grouped(pack[member])
         member, which = member[order], which[order]
-        cells = [(pack[member[i]], *(x.tobytes() for x in (sid[member[i:j]], run_from[which[i:j]].astype(np.int32), run_to[which[i:j]].astype(np.int32), run_low[which[i:j]]))) for i, j in zip(at.tolist(), np.append(at[1:], len(member)).tolist())]
+        cells = [(pack[member[i]], *(x.tobytes() for x in (sid[member[i:j]].astype(np.int32), run_from[which[i:j]].astype(np.int32), run_to[which[i:j]].astype(np.int32), run_low[which[i:j]]))) for i, j in zip(at.tolist(), np.append(at[1:], len(member)).tolist())]
         names = ("pack", "sids", "lengths", "strings", "least")
         return pa.table({name: pa.array([c[i] for c in cells], pa.int64() if not i else pa.binary()) for i, name in enumerate(names)})
 
@@ -422,7 +427,7 @@ def cut_pack(length: int):
                 least = np.frombuffer(b"".join(x["least"] for x in parts), np.int64)
                 for x in right.to_pylist():
                     if not x["found"]:
-                        at, start = np.frombuffer(x["sids"], np.int32), np.frombuffer(x["strings"], np.int64)
+                        at, start = np.frombuffer(x["lengths"], np.int32), np.frombuffer(x["strings"], np.int64)
             order = np.argsort(sid, kind="stable")
             sid, low, high, least = sid[order], low[order], high[order], least[order]
             begin, end = np.searchsorted(sid, at), np.searchsorted(sid, at, "right")
@@ -435,6 +440,9 @@ def cut_pack(length: int):
                 occ, which = occ[goes], which[goes]
                 np.add.at(edge, start[occ] + low[which], 1)
                 np.subtract.at(edge, start[occ] + high[which] + length, 1)
+            whole = np.flatnonzero(pack.copies & (pack.lengths >= length))
+            edge += np.bincount(pack.ends[whole] - pack.lengths[whole], minlength=n + 1).astype(np.int32)
+            edge -= np.bincount(pack.ends[whole], minlength=n + 1).astype(np.int32)
             gone = np.cumsum(edge[:-1], dtype=np.int32) > 0
             offsets = np.concatenate([[0], pack.ends])
             first = np.zeros(n + 1, bool)
@@ -467,12 +475,12 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     made = packs(docs)
     total = made.agg(F.sum("size")).first()[0] or 0
     buckets = max(1, math.ceil(total / BUCKET_BYTES))
-    lists = anchor_lists(made.select("pack", "size", "ids", "missing", "lengths", "body"), length, buckets)
+    lists = anchor_lists(made, length, buckets)
     shared = lists.groupBy("bucket").applyInArrow(shared_anchors, "pack long, anchors binary")
     parts = settle(made.groupBy("pack").cogroup(shared.groupBy("pack")).applyInArrow(strings_of_pack(length, buckets), PART_FIELDS), "strings")
-    shards = parts.where("bucket >= 0").groupBy("bucket", "shard").applyInArrow(shard_transform, "bucket long, symbols binary, own binary, pack binary, sids binary, least binary, most binary")
-    found = settle(shards.groupBy("bucket").applyInArrow(merge_bucket(length), "pack long, sids binary, lengths binary, strings binary, least binary"), "found")
-    occurs = parts.where("bucket < 0").select("pack", "sids", "lengths", "strings", "least", F.lit(False).alias("found"))
+    shards = parts.where("bucket >= 0").groupBy("bucket", "shard").applyInArrow(shard_transform, "bucket long, symbols binary, own binary, several binary, sources binary, least binary")
+    found = settle(shards.groupBy("bucket").applyInArrow(merge_bucket(length), BACK_FIELDS), "found")
+    occurs = parts.where("bucket < 0").select("pack", F.lit(None).cast("binary").alias("sids"), "lengths", "strings", "least", F.lit(False).alias("found"))
     back = found.withColumn("found", F.lit(True)).unionByName(occurs)
     return made.groupBy("pack").cogroup(back.groupBy("pack")).applyInArrow(cut_pack(length), "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
 
