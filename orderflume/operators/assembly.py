@@ -13,6 +13,7 @@ from orderflume.model import ASSEMBLED
 # A pair of bigints as one decimal: the first in units of 10^19, which no bigint reaches.
 _UNIT = "cast('10000000000000000000' as decimal(20, 0))"
 _MISSING = f"{2**63 - 1}L"
+_NARROW = f"{2**31}L"
 
 
 def payments_by_order(payments: DataFrame) -> DataFrame:
@@ -25,19 +26,27 @@ def payments_by_order(payments: DataFrame) -> DataFrame:
 def items_by_order(items: DataFrame) -> DataFrame:
     """The (product, seller) pair of one item of each order, always the lowest pair.
 
-    The pair is compared as one decimal of fixed width. That keeps the aggregate in a hash
-    map, where ``min(struct)`` would sort every partition. A missing surrogate takes the top
-    value, so known pairs come first.
+    A pair is compared as one number, which keeps the aggregate in a hash map where ``min(struct)`` would sort every
+    partition: a bigint if both surrogates fit into 31 bits, as they do up to two billion ids, else a decimal. Each line
+    pays for the one it needs; the two minima meet once per order. A missing surrogate takes the top value, so known
+    pairs come first.
     """
     pair = (
         f"cast(coalesce(product_id_int, {_MISSING}) as decimal(19, 0)) * {_UNIT}"
         f" + cast(coalesce(seller_id_int, {_MISSING}) as decimal(19, 0))"
     )
-    lowest = items.groupBy("order_id_int").agg(F.expr(f"min(cast({pair} as decimal(38, 0))) as _pair"))
-    return lowest.selectExpr(
+    narrow = " and ".join(f"{c} >= 0 and {c} < {_NARROW}" for c in ("product_id_int", "seller_id_int"))
+    lowest = items.groupBy("order_id_int").agg(
+        F.expr(f"min(case when {narrow} then shiftleft(product_id_int, 31) | seller_id_int end) as _small"),
+        F.expr(f"min(case when {narrow} then null else cast({pair} as decimal(38, 0)) end) as _wide"),
+    )
+    product, seller = "shiftright(_small, 31)", f"_small & {2**31 - 1}L"
+    small = f"cast(cast({product} as decimal(19, 0)) * {_UNIT} + cast({seller} as decimal(19, 0)) as decimal(38, 0))"
+    alone = "_wide is null or "
+    return lowest.selectExpr("order_id_int", "_small", "_wide", f"{alone}coalesce({small} <= _wide, false) as _is_small").selectExpr(
         "order_id_int",
-        f"nullif(_pair div {_UNIT}, {_MISSING}) as product_id_int",
-        f"nullif(cast(_pair % {_UNIT} as bigint), {_MISSING}) as seller_id_int",
+        f"if(_is_small, {product}, nullif(_wide div {_UNIT}, {_MISSING})) as product_id_int",
+        f"if(_is_small, {seller}, nullif(cast(_wide % {_UNIT} as bigint), {_MISSING})) as seller_id_int",
     )
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderflume.functions.rows import any_null, any_of
-from orderflume.functions.temporal import PARSED, parsed, with_parsed
+from orderflume.functions.temporal import PARSED, Inferred, parsed, with_parsed
 from orderflume.model import (
     ENTITY_REFERENCE,
     EVENT_FACT,
@@ -101,13 +101,16 @@ def row_reason(df: DataFrame, spec: TableSpec) -> str:
     return f"case {' '.join(cases)} end"
 
 
-def flag_rows(raw: DataFrame, spec: TableSpec) -> DataFrame:
+def flag_rows(
+    raw: DataFrame, spec: TableSpec, formats: dict[str, Inferred] | None = None
+) -> DataFrame:
     """Collapsed table with the outcome of its row rules: one shuffle, done once per run.
 
-    Timestamp text is parsed here and carried along for everything that follows.
+    Timestamp text is parsed here and carried along for everything that follows; ``formats``
+    are those found for columns without a declared one.
     """
     stamps = [f.name for f in spec.schema if isinstance(f.dataType, T.TimestampNTZType)]
-    collapsed = with_parsed(collapse(raw), stamps)
+    collapsed = with_parsed(collapse(raw), stamps, formats)
     return collapsed.selectExpr("*", f"{row_reason(collapsed, spec)} as {REASON}")
 
 

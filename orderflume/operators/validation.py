@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -91,17 +91,6 @@ def is_collapsed(df: DataFrame) -> bool:
     return COPIES in df.columns
 
 
-def collapse_for_checks(df: DataFrame, key: list[str]) -> DataFrame:
-    """Collapsed form of a table that is expected to be clean.
-
-    No repeated key means no repeated row: a narrow count over the key then saves the
-    shuffle of whole rows.
-    """
-    if df.groupBy(*key).count().where("count > 1").isEmpty():
-        return df.selectExpr("*", f"1L as {COPIES}")
-    return collapse(df)
-
-
 Finding = tuple[str, str | None, str, str]  # rule, column, severity, count as SQL text
 
 
@@ -119,6 +108,45 @@ def _findings(one_row: DataFrame, name: str, findings: list[Finding]) -> DataFra
     return one_row.selectExpr(f"inline(array({', '.join(structs)}))").where("n > 0")
 
 
+def row_checks(df: DataFrame, spec: TableSpec, text_numbers: bool = False) -> list[Finding]:
+    """The checks of a table that look at one row at a time, as counts over ``_copies``."""
+    checks: list[Finding] = [("null_primary_key", None, WARNING, rows_where(any_null(spec.primary_key)))]
+    checks += [("null_values", c, WARNING, n) for c, n in null_counts(spec.non_nullable).items()]
+    if spec.role == EVENT_FACT:
+        checks += [("unparsable_timestamp", c, WARNING, n) for c, n in unparsable_counts(df).items()]
+        checks += [(rule, None, WARNING, n) for rule, n in chronology_counts(df).items()]
+    if spec.role == TRANSACTION_DETAIL:
+        checks += [("negative_values", c, ERROR, n) for c, n in negative_counts(df, text_numbers).items()]
+    return checks
+
+
+class WatchedTable:
+    """A table whose row checks are counted while it is written, so that nobody reads it again for them.
+
+    Write ``frame``, then ask for ``findings``. The counts come before any later shuffle, in the tasks that write, and
+    Spark counts each of them once however often a task is repeated.
+    """
+
+    def __init__(self, df: DataFrame, spec: TableSpec, text_numbers: bool = False):
+        self.spec, self.seen = spec, Observation()
+        counted = df if is_collapsed(df) else df.selectExpr("*", f"1L as {COPIES}")
+        self.checks = row_checks(counted, spec, text_numbers)
+        counts = [F.expr(n).alias(f"n{i}") for i, (_, _, _, n) in enumerate(self.checks)]
+        self.frame = counted.observe(self.seen, F.expr(rows_where("true")).alias("n_rows"), *counts).select(df.columns)
+
+    def findings(self) -> list[dict]:
+        """The same rows as ``validate_table`` gives for a table without repeated keys."""
+        counted = self.seen.get
+        empty = [("empty_dataset", None, ERROR, 1)] if not counted["n_rows"] else []
+        found = [(rule, column, severity, counted[f"n{i}"] or 0) for i, (rule, column, severity, _) in enumerate(self.checks)]
+        return [dict(zip(CHECKS.names, (self.spec.name, *f))) for f in empty + found if f[3]]
+
+
+def repeated_keys(df: DataFrame, key: list[str]) -> DataFrame:
+    """Keys that more than one row has; only the key is read."""
+    return df.groupBy(*key).count().where("count > 1")
+
+
 def validate_table(
     df: DataFrame,
     spec: TableSpec,
@@ -146,17 +174,7 @@ def validate_table(
     if not is_collapsed(df):
         df = collapse(df)
     key = list(spec.primary_key)
-    counts: list[Finding] = [("null_primary_key", None, WARNING, rows_where(any_null(key)))]
-    counts += [("null_values", c, WARNING, n) for c, n in null_counts(spec.non_nullable).items()]
-    if spec.role == EVENT_FACT:
-        counts += [
-            ("unparsable_timestamp", c, WARNING, n) for c, n in unparsable_counts(df).items()
-        ]
-        counts += [(rule, None, WARNING, n) for rule, n in chronology_counts(df).items()]
-    if spec.role == TRANSACTION_DETAIL:
-        counts += [
-            ("negative_values", c, ERROR, n) for c, n in negative_counts(df, text_numbers).items()
-        ]
+    counts = row_checks(df, spec, text_numbers)
     aliases = [f"n{i}" for i in range(len(counts))]
     profile = df.selectExpr(
         f"coalesce(sum({COPIES}), 0L) as n_rows",

@@ -443,6 +443,34 @@ select seller_id_int, min(order_date) as first_order_date,
     "published_view": """
 select customer_id_int, customer_state, customer_city, customer_segment, account_creation_date
 from customers_ok left join customer_map using (customer_id)""",
+    "promote_twice": """
+select *, case order_status when 'delivered' then '2026-03-25' else '2026-03-26' end as delta_date
+from orders_ok where order_status in ('delivered', 'shipped')""",
+    "latest_partition": f"""select {_ORDER_COLUMNS} from orders
+where year(o_orderdate) = (select max(year(o_orderdate)) from orders)""",
+    "silver_gate_counts": _checks(*_RULE_ORDERS[1:], *_RULE_ITEMS[1:], *_RULE_REFUNDS[1:]),
+    "known_mappings_runs": """
+select order_id, order_id_int from (
+  select order_id, row_number() over (order by run, substring(md5(order_id), 1, 3), order_id) as order_id_int
+  from (select distinct order_id, case order_status when 'delivered' then 1 when 'shipped' then 2 else 3 end as run
+        from raw_orders))
+where order_id in (select order_id from raw_order_items)""",
+    "discover_all_deltas": """
+select distinct order_id, (case order_status when 'cancelled' then 2 else 1 end)::int as run from raw_orders""",
+    "assembled_from_catalog": "select "
+    + _EVENT_COLUMNS.format(revenue="round(order_revenue::double, 2)")
+    + " from events",
+    "facts_by_delta": _weekly("events", "seller"),
+    "inferred_timestamps": f"""
+select customer_id,
+       case {_number('customer_id')} % 50 when 3 then null
+            when 7 then date_trunc('day', try_strptime(account_creation_date, {_TIME}))::timestamp
+            else try_strptime(account_creation_date, {_TIME}) + interval '250' millisecond end as account_creation_date,
+       (select count(*) from raw_customers where {_number('customer_id')} % 50 = 3) as unmatched,
+       'year-month-day' as layout
+from raw_customers""",
+    "end_to_end_second_run": "select concat('s', cast(seller_id_int as string)) as seller_id, true as same_number,"
+    f" * exclude (seller_id_int) from ({_weekly('events', 'seller')}) facts",
 }
 
 ORACLE_SQL = {name: _with(body) for name, body in BODIES.items()}

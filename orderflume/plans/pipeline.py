@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderflume.functions.rows import frozen
+from orderflume.functions.temporal import inferred_formats
 from orderflume.model import (
     ASSEMBLED,
     ENTITY_REFERENCE,
@@ -52,16 +53,29 @@ from orderflume.operators.validation import (
     CHECKS,
     ERROR,
     WARNING,
-    collapse_for_checks,
+    WatchedTable,
+    repeated_keys,
     validate_table,
 )
 from orderflume.plans.jobs import together
 from orderflume.plans.publish import publish
 from orderflume.plans.workspace import Workspace
 from orderflume.sources import storage
-from orderflume.sources.deltas import dated_scan, historical_scan, latest_delta
-from orderflume.sources.sinks import dated_name, promote_deltas
+from orderflume.sources.deltas import (
+    catalog_scan,
+    dated_scan,
+    delta_names,
+    historical_scan,
+    key_scan,
+    latest_delta,
+    latest_name,
+    unread_deltas,
+)
+from orderflume.sources.file_ledger import FileLedger
+from orderflume.sources.registry import Registry
+from orderflume.sources.sinks import dated_name, export
 from orderflume.sources.storage import Stage
+from orderflume.sources.zones import DELTA, delta_date, put_delta, zone_scan
 
 EVENT_TABLES = ("df_orders", "df_order_items", "df_payments")
 DIMENSION_TABLES = tuple(t for t, spec in TABLES.items() if spec.role == ENTITY_REFERENCE)
@@ -71,11 +85,18 @@ class StageFailure(RuntimeError):
     """A gate or stage that ends the run."""
 
 
+def orphan_findings(summary: dict[str, int]) -> list[dict]:
+    counts = {t: summary[f"{SHORT_NAMES[t]}_orphans"] for t in CHILDREN}
+    return [dict(zip(CHECKS.names, (t, "orphan_rows", "order_id", WARNING, n))) for t, n in counts.items() if n]
+
+
 class Run:
     """One run of the pipeline and its stage reports."""
 
-    def __init__(self, spark: SparkSession, ws: Workspace):
+    def __init__(self, spark: SparkSession, ws: Workspace, catalog: dict[str, str] | None = None):
         self.spark, self.ws = spark, ws
+        self.catalog = catalog or {}  # contracted tables that are read from the catalog
+        self.watched: dict[str, WatchedTable] = {}
         self.stage = Stage(spark, ws.staging)
         self.reports: dict[str, object] = {}
         self.stems: dict[str, str] = {}
@@ -87,6 +108,10 @@ class Run:
         payload = {"run_id": self.ws.run_id, "report": report}
         storage.write_json(self.spark, f"{self.ws.logs}/{name}.json", payload)
 
+    def write(self, df: DataFrame, path: str) -> None:
+        if not export(df, path, "errorifexists"):
+            raise StageFailure(f"could not write {path}")
+
     # --- raw ------------------------------------------------------------------------------
 
     def load_raw(self) -> tuple[dict[str, DataFrame], frozenset[str]]:
@@ -100,12 +125,21 @@ class Run:
                 return raw, False  # the gate reports it and stops the run
             # by type, whatever file a column comes from: ingested deltas are text as well
             textual = any(t == "string" for _, t in raw.dtypes)
-            return self.stage.put(f"flagged_{table}", flag_rows(raw, spec)), textual
+            formats = inferred_formats(raw, spec)
+            if formats:
+                self.record(f"timestamp_formats_{table}", {c: found._asdict() for c, found in formats.items()})
+            return self.stage.put(f"flagged_{table}", flag_rows(raw, spec, formats)), textual
 
         loaded = together(self.spark, *[lambda t=t: load(t) for t in TABLES])
         flagged = {t: df for t, (df, _) in zip(TABLES, loaded)}
         return flagged, frozenset(t for t, (_, text) in zip(TABLES, loaded) if text)
 
+    def report(self, name: str, findings: list[dict], fatal: Callable[[dict], bool]) -> None:
+        self.record(name, {"status": "failed" if findings else "success", "findings": findings})
+        stopping = [f for f in findings if fatal(f)]
+        if stopping:
+            raise StageFailure(f"{name}: {stopping}")
+
     def gate(
         self,
         name: str,
@@ -127,15 +161,7 @@ class Run:
 
         checked = together(self.spark, *[lambda t=t: check(t) for t in tables])
         findings = [finding for part in checked for finding in part]
-        for table in CHILDREN if summary else ():
-            orphans = summary[f"{SHORT_NAMES[table]}_orphans"]
-            if orphans:
-                values = (table, "orphan_rows", "order_id", WARNING, orphans)
-                findings.append(dict(zip(CHECKS.names, values)))
-        self.record(name, {"status": "failed" if findings else "success", "findings": findings})
-        stopping = [f for f in findings if fatal(f)]
-        if stopping:
-            raise StageFailure(f"{name}: {stopping}")
+        self.report(name, findings + (orphan_findings(summary) if summary else []), fatal)
 
     def take_ledger(self, flagged: dict[str, DataFrame]) -> None:
         """Gather what is known per order id, once for gate, surrogates and contract."""
@@ -152,33 +178,42 @@ class Run:
 
     # --- surrogates -----------------------------------------------------------------------
 
+    def earlier_ids(self, key: str) -> tuple[list[DataFrame], list[Callable[[], None]]]:
+        """Ids in raw deltas that no run has opened, and what puts those deltas on record."""
+        frames, records = [], []
+        for table in tables_with(key):
+            ledger = FileLedger(self.spark, f"{self.ws.id_mapping}/{key}.files/{table}")
+            names, files = unread_deltas(self.spark, self.ws.raw, table, ledger)
+            if names:
+                latest = latest_name(self.spark, self.ws.raw, table)  # its rows are in the batch already
+                frames += key_scan(self.spark, self.ws.raw, table, key, [n for n in names if n != latest])
+                files = self.stage.put(f"files_{key}_{table}", files)
+                records.append(lambda ledger=ledger, files=files: ledger.record(files))
+        return frames, records
+
     def resolve_key(self, key: str, flagged: dict[str, DataFrame]) -> DataFrame:
-        """Mapping of one id for this run; new ids go to the registry as this run's delta."""
-        spark, number = self.spark, int_name(key)
-        registry_path = f"{self.ws.id_mapping}/{key}"
+        """Mapping of one id for this run; new ids, those of unopened older deltas too, are registered."""
+        number = int_name(key)
+        registry = Registry(self.spark, self.ws.id_mapping, key)
         if key == "order_id":
             batch = self.ledger.where("order_id is not null").select("order_id")
         else:
             batch = surrogates.discover_keys([flagged[t] for t in tables_with(key)], key)
-        if storage.entries(spark, registry_path):
-            registry = spark.read.schema(f"{key} string, {number} bigint").parquet(
-                f"{registry_path}/*.parquet"
-            )
-            current = surrogates.max_surrogate(registry, key).first()[0]
-            matched = self.stage.put(
-                f"ids_{key}", surrogates.match_registry(batch, registry, key)
-            )
-        else:
-            current = 0
-            nothing = F.lit(None).cast("bigint").alias(number)
-            matched = self.stage.put(f"ids_{key}", batch.select(key, nothing))
+        earlier, records = self.earlier_ids(key)
+        if earlier:
+            batch = surrogates.discover_keys([batch, *earlier], key)
+        history = registry.table()
+        current = surrogates.max_surrogate(history, key).first()[0]
+        matched = self.stage.put(f"ids_{key}", surrogates.match_registry(batch, history, key))
         known = matched.where(F.col(number).isNotNull())
         fresh = matched.where(F.col(number).isNull()).select(key)
-        if fresh.isEmpty():
-            return known
-        delta = f"{registry_path}/map_{self.ws.run_id}.parquet"
-        surrogates.assign_surrogates(fresh, key, current).write.parquet(delta)
-        return known.unionByName(spark.read.schema(known.schema).parquet(delta))
+        if not fresh.isEmpty():
+            numbered = self.stage.put(f"new_{key}", surrogates.assign_surrogates(fresh, key, current))
+            registry.append(numbered)
+            known = known.unionByName(numbered)
+        for record in records:
+            record()
+        return known
 
     def resolve_mappings(self, flagged: dict[str, DataFrame]) -> dict[str, DataFrame]:
         jobs = [lambda k=k: self.resolve_key(k, flagged) for k in SURROGATE_KEYS]
@@ -206,9 +241,8 @@ class Run:
             silver = surrogates.attach_surrogates(
                 conformed, mappings, scan=rows, unique=spec.primary_key
             )
-            frozen(silver, silver_schema(table)).write.parquet(
-                f"{self.ws.pending}/{self.stems[table]}.parquet"
-            )
+            self.watched[table] = WatchedTable(frozen(silver, silver_schema(table)), spec)
+            self.watched[table].frame.write.parquet(f"{self.ws.pending}/{self.stems[table]}.parquet")
 
         def count(table: str) -> dict:
             cut = len(data_columns(flagged[table])) - len(TABLES[table].required)
@@ -223,38 +257,39 @@ class Run:
         )
         self.record("contract_application", done[len(TABLES) :])
 
-    def silver_gate(self) -> None:
-        """After the contract nothing may be left to report."""
-        tables = {
-            t: self.spark.read.schema(silver_schema(t)).parquet(
-                f"{self.ws.pending}/{self.stems[t]}.parquet"
-            )
-            for t in TABLES
-        }
-        # Where no key repeats, no row does: each table is then its own collapsed form.
-        single = {
-            t: df.selectExpr("*", f"1L as {COPIES}", f"cast(null as string) as {REASON}")
-            for t, df in tables.items()
-        }
+    def silver(self, table: str) -> DataFrame:
+        """What this run's contract wrote."""
+        path = f"{self.ws.pending}/{self.stems[table]}.parquet"
+        return self.spark.read.schema(silver_schema(table)).parquet(path)
 
-        def count_orders() -> dict[str, int]:
-            return ledger_summary(order_ledger(single)).first().asDict()
+    def silver_gate(self) -> None:
+        """After the contract nothing may be left to report.
 
+        Nulls, timestamps and signs were counted while the tables were written. What is left is whether keys are unique
+        and children have parents, for which only the keys are read.
+        """
+        keys = {t: self.silver(t).selectExpr("order_id", f"1L as {COPIES}", f"cast(null as string) as {REASON}") for t in SHORT_NAMES}
         others = [t for t in TABLES if t not in SHORT_NAMES]
-        summary, *collapsed = together(
+        summary, *unique = together(
             self.spark,
-            count_orders,
-            *[lambda t=t: collapse_for_checks(tables[t], list(TABLES[t].primary_key)) for t in others],
+            lambda: ledger_summary(order_ledger(keys)).first().asDict(),
+            *[lambda t=t: repeated_keys(self.silver(t), list(TABLES[t].primary_key)).isEmpty() for t in others],
         )
-        checked = {**single, **dict(zip(others, collapsed))}
-        if any(key_numbers(summary, t) != (0, 0) for t in SHORT_NAMES):
-            checked, summary = tables, None  # find out exactly what repeats
-        self.gate("post_contract_validation", checked, summary, frozenset(), lambda finding: True)
-        if summary is None:
-            raise StageFailure("post_contract_validation: repeated order ids")
+        if not all(unique) or any(key_numbers(summary, t) != (0, 0) for t in SHORT_NAMES):
+            tables = {t: self.silver(t) for t in TABLES}  # find out exactly what repeats
+            self.gate("post_contract_validation", tables, None, frozenset(), lambda finding: True)
+            raise StageFailure("post_contract_validation: repeated keys")
+        findings = [f for t in TABLES for f in self.watched[t].findings()]
+        self.report("post_contract_validation", findings + orphan_findings(summary), lambda finding: True)
 
     def promote(self) -> None:
-        promote_deltas(self.spark, self.ws.pending, self.ws.contracted, list(TABLES))
+        """The run's rows take the place of their days in the history."""
+
+        def put(table: str) -> None:
+            date = delta_date(self.stems[table], self.ws.run_date)
+            put_delta(self.silver(table), f"{self.ws.contracted}/{table}", date)
+
+        together(self.spark, *[lambda t=t: put(t) for t in TABLES])
 
     # --- events and facts -----------------------------------------------------------------
 
@@ -262,17 +297,21 @@ class Run:
         spark, ws = self.spark, self.ws
 
         def history(table: str) -> DataFrame:
-            return historical_scan(spark, ws.contracted, table, silver_schema(table))
+            if table in self.catalog:
+                return frozen(catalog_scan(spark, self.catalog[table]), silver_schema(table))
+            days = zone_scan(spark, f"{ws.contracted}/{table}", silver_schema(table)).drop(DELTA)
+            if not delta_names(spark, ws.contracted, table, ("parquet",)):
+                return days
+            return days.unionByName(historical_scan(spark, ws.contracted, table, silver_schema(table)))
 
         def events() -> None:
-            assemble_events(*[history(t) for t in EVENT_TABLES]).write.parquet(
-                f"{ws.assembled}/{dated_name('assembled_events', ws.run_id)}.parquet"
-            )
+            events = assemble_events(*[history(t) for t in EVENT_TABLES])
+            self.write(events, f"{ws.assembled}/{dated_name('assembled_events', ws.run_id)}.parquet")
 
         def dimension(table: str) -> None:
             key = int_name(TABLES[table].primary_key[0])
             reference = dimension_reference(history(table), key, dimension_schema(table))
-            reference.write.parquet(f"{ws.assembled}/{dated_name(table, ws.run_id)}.parquet")
+            self.write(reference, f"{ws.assembled}/{dated_name(table, ws.run_id)}.parquet")
 
         together(spark, events, *[lambda t=t: dimension(t) for t in DIMENSION_TABLES])
         self.record("assemble_events", {"status": "success"})
@@ -285,7 +324,7 @@ class Run:
         }
 
         def write(module: str, table: str, df: DataFrame) -> None:
-            df.write.parquet(f"{ws.semantic}/{module}/{dated_name(table, ws.run_id)}.parquet")
+            self.write(df, f"{ws.semantic}/{module}/{dated_name(table, ws.run_id)}.parquet")
 
         jobs = [
             lambda m=module, t=table, d=df: write(m, t, d)
@@ -338,8 +377,13 @@ class Run:
         return self.reports
 
 
-def run_pipeline(spark: SparkSession, base: str, run_id: str | None = None) -> Workspace:
-    """Run every stage under ``base``; raises at the first gate or stage that fails."""
+def run_pipeline(
+    spark: SparkSession, base: str, run_id: str | None = None, catalog: dict[str, str] | None = None
+) -> Workspace:
+    """Run every stage under ``base``; raises at the first gate or stage that fails.
+
+    ``catalog`` names catalog tables that hold the contracted history of some tables.
+    """
     ws = Workspace(base, run_id) if run_id else Workspace(base)
-    Run(spark, ws).execute()
+    Run(spark, ws, catalog).execute()
     return ws

@@ -18,41 +18,51 @@ def _report(*errors: str) -> dict:
     return {"status": "failed" if errors else "success", "errors": list(errors)}
 
 
+# What a run holds or ought to hold: () for its folder, (module,), (module, table file) or (module, table file, column).
+Part = tuple[str, ...]
+
+
+def declared_parts(run_id: str) -> set[Part]:
+    parts: set[Part] = {()}
+    for module, tables in SEMANTIC_MODULES.items():
+        for table in tables:
+            name = f"{dated_name(table.name, run_id)}.parquet"
+            parts |= {(module,), (module, name)} | {(module, name, column) for column in table.schema.names}
+    return parts
+
+
+def written_parts(spark: SparkSession, folder: str) -> set[Part]:
+    """From names and parquet footers alone; the footers are read side by side."""
+    modules = [name for name, is_dir in storage.entries(spark, folder) if is_dir]
+    files = [(m, n) for m in modules for n, _ in storage.entries(spark, f"{folder}/{m}") if n.endswith(".parquet")]
+    columns = together(spark, *[lambda p="/".join((folder, *f)): spark.read.parquet(p).columns for f in files]) if files else []
+    root = {()} if storage.exists(spark, folder) else set()
+    return root | {(m,) for m in modules} | set(files) | {(*f, c) for f, names in zip(files, columns) for c in names}
+
+
 def integrity_gate(spark: SparkSession, ws: Workspace) -> dict:
-    """The run's semantic folder holds exactly the declared modules, tables and columns.
+    """The run's semantic folder holds the declared modules, tables and columns, and no others of the first two.
 
-    Only names and parquet footers are looked at.
+    All differences are reported at once, by what they are parts of; what lies in something that is missing or
+    unexpected as a whole is not named again.
     """
-    if not storage.exists(spark, ws.semantic):
-        return _report("semantic directory is missing")
-    modules = {name for name, is_dir in storage.entries(spark, ws.semantic) if is_dir}
-    if modules != set(SEMANTIC_MODULES):
-        return _report(f"semantic modules differ: {sorted(modules ^ set(SEMANTIC_MODULES))}")
-    for module, tables in SEMANTIC_MODULES.items():
-        expected = {f"{dated_name(t.name, ws.run_id)}.parquet" for t in tables}
-        found = {
-            name
-            for name, _ in storage.entries(spark, f"{ws.semantic}/{module}")
-            if name.endswith(".parquet")
-        }
-        if found != expected:
-            return _report(f"{module}: table set differs: {sorted(found ^ expected)}")
-
-    def missing_columns(module: str, table: SemanticTable) -> str | None:
-        name = f"{dated_name(table.name, ws.run_id)}.parquet"
-        columns = spark.read.parquet(f"{ws.semantic}/{module}/{name}").columns
-        missing = sorted(set(table.schema.names) - set(columns))
-        return f"{name}: missing required columns: {missing}" if missing else None
-
-    problems = together(
-        spark,
-        *[
-            lambda m=module, t=table: missing_columns(m, t)
-            for module, tables in SEMANTIC_MODULES.items()
-            for table in tables
-        ],
-    )
-    return _report(*[p for p in problems if p])
+    declared, written = declared_parts(ws.run_id), written_parts(spark, ws.semantic)
+    differences: dict[Part, list[str]] = {}
+    for mark, parts in (("without", declared - written), ("besides", written - declared)):
+        for part in sorted(parts):
+            if part[:-1] not in parts - {part} and (mark == "without" or len(part) < 3):
+                differences.setdefault(part[:-1] if part else ("",), []).append(f"{mark} {part[-1]}" if part else "")
+    errors = []
+    for whole, found in sorted(differences.items()):
+        if whole == ("",):
+            errors.append("semantic directory is missing")
+        elif not whole:
+            errors.append(f"semantic modules differ: {', '.join(found)}")
+        elif len(whole) == 1:
+            errors.append(f"{whole[0]}: table set differs: {', '.join(found)}")
+        else:
+            errors.append(f"{whole[1]}: missing required columns: {', '.join(found)}")
+    return _report(*errors)
 
 
 def promote_version(spark: SparkSession, ws: Workspace) -> dict:
@@ -101,10 +111,31 @@ def swap_views(spark: SparkSession, ws: Workspace) -> dict:
     return _report()
 
 
+def pointer_names(spark: SparkSession, ws: Workspace) -> list[str]:
+    return [name for name, _ in storage.entries(spark, ws.pointers) if name.endswith(".json")]
+
+
+def current_pointer(spark: SparkSession, ws: Workspace) -> dict | None:
+    """The pointer of the highest number; one whose writer died halfway does not count."""
+    for name in reversed(pointer_names(spark, ws)):
+        try:
+            return json.loads(storage.read_text(spark, f"{ws.pointers}/{name}"))
+        except ValueError:
+            continue
+    return None
+
+
 def activate_version(spark: SparkSession, ws: Workspace) -> dict:
-    """Swap the pointer file that names the current version."""
+    """Make this version the current one: the next number in a log of pointers that are never changed.
+
+    A pointer is created only if its number is free, which object stores can promise where they cannot rename. Of two
+    runs that race for a number one wins; the other reports it. ``_latest.json`` is a copy for readers of one file.
+    """
     started = datetime.strptime(ws.run_id[:15], "%Y%m%dT%H%M%S")
+    taken = pointer_names(spark, ws)
+    number = int(taken[-1].partition(".")[0]) + 1 if taken else 1
     pointer = {
+        "number": number,
         "run_id": ws.run_id,
         "version": f"v{ws.run_id}",
         "run_year": started.year,
@@ -113,7 +144,10 @@ def activate_version(spark: SparkSession, ws: Workspace) -> dict:
         "published_at": datetime.now(timezone.utc).isoformat(),
     }
     try:
+        storage.create_text(spark, f"{ws.pointers}/{number:010d}.json", json.dumps(pointer, indent=2))
         storage.replace_text(spark, ws.latest_pointer, json.dumps(pointer, indent=2))
+    except FileExistsError:
+        return _report(f"another run published as number {number} first; publish {ws.run_id} again")
     except Exception as failure:
         return _report(str(failure))
     return _report()

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderflume.functions.rows import frozen
+from orderflume.functions.temporal import infer_layout, parsed
 from orderflume.model import (
     ASSEMBLED,
     SELLER_DIM,
@@ -18,12 +19,14 @@ from orderflume.model import (
     int_name,
     weekly_fact_schema,
 )
-from orderflume.operators import assembly, contract, ledger, semantic, surrogates, validation
+from orderflume.operators import assembly, contract, ledger, partials, semantic, surrogates, validation
 from orderflume.plans.inputs import Inputs
 from orderflume.plans.jobs import together
-from orderflume.plans.pipeline import Run
+from orderflume.plans.pipeline import EVENT_TABLES, Run
 from orderflume.plans.workspace import Workspace
-from orderflume.sources import deltas, storage
+from orderflume.sources import deltas, storage, zones
+from orderflume.sources.file_ledger import FileLedger
+from orderflume.sources.registry import Registry
 from orderflume.streaming.deliveries import stream_deliveries
 from orderflume.sources.ingest import HANDSHAKE_FILE, HANDSHAKE_TEXT, ingest_batch
 
@@ -556,6 +559,133 @@ def product_dim(i: Inputs) -> DataFrame:
     return _dimension(i, "df_products", "product_category_name")
 
 
+# --- history, registry and increments -----------------------------------------------------
+
+
+@query
+def promote_twice(i: Inputs) -> DataFrame:
+    """Two days of orders, of which the second is delivered again with fewer rows."""
+    orders, path = i.contracted("df_orders"), f"{i.stage.root}/history/df_orders"
+    rest = orders.where("order_status <> 'delivered'")
+    zones.put_delta(orders.where("order_status = 'delivered'"), path, "2026-03-25")
+    zones.put_delta(rest, path, "2026-03-26")
+    zones.put_delta(rest.where("order_status = 'shipped'"), path, "2026-03-26")
+    return zones.zone_scan(i.spark, path, orders.schema).withColumn("delta_date", F.col("delta_date").cast("string"))
+
+
+@query
+def latest_partition(i: Inputs) -> DataFrame:
+    """Orders with one partition per year; only the last is opened."""
+    orders, path = i.source("orders").select(ORDER_COLUMNS), f"{i.stage.root}/orders"
+    dated = orders.withColumn(zones.DELTA, F.expr("make_date(year(o_orderdate), 12, 31)"))
+    dated.write.partitionBy(zones.DELTA).parquet(path)
+    return zones.latest_of_zone(i.spark, path, orders.schema)[0]
+
+
+@query
+def silver_gate_counts(i: Inputs) -> DataFrame:
+    """Row checks of three tables with faults, counted while they are written."""
+    sources = {"df_orders": "df_orders", "df_order_items": "df_order_items", "df_payments": "df_payments_refunds"}
+    watched = {t: validation.WatchedTable(i.raw(raw), TABLES[t]) for t, raw in sources.items()}
+    together(i.spark, *[lambda t=t, w=w: i.stage.put(f"watched_{t}", w.frame) for t, w in watched.items()])
+    return i.spark.createDataFrame([f for w in watched.values() for f in w.findings()], validation.CHECKS)
+
+
+@query
+def known_mappings_runs(i: Inputs) -> DataFrame:
+    """A registry filled by three runs, one per order status, meets the ids of the items."""
+    registry = Registry(i.spark, f"{i.stage.root}/id_mapping", "order_id")
+    for status in ("delivered", "shipped", "cancelled"):
+        orders = i.raw("df_orders").where(f"order_status = '{status}'")
+        batch = i.stage.put(f"batch_{status}", surrogates.discover_keys([orders], "order_id"))
+        history = registry.table()
+        current = surrogates.max_surrogate(history, "order_id").first()[0]
+        known = surrogates.known_mappings(history, batch, "order_id")
+        fresh = i.stage.put(f"fresh_{status}", surrogates.new_keys(batch, known, "order_id"))
+        registry.append(i.stage.put(f"ids_{status}", surrogates.assign_surrogates(fresh, "order_id", current)))
+    wanted = i.stage.put("wanted", surrogates.discover_keys([i.raw("df_order_items")], "order_id"))
+    return surrogates.known_mappings(registry.table(), wanted, "order_id")
+
+
+@query
+def discover_all_deltas(i: Inputs) -> DataFrame:
+    """Ids of every raw delta, CSV and parquet, and the run that saw them first.
+
+    The second run opens only what came since; most of that it knows already.
+    """
+    base, ledger = f"{i.stage.root}/raw", FileLedger(i.spark, f"{i.stage.root}/files")
+    orders = i.raw("df_orders")
+
+    def new_ids(run: int) -> DataFrame:
+        names, files = deltas.unread_deltas(i.spark, base, "df_orders", ledger)
+        ids = surrogates.discover_keys(deltas.key_scan(i.spark, base, "df_orders", "order_id", names), "order_id")
+        found = i.stage.put(f"ids_{run}", ids)
+        ledger.record(i.stage.put(f"files_{run}", files))
+        return found
+
+    orders.where("order_status = 'delivered'").write.option("header", True).csv(f"{base}/df_orders_2026_03_24.csv")
+    orders.where("order_status = 'shipped'").write.parquet(f"{base}/df_orders_2026_03_25.parquet")
+    first = new_ids(1)
+    orders.where("order_status <> 'delivered'").write.parquet(f"{base}/df_orders_2026_03_26.parquet")
+    second = surrogates.new_keys(new_ids(2), first, "order_id")
+    return first.withColumn("run", F.lit(1)).unionByName(second.withColumn("run", F.lit(2)))
+
+
+@query
+def assembled_from_catalog(i: Inputs) -> DataFrame:
+    """Events from external tables that grow between two calls; the second reads new files only."""
+    tables = dict(zip(EVENT_TABLES, i.event_tables()))
+    names = {t: f"external_{t}_{uuid.uuid4().hex}" for t in tables}
+    ledgers = {t: FileLedger(i.spark, f"{i.stage.root}/files/{t}") for t in tables}
+
+    def take(t: str, call: int) -> DataFrame:
+        rows, files = deltas.catalog_increment(i.spark, names[t], ledgers[t])
+        taken = i.stage.put(f"taken_{t}_{call}", rows)
+        ledgers[t].record(i.stage.put(f"files_{t}_{call}", files))
+        return taken
+
+    even = "order_id_int % 2 = 0"
+    for t, df in tables.items():
+        path = f"{i.stage.root}/external/{t}"
+        df.where(even).write.parquet(path)
+        i.spark.sql(f"CREATE TABLE {names[t]} USING parquet LOCATION '{path}'")
+    first = together(i.spark, *[lambda t=t: take(t, 1) for t in tables])
+    for t, df in tables.items():
+        df.where(f"not ({even})").write.mode("append").parquet(f"{i.stage.root}/external/{t}")
+    second = together(i.spark, *[lambda t=t: take(t, 2) for t in tables])
+    return _rounded(assembly.assemble_events(*[a.unionByName(b) for a, b in zip(first, second)]))
+
+
+@query
+def facts_by_delta(i: Inputs) -> DataFrame:
+    """Seller facts from two deltas of events; the first comes again with more rows."""
+    events = i.stage.put("events", i.assembled())
+    kept = partials.KeptFact(i.spark, f"{i.stage.root}/facts", "seller")
+    even = "order_id_int % 2 = 0"
+    kept.refresh(events.where(f"{even} and order_id_int % 3 = 0"), "2026-03-25")
+    kept.refresh(events.where(f"not ({even})"), "2026-03-26")
+    kept.refresh(events.where(even), "2026-03-25")
+    return _rounded(kept.fact())
+
+
+@query
+def inferred_timestamps(i: Inputs) -> DataFrame:
+    """Creation dates with a T and fractions, some as plain days, some no dates at all."""
+    number = "cast(substring(customer_id, 2) as bigint)"
+    raw = i.raw("df_customers").selectExpr(
+        "customer_id",
+        f"case {number} % 50 when 3 then 'unknown' when 7 then substring(account_creation_date, 1, 10)"
+        " else concat(replace(account_creation_date, ' ', 'T'), '.250') end as account_creation_date",
+    )
+    found = infer_layout(raw, ["account_creation_date"])["account_creation_date"]
+    return raw.selectExpr(
+        "customer_id",
+        f"{parsed(raw, 'account_creation_date', found)} as account_creation_date",
+        f"{found.unmatched}L as unmatched",
+        f"'{found.layout}' as layout",
+    )
+
+
 # --- the whole pipeline -----------------------------------------------------------------
 
 
@@ -586,3 +716,22 @@ def published_view(i: Inputs) -> DataFrame:
     ws = _published_run(i)
     versioned = i.spark.table(f"customer_semantic.customer_dim_v{ws.run_id}").columns
     return i.spark.table("customer_semantic.published_customer_dim").select(versioned)
+
+
+@query
+def end_to_end_second_run(i: Inputs) -> DataFrame:
+    """Two runs over one lake, each with half of the orders: facts of both, and whether sellers kept their numbers."""
+    base, numbers = f"{i.stage.root}/lake", []
+    even = "coalesce(try_cast(substring(order_id, 2) as bigint) % 2 = 0, false)"
+    for day, half in (("2026_03_25", even), ("2026_03_26", f"not {even}")):
+        raw = {t: i.raw(t).where(half) if "order_id" in TABLES[t].required else i.raw(t) for t in TABLES}
+        together(i.spark, *[lambda t=t: raw[t].write.parquet(f"{base}/raw/{t}_{day}.parquet") for t in raw])
+        ws = Workspace(base)
+        Run(i.spark, ws).execute()
+        numbers.append(i.stage.put(f"sellers_{day}", Registry(i.spark, ws.id_mapping, "seller_id").table()))
+    before, now = numbers[0].withColumnRenamed("seller_id_int", "before"), numbers[1]
+    sellers = now.join(before, "seller_id", "left").selectExpr(
+        "seller_id", "seller_id_int", "coalesce(before = seller_id_int, true) as same_number"
+    )
+    fact = i.spark.read.parquet(f"{ws.version}/seller_semantic/seller_weekly_fact_*.parquet")
+    return _rounded(fact.join(sellers, "seller_id_int").drop("seller_id_int"))

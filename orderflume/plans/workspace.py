@@ -43,6 +43,14 @@ class Workspace:
     def latest_pointer(self) -> str:
         return f"{self.published}/_latest.json"
 
+    @property
+    def pointers(self) -> str:
+        return f"{self.published}/pointers"
+
+    @property
+    def run_date(self) -> str:
+        return f"{self.run_id[:4]}-{self.run_id[4:6]}-{self.run_id[6:8]}"
+
     @property
     def run(self) -> str:
         return f"{self.base}/runs/{self.run_id}"

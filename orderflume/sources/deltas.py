@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from orderflume.functions.rows import naive_timestamps
 from orderflume.sources import storage
+from orderflume.sources.file_ledger import FileLedger
 
 FORMATS = ("csv", "parquet")
 
@@ -44,12 +45,16 @@ def delta_names(spark: SparkSession, base: str, table: str, formats: tuple[str,
     return sorted(found)
 
 
-def latest_delta(spark: SparkSession, base: str, table: str) -> tuple[DataFrame, str]:
-    """The newest delta of a table and its name without suffix."""
+def latest_name(spark: SparkSession, base: str, table: str) -> str:
     names = delta_names(spark, base, table)
     if not names:
         raise FileNotFoundError(f"no delta of {table} in {base}")
-    newest = names[-1]
+    return names[-1]
+
+
+def latest_delta(spark: SparkSession, base: str, table: str) -> tuple[DataFrame, str]:
+    """The newest delta of a table and its name without suffix."""
+    newest = latest_name(spark, base, table)
     return read_delta(spark, f"{base}/{newest}"), newest.rpartition(".")[0]
 
 
@@ -83,16 +88,28 @@ def dated_scan(
     return naive_timestamps(reader.parquet(f"{base}/{table}_*.parquet"))
 
 
-def key_scan(spark: SparkSession, base: str, table: str, key: str) -> list[DataFrame]:
-    """One id column of every delta of a table, CSV and parquet alike, as text."""
-    frames = []
-    for suffix in FORMATS:
-        paths = [f"{base}/{n}" for n in delta_names(spark, base, table, (suffix,))]
-        if paths and suffix == "csv":
-            frames += [read_csv(spark, p).select(key) for p in paths]
-        elif paths:
-            frames.append(spark.read.parquet(*paths).select(F.col(key).cast("string").alias(key)))
-    return frames
+def key_scan(
+    spark: SparkSession, base: str, table: str, key: str, names: list[str] | None = None
+) -> list[DataFrame]:
+    """One id column of the deltas of a table (of the named ones), CSV and parquet alike, as text."""
+    chosen = delta_names(spark, base, table) if names is None else names
+    frames = [read_delta(spark, f"{base}/{n}") for n in chosen]
+    return [f.select(F.col(key).cast("string").alias(key)) for f in frames if key in f.columns]
+
+
+def unread_deltas(
+    spark: SparkSession, base: str, table: str, ledger: FileLedger
+) -> tuple[list[str], DataFrame]:
+    """Names of the deltas that hold a file the ledger lacks, and those files.
+
+    Only the names come to the driver. A delta whose files are all on record gave its ids to the registry before, so no
+    id is lost by not opening it.
+    """
+    names = delta_names(spark, base, table)
+    files = ledger.unread([f"{base}/{n}" for n in names])
+    of_delta = F.element_at(F.split(F.split_part("path", F.lit(base.rstrip("/").rpartition("/")[2] + "/"), F.lit(-1)), "/"), 1)
+    held = {r[0] for r in files.select(of_delta.alias("delta")).distinct().collect()}
+    return [n for n in names if n in held], files
 
 
 def catalog_scan(spark: SparkSession, name: str) -> DataFrame:
@@ -103,5 +120,18 @@ def catalog_scan(spark: SparkSession, name: str) -> DataFrame:
     return naive_timestamps(df)
 
 
-def catalog_files(spark: SparkSession, name: str) -> DataFrame:
-    return spark.table(name).select(F.col("_metadata.file_path").alias("file_path")).distinct()
+def catalog_increment(spark: SparkSession, name: str, ledger: FileLedger) -> tuple[DataFrame, DataFrame]:
+    """Rows of a catalog table in files that the ledger lacks, and those files; nothing else is opened."""
+    spark.catalog.refreshTable(name)
+    table = spark.table(name)
+    files = ledger.unread(table.inputFiles())
+    paths = [r["path"] for r in files.select("path").collect()]  # names of new files
+    if not paths:
+        return naive_timestamps(table.limit(0)), files
+    location = spark.sql(f"DESCRIBE FORMATTED {name}").where("col_name = 'Location'").first()["data_type"]
+    rows = spark.read.schema(table.schema).option("basePath", location).format(_format(spark, name)).load(paths)
+    return naive_timestamps(rows), files
+
+
+def _format(spark: SparkSession, name: str) -> str:
+    return spark.sql(f"DESCRIBE FORMATTED {name}").where("col_name = 'Provider'").first()["data_type"].lower()

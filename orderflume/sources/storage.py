@@ -52,6 +52,23 @@ def write_json(spark: SparkSession, path: str, payload: Any) -> None:
     write_text(spark, path, json.dumps(payload, indent=2))
 
 
+def create_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a file that must not exist yet; ``FileExistsError`` if another writer was first."""
+    fs, target = _handle(spark, path)
+    try:
+        stream = fs.create(target, False)
+    except Exception as failure:
+        if "already exists" in str(failure).lower() or "AlreadyExists" in str(failure):
+            raise FileExistsError(path) from failure
+        raise
+    try:
+        stream.write(bytearray(text.encode("utf-8")))
+    finally:
+        stream.close()
+    if read_text(spark, path) != text:  # a file system that lets two writers through keeps one of them
+        raise FileExistsError(path)
+
+
 def replace_text(spark: SparkSession, path: str, text: str) -> None:
     """Write beside the target, then swap in one rename: readers see the old or the new."""
     pending = f"{path}.tmp"
@@ -65,44 +82,6 @@ def replace_text(spark: SparkSession, path: str, text: str) -> None:
     context.rename(source, target, options)
 
 
-def _aside(target: str) -> str:
-    folder, _, name = target.rpartition("/")
-    return f"{folder}/.replaced-{name}"
-
-
-def move_directory(spark: SparkSession, source: str, target: str) -> None:
-    """Put a finished directory in place of an older one; readers never see half of it.
-
-    The older one is set aside and goes only when the new one is in place, so a driver that
-    dies between the steps loses neither: ``restore_directories`` puts it back.
-    """
-    fs, old = _handle(spark, target)
-    _, new = _handle(spark, source)
-    _, kept = _handle(spark, _aside(target))
-    fs.mkdirs(old.getParent())
-    if fs.exists(old):
-        fs.delete(kept, True)
-        if not fs.rename(old, kept):
-            raise OSError(f"could not set {target} aside")
-    if not fs.rename(new, old):
-        raise OSError(f"could not move {source} to {target}")
-    fs.delete(kept, True)
-
-
-def restore_directories(spark: SparkSession, folder: str) -> list[str]:
-    """Put back what an unfinished ``move_directory`` left aside; names of what came back."""
-    fs, target = _handle(spark, folder)
-    restored = []
-    for status in fs.listStatus(target) if fs.exists(target) else []:
-        name = status.getPath().getName()
-        if name.startswith(".replaced-"):
-            name = name.removeprefix(".replaced-")
-            _, place = _handle(spark, f"{folder}/{name}")
-            if not fs.exists(place) and fs.rename(status.getPath(), place):
-                restored.append(name)
-    return restored
-
-
 def move_file(spark: SparkSession, source: str, target: str) -> None:
     """Move one finished file; the target must not exist."""
     fs, old = _handle(spark, source)

@@ -11,6 +11,7 @@ from orderflume.plans import publish as publishing
 from orderflume.plans.pipeline import Run, StageFailure, run_pipeline
 from orderflume.plans.workspace import Workspace, new_run_id
 from orderflume.sources import storage
+from orderflume.sources.registry import Registry
 from orderflume.sources.sinks import dated_name
 
 RAW = {
@@ -81,13 +82,16 @@ def test_a_run_from_csv_to_published_tables(spark, tmp_path):
 def test_second_run_keeps_ids_and_adds_history(spark, tmp_path):
     base = lake(tmp_path)
     first = run_pipeline(spark, base)
-    mapping = f"{first.id_mapping}/order_id/*.parquet"
-    before = {r.order_id: r.order_id_int for r in spark.read.parquet(mapping).collect()}
+
+    def numbers():
+        return {r.order_id: r.order_id_int for r in Registry(spark, first.id_mapping, "order_id").table().collect()}
+
+    before = numbers()
     more = RAW["df_orders"].replace("o1,", "n1,").replace("o2,", "n2,")
     items = RAW["df_order_items"].replace("o1,", "n1,").replace("o2,", "n2,")
     lake(tmp_path, "2026_03_26", df_orders=more, df_order_items=items, df_payments="order_id,payment_value\nn1,3.5\n")
     second = run_pipeline(spark, base)
-    after = {r.order_id: r.order_id_int for r in spark.read.parquet(mapping).collect()}
+    after = numbers()
     assert {k: after[k] for k in before} == before
     assert sorted(after.values()) == list(range(1, len(after) + 1))
     fact = published(spark, second, "seller_semantic", "seller_weekly_fact").first()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import types as T
 
 from orderflume.model import ENTITY_REFERENCE, TABLES, TableSpec
@@ -127,8 +128,32 @@ def test_references_are_skipped_without_all_three_tables(spark):
     assert validation.validate_references({"df_orders": orders(spark, order("o1"))}) == []
 
 
-def test_expected_clean_table_is_not_collapsed_again(spark):
-    clean = validation.collapse_for_checks(small(spark, ("1", "a"), ("2", "b")), ["id"])
-    assert "Exchange" not in clean._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
-    repeated = validation.collapse_for_checks(small(spark, ("1", "a"), ("1", "a")), ["id"])
-    assert [r._copies for r in repeated.collect()] == [2]
+def test_repeated_keys_read_the_key_alone(spark, tmp_path):
+    small(spark, ("1", "a"), ("1", "b"), ("2", "c")).write.parquet(f"{tmp_path}/t")
+    repeated = validation.repeated_keys(spark.read.parquet(f"{tmp_path}/t"), ["id"])
+    assert [r["id"] for r in repeated.collect()] == ["1"]
+    assert "ReadSchema: struct<id:string>" in repeated._jdf.queryExecution().toString()
+
+
+def dirty(spark):
+    return {
+        "df_orders": orders(spark, order("o1"), order(None), order("o2")).selectExpr(
+            *[c for c in TABLES["df_orders"].required if c not in ("order_purchase_timestamp", "order_approved_at")],
+            "if(order_id = 'o2', 'garbage', order_purchase_timestamp) as order_purchase_timestamp",
+            "if(order_id = 'o1', '1999-01-01 00:00:00', order_approved_at) as order_approved_at",
+        ),
+        "df_payments": spark.createDataFrame([("o1", -1.5), (None, 2.0), ("o2", None), ("o3", -2.0)], "order_id string, payment_value double"),
+        "df_customers": spark.createDataFrame([], "customer_id string, customer_state string, customer_city string, customer_segment string, account_creation_date string"),
+    }
+
+
+@pytest.mark.parametrize("table", ["df_orders", "df_payments", "df_customers"])
+def test_checks_counted_while_writing_equal_those_of_a_second_read(spark, tmp_path, table):
+    df = dirty(spark)[table]
+    watched = validation.WatchedTable(df.repartition(5), TABLES[table])
+    watched.frame.write.parquet(f"{tmp_path}/{table}")
+    again = spark.read.schema(df.schema).parquet(f"{tmp_path}/{table}")
+    assert again.columns == df.columns and again.count() == df.count()
+    read = [r.asDict() for r in validation.validate_table(again, TABLES[table]).collect()]
+    order_of = lambda f: (f["rule"], f["column_name"] or "")
+    assert sorted(watched.findings(), key=order_of) == sorted(read, key=order_of) != []
