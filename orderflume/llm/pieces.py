@@ -3,7 +3,8 @@
 A text is marked (a space before it, spaces as marks) and falls into words, which no piece crosses. The distinct words that
 a worker does not know yet are sorted; going through them in order is a depth-first walk of their trie, since what a
 word shares with the one before it is a stack of forward states that stays. The forward state of a prefix is the last
-piece on its best path. For a model of merges, a path is worth nothing (minus infinity) unless merging really gives it,
+piece on its best path, with the nodes of a trie of all pieces that lead on from it, so that only pieces that do end at a
+character are tried there. For a model of merges, a path is worth nothing (minus infinity) unless merging really gives it,
 which holds exactly if each two neighbouring pieces, merged from their characters on, give these two again. So each
 prefix has one best path, one step extends it, and the result equals the library's.
 
@@ -20,6 +21,7 @@ from __future__ import annotations
 import functools
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,13 +31,30 @@ from pyspark.sql import DataFrame
 from orderflume.llm.common import arrow_map, in_steps, texts
 
 MARK = "▁"
-CACHED_WORDS = 400_000
-CACHED_PAIRS = 400_000
+CACHED = 400_000  # words, and pairs of pieces, of a generation; two are held
 STEP = 1_000_000
 WORD = re.compile(" +[^ \n]*|[^ \n]+|\n")
 NORMAL, USER, BYTE = 1, 4, 6  # kinds of pieces in the model's format (fixed values)
 
 
+class Recent(dict):
+    """A mapping that forgets what was not asked for lately: when a generation is full, the one before it goes."""
+
+    def __init__(self, most: int):
+        self.most, self.older = most, {}
+
+    def __missing__(self, key):
+        value = self.older[key]
+        self[key] = value
+        return value
+
+    def keep(self, key, value) -> None:
+        if len(self) >= self.most:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+
+
 class Codec:
     """One model in a Python worker."""
 
@@ -62,10 +81,15 @@ class Codec:
                 self.bytes.append(b"")
         if any("\n" in p or MARK in p.lstrip(MARK) for p in self.ids):
             raise ValueError("a piece goes across words")
-        self.longest = max(map(len, self.ids))
-        self.known: dict[str, bytes] = {}
-        self.pairs: dict[tuple[str, str], bool] = {}
-        self.whole = functools.lru_cache(len(self.ids))(lambda p: self.merge(p) == [p])
+        self.trie: dict = {}
+        for piece in self.ids:
+            if self.merge(piece) == [piece]:  # else merging never gives it
+                node = self.trie
+                for c in piece:
+                    node = node.setdefault(c, {})
+                node[""] = piece
+        self.known: Recent = Recent(CACHED)
+        self.pairs: Recent = Recent(CACHED)
 
     def merge(self, text: str) -> list[str]:
         """Pieces of a short text by merging: best score first, then leftmost."""
@@ -80,30 +104,35 @@ class Codec:
 
     def stands(self, left: str, right: str) -> bool:
         """Whether merging leaves these two pieces side by side."""
-        got = self.pairs.get((left, right))
-        if got is None:
-            if len(self.pairs) >= CACHED_PAIRS:
-                self.pairs.clear()
-            got = self.pairs[left, right] = self.merge(left + right) == [left, right]
-        return got
+        try:
+            return self.pairs[left, right]
+        except KeyError:
+            got = self.merge(left + right) == [left, right]
+            self.pairs.keep((left, right), got)
+            return got
 
     def best(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
         """Packed ids of sorted marked words; what two neighbours share is searched once."""
-        ids, longest, stands, whole = self.ids, self.longest, self.stands, self.whole
+        ids, stands, pairs, trie = self.ids, self.stands, self.pairs, self.trie
         before, last = "", [""]  # last[i]: the piece that ends the best path of the first i characters
+        open_: list[list[tuple[int, dict]]] = [[]]  # open_[i]: where pieces that go on at character i start, and their nodes
         for word in words:
             most = min(len(before), len(word))
             same = next((i for i in range(most) if before[i] != word[i]), most)
-            del last[same + 1 :]
-            for end in range(same + 1, len(word) + 1):
-                for start in range(max(0, end - longest), end):
-                    piece = word[start:end]
-                    if piece in ids and whole(piece):
-                        left = last[start]
-                        if not start or left not in ids or stands(left, piece):
+            del last[same + 1 :], open_[same + 1 :]
+            for end in range(same, len(word)):
+                c = word[end]
+                grown = [(start, node[c]) for start, node in open_[end] if c in node]
+                if c in trie:
+                    grown.append((end, trie[c]))
+                open_.append(grown)
+                for start, node in grown:  # the longest first
+                    if "" in node:
+                        piece, left = node[""], last[start]
+                        if not start or pairs.get((left, piece)) or left not in ids or stands(left, piece):
                             break
                 else:
-                    piece = word[end - 1]  # a character without a piece
+                    piece = c  # a character without a piece
                 last.append(piece)
             at, path = len(word), []
             while at:
@@ -114,21 +143,26 @@ class Codec:
             for piece in reversed(path):
                 i = ids.get(piece)
                 out += [i] if i is not None else [self.byte_ids[b] for b in piece.encode()]
-            yield word, np.array(out, dtype="<u4").tobytes()
+            yield word, array("I", out).tobytes()
             before = word
 
     def encode(self, strings: list[str]) -> Iterator[bytes]:
         """Packed ids (little-endian unsigned 32-bit) of each text."""
         for lo, hi in in_steps(strings, STEP):
             split = [WORD.findall(" " + s.replace(MARK, " ")) if s else [] for s in strings[lo:hi]]
-            new = set().union(*split) - self.known.keys()
-            marked = {w.replace(" ", MARK): w for w in new}
-            made = {marked[w]: b for w, b in self.best(sorted(marked))}
-            if len(self.known) + len(made) <= CACHED_WORDS:
-                self.known.update((w, b) for w, b in made.items() if len(w) <= 64)
-            known = self.known
+            made: dict[str, bytes] = {}
+            marked = {}
+            for w in set().union(*split):
+                try:
+                    made[w] = self.known[w]
+                except KeyError:
+                    marked[w.replace(" ", MARK)] = w
+            for w, packed in self.best(sorted(marked)):
+                made[marked[w]] = packed
+                if len(w) <= 64:
+                    self.known.keep(marked[w], packed)
             for words in split:
-                yield b"".join([known[w] if w in known else made[w] for w in words])
+                yield b"".join([made[w] for w in words])
 
     def decode(self, packed: bytes) -> str:
         text = b"".join(map(self.bytes.__getitem__, np.frombuffer(packed, dtype="<u4").tolist()))
