@@ -86,14 +86,14 @@ def packs(docs: DataFrame) -> DataFrame:
     classes = rows.groupBy("text_key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count(F.lit(1)).alias("n"))
     classes = settle(classes.where("first < last").select("text_key", "first", "n"), "classes")
     # By counting, fewer than HOT_TEXTS texts can hold more than that share of the rows: their rows meet a broadcast and
-    # go on by a key of their own, the rest is a plain join.
+    # go on by a key of their own; the rest is a plain shuffle join at every size.
     share = docs.count() / HOT_TEXTS
     hot = classes.where(F.col("n") > share).select("text_key", F.col("first").alias("hot_first"))
     rest = classes.where(F.col("n") <= share).select(F.col("text_key").alias("join_key"), "first")
     own_key = F.unhex(F.md5(F.coalesce(F.col("doc_id"), F.lit(0)).cast("string").cast("binary")))
     dealt_rows = rows.join(F.broadcast(hot), "text_key", "left").withColumn("join_key", F.when(F.col("hot_first").isNull(), F.col("text_key")).otherwise(own_key))
     first = F.coalesce("hot_first", "first")
-    marked = dealt_rows.join(rest, "join_key", "left").select("doc_id", "body", "size", F.coalesce(first < F.col("doc_id"), F.lit(False)).alias("copy"))
+    marked = dealt_rows.join(rest.hint("merge"), "join_key", "left").select("doc_id", "body", "size", F.coalesce(first < F.col("doc_id"), F.lit(False)).alias("copy"))
     return settle(marked.mapInArrow(run, PACK_FIELDS).withColumn("pack", F.monotonically_increasing_id()), "packs")
 
 
