@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderflume.sources.storage import Stage, scratch_root
 
@@ -53,7 +54,15 @@ def settle(df: DataFrame, name: str = "part") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def arrow_map(df: DataFrame, step: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
+def unused(name: str, columns: list[str]) -> str:
+    """``name``, with as many underscores before it as it takes to be none of the columns."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def arrow_map(df: DataFrame, step: Callable[[pa.RecordBatch], dict], schema: str | T.StructType) -> DataFrame:
     """``step`` makes the columns of ``schema`` from each Arrow batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

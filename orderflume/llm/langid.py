@@ -183,7 +183,12 @@ def classify(model: Model | None, strings: list[str]) -> dict:
 
 
 def keep_known(docs: DataFrame, least_support: float = 0.05) -> DataFrame:
-    """Documents whose language is known; those without letters, or like no language learned, go."""
+    """Documents whose language is known; those without letters, or like no language learned, go.
+
+    A document is like a language if its score there, before the scores are made to add up to one, is at least
+    ``least_support`` (a document of that language has about one, one that shares nothing with the landmarks zero).
+    Where no row has a language there is nothing to learn and nothing to judge by: all rows stay.
+    """
     model = fit(docs)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -194,4 +199,4 @@ def keep_known(docs: DataFrame, least_support: float = 0.05) -> DataFrame:
             known = np.array([x != UNKNOWN for x in found["lang_pred"].to_pylist()], dtype=bool) & (found["support"] >= least_support)
             yield batch.filter(pa.array(known))
 
-    return docs.mapInArrow(run, docs.schema) if model else docs.limit(0)
+    return docs.mapInArrow(run, docs.schema) if model else docs

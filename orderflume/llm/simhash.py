@@ -26,9 +26,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderflume.llm import golay
-from orderflume.llm.common import arrow_map, stage, texts
+from orderflume.llm.common import arrow_map, stage, texts, unused
 from orderflume.llm.components import components
 
 WORDS = 4
@@ -201,17 +202,20 @@ def keep_first(docs: DataFrame) -> DataFrame:
     """
     named = near_duplicates(docs).where("doc_id = component_id")
     found = stage(named.groupBy("root").agg(F.min("doc_id").alias("kept_id"), F.min("fp").alias("kept_fp")).drop("root"), "first")
+    # Reserved names that the table does not use, and the schema as types: any column name comes through.
+    own_fp, kept_id, kept_fp = (unused(name, docs.columns) for name in ("own_fp", "kept_id", "kept_fp"))
+    found = found.toDF(kept_id, kept_fp)
     columns = docs.columns
-    own = docs.join(found.select("kept_id"), docs["doc_id"].cast("long") == found["kept_id"], "left_semi")
+    own = docs.join(found.select(kept_id), docs["doc_id"].cast("long") == found[kept_id], "left_semi")
 
     def step(batch: pa.RecordBatch) -> dict:
         found = np.array([fingerprint(t.as_py() or b"") for t in batch.column("text").cast(pa.binary())], dtype=np.uint64)
-        return {c: batch.column(c) for c in columns} | {"own_fp": found.view(np.int64)}
+        return {c: batch.column(c) for c in columns} | {own_fp: found.view(np.int64)}
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    own = arrow_map(own, step, f"{fields}, own_fp long")
-    kept = own.join(found, (own["doc_id"].cast("long") == found["kept_id"]) & (own["own_fp"] == found["kept_fp"]), "left_semi")
-    return kept.dropDuplicates(["doc_id", "own_fp"]).drop("own_fp").unionByName(docs.where("doc_id is null"))
+    fields = T.StructType([T.StructField(f.name, f.dataType) for f in docs.schema] + [T.StructField(own_fp, T.LongType())])
+    own = arrow_map(own, step, fields)
+    kept = own.join(found, (own["doc_id"].cast("long") == found[kept_id]) & (own[own_fp] == found[kept_fp]), "left_semi")
+    return kept.dropDuplicates(["doc_id", own_fp]).drop(own_fp).unionByName(docs.where("doc_id is null"))
 
 
 def digest(found: DataFrame) -> DataFrame:
