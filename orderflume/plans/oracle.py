@@ -443,6 +443,19 @@ select seller_id_int, min(order_date) as first_order_date,
     "published_view": """
 select customer_id_int, customer_state, customer_city, customer_segment, account_creation_date
 from customers_ok left join customer_map using (customer_id)""",
+    "assembled_from_lines": "select "
+    + _EVENT_COLUMNS.format(revenue="round(order_revenue::double, 2)")
+    + " from ("
+    + _events(
+        "orders_keyed",
+        "(select l_orderkey as order_id_int, l_partkey as product_id_int, l_suppkey as seller_id_int from lineitem)",
+        "payments_keyed",
+    )
+    + ") events",
+    "historical_scan_layouts": """
+select l_orderkey, l_linenumber, l_quantity from lineitem
+where strftime(l_shipdate, '%Y_%m') in (
+  select distinct strftime(l_shipdate, '%Y_%m') as month from lineitem order by month desc limit 24)""",
     "promote_twice": """
 select *, case order_status when 'delivered' then '2026-03-25' else '2026-03-26' end as delta_date
 from orders_ok where order_status in ('delivered', 'shipped')""",

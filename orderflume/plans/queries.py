@@ -8,13 +8,16 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderflume.functions.rows import frozen
 from orderflume.functions.temporal import infer_layout, parsed
 from orderflume.model import (
     ASSEMBLED,
+    ENTITY_REFERENCE,
     SELLER_DIM,
     TABLES,
+    TableSpec,
     dimension_schema,
     int_name,
     weekly_fact_schema,
@@ -281,8 +284,10 @@ def null_counts(i: Inputs) -> DataFrame:
 @query
 def null_pk_count(i: Inputs) -> DataFrame:
     """Items by seller, the id that some of them lack."""
-    collapsed = contract.collapse(i.raw("df_order_items").select("seller_id", "product_id"))
-    return collapsed.selectExpr(f"{validation.rows_where('seller_id is null')} as null_keys")
+    columns = T.StructType([T.StructField("seller_id", T.StringType()), T.StructField("product_id", T.StringType())])
+    collapsed = contract.collapse(i.raw("df_order_items").select(columns.names))
+    rules = validation.row_checks(collapsed, TableSpec("items_by_seller", ENTITY_REFERENCE, ("seller_id",), columns))
+    return collapsed.selectExpr(*[f"{n} as null_keys" for rule, _, _, n in rules if rule == "null_primary_key"])
 
 
 @query
@@ -491,6 +496,35 @@ def assembled_events(i: Inputs) -> DataFrame:
     return _rounded(i.assembled())
 
 
+@query
+def assembled_from_lines(i: Inputs) -> DataFrame:
+    """Events of orders with several items: every line of ``lineitem``, one event an order."""
+    orders, _, payments = i.event_tables()
+    lines = i.source("lineitem").selectExpr(
+        "l_orderkey as order_id_int", "l_partkey as product_id_int", "l_suppkey as seller_id_int"
+    )
+    return _rounded(assembly.assemble_events(orders, lines, payments))
+
+
+@query
+def historical_scan_layouts(i: Inputs) -> DataFrame:
+    """One delta a month; the key is an int in some years, and later deltas carry one more column type."""
+    base = f"{i.stage.root}/history"
+    lines = i.source("lineitem").selectExpr(
+        "l_orderkey", "l_linenumber", "l_quantity", "date_format(l_shipdate, 'yyyy_MM') as month"
+    )
+    months = [r["month"] for r in lines.select("month").distinct().orderBy("month").collect()][-24:]
+    dated = lines.where(F.col("month").isin(months))
+
+    def write(month: str, k: int) -> None:
+        narrow = "cast(l_orderkey as int) as l_orderkey" if k % 12 < 6 else "l_orderkey"
+        rows = dated.where(F.col("month") == month).selectExpr(narrow, "l_linenumber", "l_quantity")
+        rows.coalesce(1).write.parquet(f"{base}/lines_{month}_01.parquet")
+
+    together(i.spark, *[lambda m=m, k=k: write(m, k) for k, m in enumerate(months)])
+    return deltas.historical_scan(i.spark, base, "lines")
+
+
 @query
 def freeze_assembled(i: Inputs) -> DataFrame:
     """The frozen event table as it is stored, 32-bit floats included."""

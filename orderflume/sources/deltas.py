@@ -64,18 +64,35 @@ def historical_scan(
     """All parquet deltas of a table as one frame; rows repeated across deltas stay.
 
     With a declared schema this is a single scan, in which narrower stored numbers widen.
-    Without one, deltas of equal layout are scanned together and the groups united by name.
+    Without one, deltas whose layouts fit together are scanned together and the groups united
+    by name, in which the widest type of a column wins.
     """
     paths = [f"{base}/{n}" for n in delta_names(spark, base, table, ("parquet",))]
     if not paths:
         raise FileNotFoundError(f"no parquet delta of {table} in {base}")
     if schema is not None:
         return spark.read.schema(schema).parquet(*paths)
-    layouts: dict[str, list[str]] = {}
-    for path in paths:
-        layouts.setdefault(spark.read.parquet(path).schema.simpleString(), []).append(path)
-    frames = [naive_timestamps(spark.read.parquet(*group)) for group in layouts.values()]
-    return reduce(DataFrame.unionByName, frames)
+    return reduce(DataFrame.unionByName, [naive_timestamps(g) for g in layout_groups(spark, paths)])
+
+
+def layout_groups(spark: SparkSession, paths: list[str]) -> list[DataFrame]:
+    """Frames that together hold all deltas, each over deltas of one layout.
+
+    One Spark job reads the footers of all files side by side and merges their schemas. Only if
+    two contradict each other (a key as int and as bigint) are the deltas halved and each half
+    asked again, so that the number of jobs grows with the changes of layout, not with the deltas.
+    """
+    try:
+        return [spark.read.option("mergeSchema", "true").parquet(*paths)]
+    except Exception as failure:
+        if len(paths) == 1 or "MERGE" not in str(failure).upper():
+            raise
+    half = len(paths) // 2
+    groups = layout_groups(spark, paths[:half]) + layout_groups(spark, paths[half:])
+    layouts: dict[str, list[DataFrame]] = {}
+    for group in groups:  # halves that agree after all
+        layouts.setdefault(group.schema.simpleString(), []).append(group)
+    return [same[0] if len(same) == 1 else spark.read.schema(same[0].schema).parquet(*[p for g in same for p in g.inputFiles()]) for same in layouts.values()]
 
 
 def dated_scan(

@@ -176,3 +176,16 @@ def test_declared_numbers_in_text_count_their_negatives(spark):
     collapsed = rows.selectExpr("*", "1L as " + validation.COPIES)
     counts = validation.negative_counts(collapsed, text_numbers=True)
     assert collapsed.selectExpr(counts["payment_value"]).first()[0] == 1
+
+
+def test_layouts_are_grouped_without_a_job_per_delta(spark, tmp_path, monkeypatch):
+    base, jobs = f"{tmp_path}/history", []
+    for day in range(1, 25):
+        kind = "int" if day <= 10 else "bigint"
+        spark.range(day, day + 1).selectExpr(f"cast(id as {kind}) as a").coalesce(1).write.parquet(f"{base}/t_2026_01_{day:02d}.parquet")
+    paths = [f"{base}/{n}" for n in deltas.delta_names(spark, base, "t")]
+    again = deltas.layout_groups
+    monkeypatch.setattr(deltas, "layout_groups", lambda s, p: jobs.append(len(p)) or again(s, p))
+    groups = deltas.layout_groups(spark, paths)
+    assert len(jobs) < len(paths) and sorted(g.schema.simpleString() for g in groups) == ["struct<a:bigint>", "struct<a:int>"]
+    assert sorted(r.a for r in deltas.historical_scan(spark, base, "t").collect()) == list(range(1, 25))
