@@ -45,7 +45,7 @@ PACK_BYTES = 8 << 20
 BUCKET_BYTES = 1 << 20  # of text for each bucket
 SHARDS = 4
 HOT = 1 << 14
-HOT_TEXTS = 50_000
+HOT_TEXTS = 5_000
 RUN = 31  # windows in a string at most
 CHUNK = 1 << 16
 SYMBOL_BITS = 8  # UTF-8 never uses the byte 255, so byte + 1 fits and 0 ends a string
