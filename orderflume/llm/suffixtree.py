@@ -1,52 +1,56 @@
-"""Language-model scores from a probabilistic suffix tree, beside those of a unigram model.
+"""Language-model scores from a probabilistic suffix tree over words, beside those of a unigram model.
 
-Tokens are words of a text in lower case (A to Z only), then one end. The tree works on the bytes of " word ", so every
-word has a probability, known or not: a context is up to ``DEPTH`` bytes back to the space before the word, and the
-end of a text is one more symbol after a space. Since no context reaches past a space, what a word costs depends on the
-word alone; each distinct word of the corpus is scored once.
+Tokens are words of a text in lower case (A to Z only), then one end. Symbols of the tree are the words of the training
+part, the end, and one more for every word that was not learned, so its distributions and the unigram base are over the
+same symbols. A context is up to ``DEPTH`` preceding words; the start of a text is one too.
 
-Learning is Spark aggregation over the whole training part: word counts, then counts of (context, next byte) from the
-distinct words and their counts. A context is kept if its next-symbol distribution differs from that of its suffix by at
-least ``GAIN`` nats, weighted by its count (a divergence test), with all its suffixes, however many pass. Distributions are smoothed: a context of count N gives
-weight N / (N + SMOOTH) to its own and the rest to its suffix; the root is add-one over all bytes and the end. A symbol
-is scored from the longest kept suffix of what stands before it. At last a word's own count joins in: with N tokens and
-V distinct words learned, P = (count + V * tree) / (N + V), so that the tree spreads what add-one would spread evenly.
+Learning is Spark aggregation over the whole training part, one level a pass: counts of (context, next word). The root is
+add-one, as the base. With n of a context's N occurrences followed by a word and u different words after it, the
+distribution is smoothed by one from every count: P(word) = (n - 1 + u S) / N, or u S / N if the word never came next, S
+being what the context's suffix gives. That sums to one, and words that came next once need not be stored. A context is
+kept if its distribution differs from its suffix's by at least ``GAIN`` nats over its occurrences (a divergence test);
+one that is not kept has the distribution of its suffix. However many pass, all are kept, in a table.
 
-The tree stays a table of (context, symbol), one row for each that occurs in a word of the corpus, learned or not. Its
-probabilities are found from short contexts to long ones by joins of at most 256 rows a key: a context that was not kept
-has those of its suffix. The ``STATES`` most used rows are broadcast; what else a distinct word is made of is joined.
+So the log10 of P is the base's plus, for every suffix of the past that is kept, that of u / N and, where the word is
+stored, that of (n - 1 + u S) / u S. These two kinds of addend are rows of one table (key, uses, value). A key is 64 bits
+wide, made of the XXH64 of the words; two keys of a corpus may meet, at 10^10 keys about three pairs.
 
-Scoring: the ``HEAD`` most frequent words, with their counts and costs, are broadcast; every other occurrence is joined
-with the word table, where by construction no word is frequent. Both ways give the same numbers.
+Scoring: the ``HEAD`` most frequent words and the ``STATES`` most used rows are broadcast, with a filter of fixed size
+that tells which other keys may be in the table. What may be is joined, as are the other words; by construction none of
+these keys is frequent. The filter only saves rows: the fuller it is, the more are joined in vain.
 
 Defined results: null or empty text is one end token; a repeated row gives its result as often; a null doc_id is scored
-and never learned from; without training rows N = V = 0 and the tree is uniform; an empty table gives none; texts of any
-length are read whole; extra columns are ignored.
+and never learned from; without training rows N = V = 0, and all symbols are the one not learned, of probability 1; an
+empty table gives none; texts of any length are read whole; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
 from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderflume.llm.common import arrow_map, fold, stage, texts
+from orderflume.llm.common import arrow_map, fold, in_steps, settle, stage, texts
+from orderflume.operators.lookup import lookup_join
 
-DEPTH = 6  # at most 6, as a context and a symbol share one long
+DEPTH = 2
 GAIN = 10.0
-STATES = 200_000  # broadcast; the rest is joined
-SMOOTH = 8.0
+STATES = 2_000_000  # broadcast; the rest is joined
 HEAD = 100_000
-SPACE, END = b" ", b"\n"  # END cannot be in a word
-SYMBOLS = 257
-END_CODE = 1 << 56 | SPACE[0] << 8 | END[0]
+FILTER_BITS = 21  # 64-bit blocks of the filter, as a power of two
+HELD_WORDS = 500_000  # hashes that a worker remembers
+STEP = 8_000_000  # bytes of text that are worked on at once
+END = b"\n"  # cannot be in a word
+START = np.uint64(0x9E3779B97F4A7C15)
 
 
 def word_counts(rows: DataFrame) -> DataFrame:
@@ -66,242 +70,208 @@ def word_counts(rows: DataFrame) -> DataFrame:
     return arrow_map(rows.select("text", "learn"), step, "word binary, n long, n_train long").groupBy("word").agg(F.sum("n").alias("n"), F.sum("n_train").alias("n_train"))
 
 
-def codes(words: list[bytes], depth: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """By context length: the positions, over all words and the space after each, that have one, and their codes."""
-    size = np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1
-    data = np.frombuffer(SPACE + SPACE.join(words) + SPACE, dtype=np.uint8).astype(np.int64)
-    back = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size) + 1  # bytes since the space, itself included
-    context = np.zeros(len(back), dtype=np.int64)
-    for d in range(depth + 1):
-        there = np.flatnonzero(back >= d)
-        if d:
-            context[there] |= data[there + 1 - d] << (8 * (d - 1))
-        yield d, there, (np.int64(d) << 56) | (context[there] << 8) | data[there + 1]
+class Hashes(dict):
+    """XXH64 of words, as Spark computes it; forgets them when it holds ``HELD_WORDS``."""
+
+    def __missing__(self, word: bytes) -> int:
+        got = xxhash.xxh64_intdigest(word, 42)
+        if len(word) <= 64:
+            if len(self) >= HELD_WORDS:
+                self.clear()
+            self[word] = got
+        return got
+
+
+@functools.cache
+def hashes() -> Hashes:
+    return Hashes()
 
 
-def longest_codes(words: list[bytes], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
-    """The code of longest context at each position, and the word that it is in; one for an end."""
-    size = np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1
-    of = np.repeat(np.arange(len(words)), size)
-    full = np.zeros(len(of), dtype=np.int64)
-    for _, there, code in codes(words, depth):
-        full[there] = code
-    ends = np.fromiter((w == END for w in words), dtype=bool, count=len(words))
-    fit = ~ends[of] | (full == END_CODE)
-    return full[fit], of[fit]
+def tokens(strings: list[bytes]) -> tuple[list[bytes], np.ndarray]:
+    """The tokens of all texts, one after the other, and how many each has."""
+    own = [[*s.lower().split(), END] for s in strings]
+    return list(chain.from_iterable(own)), np.fromiter(map(len, own), dtype=np.int64, count=len(own))
 
 
-def context_counts(words: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(code, n, uses): code is the context's length, its bytes and the next byte, packed into one long.
+def mixed(context: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Key of a context that is longer by one word."""
+    x = context * np.uint64(0xC2B2AE3D27D4EB4F) + word * np.uint64(0x9FB21C651E98DF25) + START
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(32))
 
-    n is its count in the training part, uses the number of positions in distinct words where it is the longest.
+
+def states(words: list[bytes], size: np.ndarray, depth: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """By context length: the positions that have one, its key, and the key of it with the token that follows.
+
+    The latter is the exclusive or of the former with the key of the context's suffix and the token.
     """
+    key = np.fromiter(map(hashes().__getitem__, words), dtype=np.uint64, count=len(words))
+    before = np.arange(len(words)) - np.repeat(np.cumsum(size) - size, size)
+    own, context = key.copy(), np.zeros(len(words), dtype=np.uint64)
+    for d in range(1, depth + 1):
+        there = np.flatnonzero(before >= d - 1)
+        last = np.where(before[there] >= d, own[there - d], START)
+        context[there] = mixed(context[there], last)
+        key[there] ^= context[there]
+        yield there, context[there], key[there]
 
-    def step(batch: pa.RecordBatch) -> dict:
-        words, counts = batch.column("word").to_pylist(), batch.column("n_train").to_numpy()
-        size = np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1
-        weight = np.repeat(counts, size)
-        full = np.zeros(len(weight), dtype=np.int64)
-        found = list(codes(words, depth))
-        for d, there, _ in found:
-            full[there] = d
-        code, n, uses = [], [], []
-        for d, there, each in found:
-            own, of = np.unique(each, return_inverse=True)
-            code.append(own)
-            n.append(np.bincount(of, weights=weight[there]).astype(np.int64))
-            uses.append(np.bincount(of, weights=full[there] == d).astype(np.int64))
-        return {"code": np.concatenate(code), "n": np.concatenate(n), "uses": np.concatenate(uses)}
-
-    return arrow_map(words.select("word", "n_train"), step, "code long, n long, uses long").groupBy("code").agg(F.sum("n").alias("n"), F.sum("uses").alias("uses"))
-
-
-@dataclass
-class Tree:
-    """A small tree in one process: what the tables say, in few lines."""
-
-    nodes: dict[bytes, tuple[dict[int, float], float, bytes | None]]  # context: log10 by next byte, of leaving, its suffix
-    depth: int
-
-    def cost(self, context: bytes | None, symbol: int) -> float:
-        own, leave, suffix = self.nodes[context]
-        got = own.get(symbol)
-        if got is None:
-            return leave + (self.cost(suffix, symbol) if suffix is not None else 0.0)
-        return got
 
-    def longest(self, data: bytes, at: int) -> bytes:
-        """The longest kept context that ends before ``at``."""
-        d = 0
-        while d < self.depth and d < at and data[at - d - 1 : at] in self.nodes:
-            d += 1
-        return data[at - d : at]
-
-    def word(self, word: bytes) -> float:
-        """log10 probability of a word and the space after it, given the space before it."""
-        data = SPACE + word + SPACE
-        return sum(self.cost(self.longest(data, i), data[i]) for i in range(1, len(data)))
-
-    def end(self) -> float:
-        return self.cost(self.longest(SPACE, 1), END[0])
-
-
-def build(rows: list[tuple[int, int]], depth: int, smooth: float = SMOOTH) -> Tree:
-    """From (code, n) of the kept contexts, the root among them."""
-    seen: dict[bytes, dict[int, int]] = {b"": {}}
-    for code, n in rows:
-        size = code >> 56
-        context = (code >> 8 & (1 << 48) - 1).to_bytes(6, "big")[6 - size :]
-        own = seen.setdefault(context, {})
-        own[code & 255] = own.get(code & 255, 0) + n
-    tree = Tree({}, depth)
-    for context in sorted(seen, key=len):
-        own = seen[context]
-        total = sum(own.values())
-        if not context:
-            all_of = total + SYMBOLS
-            tree.nodes[context] = ({a: math.log10((n + 1) / all_of) for a, n in own.items()}, -math.log10(all_of), None)
-        else:
-            suffix = context[1:]
-            logs = {a: math.log10((n + smooth * 10 ** tree.cost(suffix, a)) / (total + smooth)) for a, n in own.items()}
-            tree.nodes[context] = (logs, math.log10(smooth / (total + smooth)), suffix)
-    return tree
-
-
-def kept_contexts(full: DataFrame, gain: float = GAIN) -> DataFrame:
-    """The contexts that pass the test, with all their suffixes, from (context, symbol, n, total)."""
-    learned = full.where("n > 0")
-    suffix = F.expr("shiftleft(shiftright(context, 48) - 1, 48) | (context & (shiftleft(1L, cast(8 * (shiftright(context, 48) - 1) as int)) - 1L))")
-    child = learned.where(F.shiftright("context", 48) > 0).select(suffix.alias("suffix"), "context", "symbol", "n", "total")
-    above = learned.select(F.col("context").alias("suffix"), "symbol", F.col("n").alias("n_above"), F.col("total").alias("total_above"))
-    nats = F.col("n") * F.ln(F.col("n") / F.col("total") * F.col("total_above") / F.col("n_above"))
-    tested = child.join(above, ["suffix", "symbol"]).groupBy("context").agg(F.sum(nats).alias("nats")).where(F.col("nats") >= gain)
-    every = F.expr("transform(sequence(1, cast(shiftright(context, 48) as int)), d -> shiftleft(cast(d as long), 48) | (context & (shiftleft(1L, 8 * d) - 1L)))")
-    return tested.select(F.explode(every).alias("context")).distinct()
-
-
-def fit(words: DataFrame, texts_learned: int, depth: int = DEPTH, gain: float = GAIN, smooth: float = SMOOTH) -> DataFrame:
-    """(code, uses, cost) for every longest code in (word, n_train): the log10 probability of its symbol."""
-    spark = words.sparkSession
-    counts = context_counts(words.where(F.col("word") != F.lit(END)), depth)
-    ends = spark.createDataFrame([(END[0], texts_learned, 0), (END_CODE, texts_learned, 1)], "code long, n long, uses long")
-    counts = stage(counts.unionByName(ends), "contexts")
-    rows = counts.select("code", F.shiftright("code", 8).alias("context"), F.col("code").bitwiseAND(255).alias("symbol"), "n", "uses")
-    full = rows.join(rows.groupBy("context").agg(F.sum("n").alias("total")), "context")
-    kept = stage(kept_contexts(full, gain), "kept")
-    known = full.join(kept.withColumn("kept", F.lit(True)), "context", "left")
-    now = full.where("context = 0").select("code", "uses", ((F.col("n") + 1) / (F.col("total") + SYMBOLS)).alias("p"))
-    found = now
-    for d in range(1, depth + 1):  # a key has at most 256 rows
-        parent = (F.lit(d - 1 << 48) + F.col("context").bitwiseAND((1 << 8 * (d - 1)) - 1)) * 256 + F.col("symbol")
-        own = known.where((F.col("context") >= d << 48) & (F.col("context") < d + 1 << 48)).withColumn("parent", parent)
-        above = now.select(F.col("code").alias("parent"), F.col("p").alias("p_above"))
-        p = F.when(F.col("kept"), (F.col("n") + smooth * F.col("p_above")) / (F.col("total") + smooth)).otherwise(F.col("p_above"))
-        now = stage(own.join(above, "parent").select("code", "uses", p.alias("p")), "level")
-        found = found.unionByName(now)
-    return found.where("uses > 0").select("code", "uses", F.log10("p").alias("cost"))
-
-
-def word_costs(words: DataFrame, tree: DataFrame, states: int = STATES, depth: int = DEPTH) -> DataFrame:
-    """(word, n, n_train, found): found is the log10 probability of a word and the space after it, or of the end."""
-    top = tree.orderBy(F.desc("uses"), "code").limit(states + 1).select("code", "cost").toArrow()
-    more = top.num_rows > states
-    top = top.slice(0, states).sort_by("code")
-    shared = words.sparkSession.sparkContext.broadcast((top.column("code").to_numpy(), top.column("cost").to_numpy()))
+def followers(rows: DataFrame, d: int) -> DataFrame:
+    """(context, symbol, n): counts of what follows contexts of d words; symbol is the key of the suffix and the word."""
 
     def step(batch: pa.RecordBatch) -> dict:
-        held, cost = shared.value
-        size = batch.num_rows
-        full, of = longest_codes(batch.column("word").to_pylist(), depth)
-        at = np.minimum(np.searchsorted(held, full), len(held) - 1)
-        hit = held[at] == full
-        rest = pa.array(of[~hit])
-        own = np.bincount(of[hit], weights=cost[at[hit]], minlength=size)
-        return {
-            "word": pa.concat_arrays([batch.column("word"), batch.column("word").take(rest)]),
-            "n": pa.concat_arrays([batch.column("n"), pa.nulls(len(rest), pa.int64())]),
-            "n_train": pa.concat_arrays([batch.column("n_train"), pa.nulls(len(rest), pa.int64())]),
-            "code": pa.concat_arrays([pa.nulls(size, pa.int64()), pa.array(full[~hit])]),
-            "found": pa.concat_arrays([pa.array(own), pa.nulls(len(rest), pa.float64())]),
-        }
-
-    parts = arrow_map(words.select("word", "n", "n_train"), step, "word binary, n long, n_train long, code long, found double")
-    if not more:
-        return parts.drop("code")
-    parts = stage(parts, "spelled")
-    # no code has more uses than one of those broadcast, so no key is heavy
-    tail = parts.where("code is not null").select("word", "n", "n_train", "code").join(tree.select("code", F.col("cost").alias("found")), "code").drop("code")
-    return parts.where("code is null").drop("code").unionByName(tail).groupBy("word").agg(F.max("n").alias("n"), F.max("n_train").alias("n_train"), F.sum("found").alias("found"))
-
-
-def score(docs: DataFrame, folds: int = 7, held: int = 2, head: int = HEAD, states: int = STATES) -> DataFrame:
+        strings, context, symbol, n = batch.column("text").to_pylist(), [], [], []
+        for lo, hi in in_steps(strings, STEP):
+            *_, (_, of, key) = states(*tokens(strings[lo:hi]), d)
+            every, at, count = np.unique(key, return_index=True, return_counts=True)
+            context.append(of[at])
+            symbol.append(of[at] ^ every)
+            n.append(count)
+        return {"context": np.concatenate(context).view(np.int64), "symbol": np.concatenate(symbol).view(np.int64), "n": np.concatenate(n)}
+
+    return arrow_map(rows.select("text"), step, "context long, symbol long, n long").groupBy("context", "symbol").agg(F.sum("n").alias("n"))
+
+
+def level(counts: DataFrame, above: DataFrame, gain: float) -> DataFrame:
+    """Of all that came next more than once: (context, key, n, total, kinds, kept, p_above, p).
+
+    ``above`` has the probabilities (symbol, p_above) that the suffixes give; p is that of the context, if it is kept.
+    """
+    totals = counts.groupBy("context").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"))
+    often = settle(counts.where("n > 1").join(totals, "context"), "often")  # the others say nothing but their number
+    found = lookup_join(often, above, "symbol")
+    share = (F.col("n") - 1 + F.col("kinds") * F.col("p_above")) / F.col("total")
+    once = F.max("kinds") - F.count(F.lit(1))
+    nats = F.sum(F.col("n") * F.ln(share / F.col("p_above"))) + once * F.ln(F.max("kinds") / F.max("total"))
+    kept = found.groupBy("context").agg(nats.alias("nats")).where(F.col("nats") >= gain).select("context", F.lit(True).alias("kept"))
+    joined = found.join(kept, "context", "left")
+    key = F.col("context").bitwiseXOR(F.col("symbol"))
+    return settle(joined.select("context", key.alias("key"), "n", "total", "kinds", F.coalesce("kept", F.lit(False)).alias("kept"), "p_above", F.when(F.col("kept"), share).otherwise(F.col("p_above")).alias("p")), "level")
+
+
+def fit(rows: DataFrame, words: DataFrame, symbols: int, depth: int = DEPTH, gain: float = GAIN) -> DataFrame:
+    """(key, uses, value): what a kept context, and a word after it, add to the log10 probability of its suffix."""
+    above = words.where("n_train > 1").groupBy(F.xxhash64("word").alias("symbol")).agg((F.sum("n_train") + 1).alias("n")).select("symbol", (F.col("n") / symbols).alias("p_above"))
+    above, every = stage(above, "root"), []
+    for d in range(1, depth + 1):
+        own = level(followers(rows, d), above, gain)
+        above = own.select(F.col("key").alias("symbol"), F.col("p").alias("p_above"))
+        kept = own.where("kept")
+        every.append(kept.groupBy(F.col("context").alias("key")).agg(F.max("total").alias("uses"), F.log10(F.max("kinds") / F.max("total")).alias("value")))
+        left = F.col("kinds") * F.col("p_above")
+        every.append(kept.select("key", F.col("n").alias("uses"), F.log10((F.col("n") - 1 + left) / left).alias("value")))
+    return settle(functools.reduce(DataFrame.unionByName, every), "values")
+
+
+def may_hold(table: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Whether the filter's block of each key has all its bits."""
+    mask = functools.reduce(np.bitwise_or, (np.uint64(1) << (key >> np.uint64(6 * i) & np.uint64(63)) for i in range(4)))
+    return table[key >> np.uint64(64 - FILTER_BITS)] & mask == mask
+
+
+def lookups(values: DataFrame, most: int) -> tuple[DataFrame, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The rows that are to be joined; keys and values of the others, at most ``most``, and a filter of the joined ones."""
+    order = F.floor(F.log2(F.col("uses").cast("double")) * 8).cast("int")
+    bins = {r["bin"]: r["count"] for r in values.groupBy(order.alias("bin")).count().collect()}  # at most 8 x 63 rows
+    least, held = max(bins, default=0) + 1, 0
+    for b in sorted(bins, reverse=True):
+        held += bins[b]
+        if held > most:
+            break
+        least = b
+    top = values.where(order >= least).select("key", "value").toArrow()
+    rest = values.where(order < least).select("key", "value")
+    mask = " | ".join(f"shiftleft(1L, cast(shiftright(key, {6 * i}) & 63L as int))" for i in range(4))
+    blocks = rest.groupBy(F.shiftrightunsigned("key", 64 - FILTER_BITS).alias("block")).agg(F.expr(f"bit_or({mask})").alias("mask")).toArrow()
+    table = np.zeros(1 << FILTER_BITS, dtype=np.uint64)
+    table[blocks.column("block").to_numpy()] = blocks.column("mask").to_numpy().view(np.uint64)
+    key, value = top.column("key").to_numpy().view(np.uint64), top.column("value").to_numpy()
+    by = np.argsort(key)
+    return rest, (np.append(key[by], np.uint64(2**64 - 1)), np.append(value[by], 0.0), table)
+
+
+def score(docs: DataFrame, folds: int = 7, held: int = 2, head: int = HEAD, most: int = STATES, depth: int = DEPTH, gain: float = GAIN) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every whole text."""
     spark = docs.sparkSession
     of = fold("doc_id", folds)
-    rows = texts(docs).select(
-        "doc_id", F.col("text").cast("binary").alias("text"), F.xxhash64("text").alias("copy"), F.coalesce(of != held, F.lit(False)).alias("learn"), F.coalesce(of == held, F.lit(False)).alias("held_out")
-    )
-    words = stage(word_counts(rows), "words")
-    sums = words.agg(F.sum("n_train").alias("N"), F.sum((F.col("n_train") > 0).cast("long")).alias("V"), F.max(F.when(F.col("word") == F.lit(END), F.col("n_train"))).alias("ends")).first()
-    tokens, distinct, learned = sums["N"] or 0, sums["V"] or 0, sums["ends"] or 0
-    spelled = word_costs(words, fit(words, learned), states)
-
-    def cost(batch: pa.RecordBatch) -> dict:
-        found, seen = (batch.column(c).to_numpy() for c in ("found", "n_train"))
-        if tokens:  # in logarithms, as a long word's probability may be too small for a double
-            mixed = np.logaddexp2(np.log2(np.maximum(seen, 1e-300)), np.log2(distinct) + found * math.log2(10)) * math.log10(2) - math.log10(tokens + distinct)
-        else:
-            mixed = found
-        return {"word": batch.column("word"), "n": batch.column("n"), "known": (seen > 0).astype(np.int64), "base": np.log10(seen + 1.0), "tree": mixed}
-
-    costs = stage(arrow_map(spelled, cost, "word binary, n long, known long, base double, tree double"), "costs")
+    rows = texts(docs).select("doc_id", F.col("text").cast("binary").alias("text"), F.coalesce(of != held, F.lit(False)).alias("learn"), F.coalesce(of == held, F.lit(False)).alias("held_out"))
+    words = settle(word_counts(rows), "words")
+    sums = words.agg(F.sum("n_train").alias("N"), F.sum((F.col("n_train") > 0).cast("long")).alias("V")).first()
+    learned, symbols = sums["N"] or 0, (sums["N"] or 0) + (sums["V"] or 0) + 1
+    values, table = lookups(fit(rows.where("learn"), words, symbols, depth, gain), most)
+    costs = words.select("word", "n", (F.col("n_train") > 0).cast("long").alias("known"), F.log10(F.col("n_train") + 1.0).alias("base"))
     top = costs.orderBy(F.desc("n"), "word").limit(head).toArrow()
     index = {w: i for i, w in enumerate(top.column("word").to_pylist())}
-    values = np.stack([np.append(top.column(c).to_numpy().astype(float), 0.0) for c in ("known", "base", "tree")], axis=1)
-    shared = spark.sparkContext.broadcast((index, values))
-    fields = "doc_id long, copy long, held_out boolean, n_tokens long, word binary, n long, known long, base double, tree double"
-
-    def step(batch: pa.RecordBatch) -> dict:
-        index, values = shared.value
-        own, rest_of, rest, rest_n = [], [], [], []
-        for i, text in enumerate(batch.column("text")):
-            found = [*text.as_py().lower().split(), END]
+    known, base = (np.append(top.column(c).to_numpy().astype(float), 0.0) for c in ("known", "base"))
+    shared = spark.sparkContext.broadcast((index, known, base, *table))
+
+    def part(batch: pa.RecordBatch, slot: int) -> pa.RecordBatch:
+        index, known, base, held_key, held_value, filled = shared.value
+        strings, rows_in = batch.column("text").to_pylist(), batch.num_rows
+        count, sums = np.zeros(rows_in, dtype=np.int64), np.zeros((3, rows_in))
+        word, word_of, times, key, key_of = [], [], [], [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+        for lo, hi in in_steps(strings, STEP):
+            found, size = tokens(strings[lo:hi])
+            of = np.repeat(np.arange(lo, hi), size)
+            count[lo:hi] = size
             at = np.fromiter(map(index.get, found, repeat(-1)), dtype=np.int64, count=len(found))
-            own.append((len(found), *values[at].sum(axis=0)))
-            tail = Counter(found[j] for j in np.flatnonzero(at < 0).tolist())
-            rest_of.append(np.full(len(tail), i))
-            rest.append(tail.keys())
-            rest_n.append(np.fromiter(tail.values(), dtype=np.int64, count=len(tail)))
-        size = batch.num_rows
-        at = np.concatenate([np.arange(size), *rest_of])
-        extra = len(at) - size
-        pick = pa.array(at, pa.int64())
-        made = np.array(own, dtype=float)
-
-        def first(column: np.ndarray, kind: pa.DataType) -> pa.Array:
-            return pa.concat_arrays([pa.array(column).cast(kind), pa.nulls(extra, kind)])
-
-        return {k: batch.column(k).take(pick) for k in ("doc_id", "copy", "held_out")} | {
-            "n_tokens": first(made[:, 0].astype(np.int64), pa.int64()),
-            "word": pa.concat_arrays([pa.nulls(size, pa.binary()), pa.array(list(chain.from_iterable(rest)), pa.binary())]),
-            "n": pa.concat_arrays([pa.nulls(size, pa.int64()), pa.array(np.concatenate([np.empty(0, np.int64), *rest_n]))]),
-            "known": first(made[:, 1].astype(np.int64), pa.int64()),
-            "base": first(made[:, 2], pa.float64()),
-            "tree": first(made[:, 3], pa.float64()),
-        }
-
-    parts = stage(arrow_map(rows.drop("learn"), step, fields), "parts")
-    whole = parts.where("word is null").select("doc_id", "copy", "held_out", "n_tokens", F.lit(1).cast("long").alias("copies"), "known", "base", "tree")
-    joined = parts.where("word is not null").select("doc_id", "copy", "held_out", "word", F.col("n").alias("times")).join(costs, "word")
-    tail = joined.select("doc_id", "copy", "held_out", F.lit(0).cast("long").alias("n_tokens"), F.lit(0).cast("long").alias("copies"), *((F.col("times") * F.col(c)).alias(c) for c in ("known", "base", "tree")))
-    summed = whole.unionByName(tail).groupBy("doc_id", "copy", "held_out").agg(*(F.sum(c).alias(c) for c in ("n_tokens", "copies", "known", "base", "tree")))
-    each = summed.select("doc_id", "held_out", *((F.expr(f"{c} div copies")).alias(c) for c in ("n_tokens", "known")), *((F.col(c) / F.col("copies")).alias(c) for c in ("base", "tree")), F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+            sums[0] += np.bincount(of, known[at], rows_in)
+            sums[1] += np.bincount(of, base[at], rows_in)
+            other = np.flatnonzero(at < 0).tolist()
+            rare = Counter(zip(of[other].tolist(), map(found.__getitem__, other)))
+            word_of.extend(i for i, _ in rare)
+            word.extend(w for _, w in rare)
+            times.extend(rare.values())
+            for there, *keys in states(found, size, depth):
+                fit = np.ones(len(there), dtype=bool)
+                for k in keys:  # a word after a context counts only if the context does
+                    own, own_of = k[fit], of[there[fit]]
+                    place = np.searchsorted(held_key[:-1], own)
+                    hit = held_key[place] == own
+                    sums[2] += np.bincount(own_of[hit], held_value[place[hit]], rows_in)
+                    maybe = ~hit & may_hold(filled, own)
+                    key.append(own[maybe])
+                    key_of.append(own_of[maybe])
+                    fit[fit] = hit | maybe
+        key, key_of = np.concatenate(key).view(np.int64), np.concatenate(key_of)
+        more = (len(word), len(key))
+
+        def whole(column: pa.Array) -> pa.Array:
+            return pa.concat_arrays([column, pa.nulls(sum(more), column.type)])
+
+        slots = np.concatenate([np.arange(rows_in), np.array(word_of, dtype=np.int64), key_of]) + slot
+        return pa.RecordBatch.from_pydict(
+            {"slot": pa.array(slots), "doc_id": whole(batch.column("doc_id")), "held_out": whole(batch.column("held_out")), "n_tokens": whole(pa.array(count))}
+            | {"n_known": whole(pa.array(sums[0].astype(np.int64))), "base": whole(pa.array(sums[1])), "more": whole(pa.array(sums[2]))}
+            | {"word": pa.concat_arrays([pa.nulls(rows_in, pa.binary()), pa.array(word, pa.binary()), pa.nulls(more[1], pa.binary())])}
+            | {"times": pa.concat_arrays([pa.nulls(rows_in, pa.int64()), pa.array(times, pa.int64()), pa.nulls(more[1], pa.int64())])}
+            | {"key": pa.concat_arrays([pa.nulls(rows_in + more[0], pa.int64()), pa.array(key)])}
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slot = TaskContext.get().partitionId() << 40  # names a row of the written table, nothing else
+        for batch in batches:
+            if batch.num_rows:
+                yield part(batch, slot)
+                slot += batch.num_rows
+
+    fields = "slot long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, more double, word binary, times long, key long"
+    parts = settle(rows.drop("learn").mapInArrow(run, fields), "parts")
+    zero = F.lit(0.0)
+    of_words = parts.where("word is not null").select("slot", "word", "times").join(costs, "word")
+    of_keys = parts.where("key is not null").select("slot", "key").join(values, "key")
+    tail = of_words.select("slot", (F.col("times") * F.col("known")).alias("t_known"), (F.col("times") * F.col("base")).alias("t_base"), zero.alias("t_more"))
+    tail = tail.unionByName(of_keys.select("slot", F.lit(0).cast("long").alias("t_known"), zero.alias("t_base"), F.col("value").alias("t_more")))
+    tail = tail.groupBy("slot").agg(*(F.sum(c).alias(c) for c in ("t_known", "t_base", "t_more")))
+    each = parts.where("n_tokens is not null").select("slot", "doc_id", "held_out", "n_tokens", "n_known", "base", "more").join(tail, "slot", "left")
+    log = F.col("base") + F.coalesce("t_base", zero) - F.col("n_tokens") * math.log10(symbols)
     return each.select(
         "doc_id",
         "held_out",
         "n_tokens",
-        F.col("known").alias("n_known"),
-        F.lit(tokens).cast("long").alias("train_tokens"),
-        (F.col("base") - F.col("n_tokens") * math.log10(tokens + distinct + 1)).alias("base_score"),
-        F.col("tree").alias("score"),
+        (F.col("n_known") + F.coalesce("t_known", F.lit(0).cast("long"))).alias("n_known"),
+        F.lit(learned).cast("long").alias("train_tokens"),
+        log.alias("base_score"),
+        (log + F.col("more") + F.coalesce("t_more", zero)).alias("score"),
     )

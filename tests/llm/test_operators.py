@@ -12,8 +12,10 @@ import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from orderflume.llm import golay, langid, neardup, packing, pieces, pii, quality, simhash, suffixtree, topk, toxicity
+from orderflume.llm.common import fold
 
 SMALL = "/root/testdata/sf0.001"
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -136,58 +138,96 @@ def test_quality_gradient_and_held_out(spark, docs, labels, odd, none):
 # --- language model ---------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("head", [100_000, 3])
-def test_base_scores_equal_brute_force(docs, head):
-    seen, texts = Counter(), {r.doc_id: r.text.encode().lower().split() + [b"\n"] for r in docs.collect()}
-    for i, words in texts.items():
-        if zlib.crc32(str(i).encode()) % 7 != 2:
+def tree_scores(texts, depth=2, gain=10.0):
+    """Base and tree scores of (words, learned) by dictionaries; the sizes of what is kept; and the probabilities."""
+    seen, after = Counter(), {}
+    for words, learned in texts:
+        if learned:
             seen.update(words)
-    n, v = sum(seen.values()), len(seen)
-    for r in suffixtree.score(docs, head=head).collect():
-        words = texts[r.doc_id]
-        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(words), sum(w in seen for w in words), n)
-        assert math.isclose(r.base_score, sum(math.log10((seen[w] + 1) / (n + v + 1)) for w in words), rel_tol=1e-9)
-        assert r.score < 0 and math.isfinite(r.score)
+            path = [None] * depth + words
+            for i in range(depth, len(path)):
+                for d in range(1, min(depth, i - depth + 1) + 1):
+                    after.setdefault(tuple(path[i - d : i]), Counter())[path[i]] += 1
+    symbols = sum(seen.values()) + len(seen) + 1
+    kept = {}
+
+    def p(context, word):
+        if not context:
+            return (seen[word] + 1) / symbols
+        above = p(context[1:], word)
+        if context not in kept:
+            return above
+        own = kept[context]
+        return (max(own[word] - 1, 0) + len(own) * above) / sum(own.values())
+
+    for d in range(1, depth + 1):
+        passed = {}
+        for context, own in after.items():
+            if len(context) == d:
+                total = sum(own.values())
+                nats = 0.0
+                for word, n in own.items():
+                    above = p(context[1:], word)
+                    nats += n * math.log((n - 1 + len(own) * above) / total / above)
+                if nats >= gain:
+                    passed[context] = own
+        kept |= passed
+    scores = []
+    for words, _ in texts:
+        path = [None] * depth + words
+        scores.append((sum(math.log10(p((), w)) for w in words), sum(math.log10(p(tuple(path[max(i - depth, depth - 1) : i]), path[i])) for i in range(depth, len(path)))))
+    return seen, scores, kept, p
+
+
+@pytest.mark.parametrize(("head", "most", "depth"), [(100_000, 2_000_000, 2), (3, 0, 2), (100, 500, 3)])
+def test_scores_equal_brute_force(docs, head, most, depth):
+    rows = docs.collect()
+    texts = [(r.text.encode().lower().split() + [b"\n"], zlib.crc32(str(r.doc_id).encode()) % 7 != 2) for r in rows]
+    seen, scores, kept, _ = tree_scores(texts, depth)
+    want = {r.doc_id: (w, learned, s) for r, (w, learned), s in zip(rows, texts, scores)}
+    got = suffixtree.score(docs, head=head, most=most, depth=depth).collect()
+    assert len(got) == len(rows) and {len(c) for c in kept} == set(range(1, depth + 1)) and len(kept) > 200
+    for r in got:
+        words, learned, (base, tree) = want[r.doc_id]
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(words), sum(w in seen for w in words), sum(seen.values()))
+        assert r.held_out is not learned
+        assert math.isclose(r.base_score, base, rel_tol=1e-9) and math.isclose(r.score, tree, rel_tol=1e-9)
 
 
 def test_tree_is_a_distribution():
-    tree = suffixtree.build([(97, 3), (98, 1), (32, 2), (10, 1), (1 << 56 | 97 << 8 | 98, 2), (1 << 56 | 97 << 8 | 32, 1)], 2)
-    for context in tree.nodes:
-        assert math.isclose(sum(10 ** tree.cost(context, a) for a in range(257)), 1, rel_tol=1e-9)
-
-
-def test_score_edges(odd, none):
+    rng = np.random.default_rng(3)
+    words = [bytes([97 + x]) for x in rng.zipf(1.5, 4000) % 12]
+    seen, _, kept, p = tree_scores([(words + words, True)])
+    assert len(kept) > 5
+    for context in [(), *kept]:  # the word that was not learned is one more symbol
+        assert math.isclose(sum(p(context, w) for w in [*seen, b"unknown"]), 1, rel_tol=1e-9)
+
+
+def test_order_of_words_matters_and_contexts_help_held_out_texts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    turned = F.when(F.col("doc_id") % 3 == 0, F.array_join(F.reverse(F.split("text", " ")), " ")).otherwise(F.col("text"))
+    more = docs.where(fold("doc_id", 7) == 2).withColumn("text", turned)
+    both = docs.where(fold("doc_id", 7) != 2).unionByName(more)
+    straight = {r.doc_id: r for r in suffixtree.score(docs).where("held_out").collect()}
+    mixed = {r.doc_id: r for r in suffixtree.score(both).where("held_out").collect()}
+    worse = [mixed[i].score < r.score for i, r in straight.items() if i % 3 == 0 and r.n_tokens > 50]
+    assert len(worse) > 10 and sum(worse) > 0.9 * len(worse)
+    assert all(math.isclose(mixed[i].score, r.score, rel_tol=1e-9) for i, r in straight.items() if i % 3)
+    assert sum(r.score for r in straight.values()) > sum(r.base_score for r in straight.values())
+
+
+def test_score_edges(spark, odd, none):
     rows = suffixtree.score(odd).collect()
     assert len(rows) == len(TEXTS) + 2 and sorted(r.n_tokens for r in rows)[:3] == [1, 1, 1]
+    texts = [(r.text or "").encode().lower().split() + [b"\n"] for r in odd.collect()]
+    ids = [r.doc_id for r in odd.collect()]
+    learned = [i is not None and zlib.crc32(str(i).encode()) % 7 != 2 for i in ids]
+    _, scores, _, _ = tree_scores(list(zip(texts, learned)))
+    key = lambda x: (str(x[0]), round(x[1], 6), round(x[2], 6))
+    assert sorted(key((r.doc_id, r.base_score, r.score)) for r in rows) == sorted(key((i, *s)) for i, s in zip(ids, scores))
     assert suffixtree.score(none).collect() == []
-
-
-@pytest.mark.parametrize("states", [200_000, 50])
-def test_every_context_that_passes_is_kept(spark, docs, states):
-    seen = Counter(w for r in docs.collect() for w in r.text.encode().lower().split())
-    unknown = [b"zzyzx", "żółw".encode(), b"q"]
-    rows = [(w, n, n) for w, n in seen.items()] + [(w, 1, 0) for w in unknown] + [(suffixtree.END, 7, 7)]
-    words = spark.createDataFrame(rows, "word binary, n long, n_train long")
-    counts = Counter()
-    for w, n, learned in rows[:-1]:
-        data = b" " + w + b" "
-        for i in range(1, len(data)):
-            for d in range(min(i, 6) + 1):
-                counts[d, data[i - d : i], data[i]] += learned
-    counts[0, b"", 10] += 7
-    counts[1, b" ", 10] += 7
-    total, gained = Counter(), Counter()
-    for (d, c, a), n in counts.items():
-        total[c] += n
-    for (d, c, a), n in counts.items():
-        if d and n:
-            gained[c] += n * math.log(n / total[c] * total[c[1:]] / counts[d - 1, c[1:], a])
-    kept = {c[i:] for c, g in gained.items() if g >= 10 for i in range(len(c) + 1)} | {b""}
-    tree = suffixtree.build([(d << 56 | int.from_bytes(c, "big") << 8 | a, n) for (d, c, a), n in counts.items() if c in kept and n], 6)
-    got = {bytes(r.word): r.found for r in suffixtree.word_costs(words, suffixtree.fit(words, 7), states).collect()}
-    assert len(kept) > 200 and got.keys() == {w for w, _, _ in rows}
-    for w, found in got.items():
-        assert math.isclose(found, tree.end() if w == suffixtree.END else tree.word(w), rel_tol=1e-9), w
+    alone = suffixtree.score(spark.createDataFrame([(None, "a b a b")], "doc_id long, text string")).first()
+    assert (alone.train_tokens, alone.n_known, alone.base_score, alone.score) == (0, 0, 0.0, 0.0)
 
 
 # --- pieces and packing -----------------------------------------------------------------
