@@ -9,7 +9,9 @@ add-one, as the base. With n of a context's N occurrences followed by a word and
 distribution is smoothed by one from every count: P(word) = (n - 1 + u S) / N, or u S / N if the word never came next, S
 being what the context's suffix gives. That sums to one, and words that came next once need not be stored. A context is
 kept if its distribution differs from its suffix's by at least ``GAIN`` nats over its occurrences (a divergence test);
-one that is not kept has the distribution of its suffix. However many pass, all are kept, in a table.
+one that is not kept has the distribution of its suffix. However many pass, all are kept, in a table. What came once can
+be no context that passes, so each level hands the next a filter of what came more often, of fixed size: nothing is lost
+by it, and the fuller it is, the more is counted in vain.
 
 So the log10 of P is the base's plus, for every suffix of the past that is kept, that of u / N and, where the word is
 stored, that of (n - 1 + u S) / u S. These two kinds of addend are rows of one table (key, uses, value). A key is 64 bits
@@ -30,7 +32,7 @@ import functools
 import math
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain, repeat
+from itertools import chain, islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -102,13 +104,14 @@ def mixed(context: np.ndarray, word: np.ndarray) -> np.ndarray:
 
 
 def states(words: list[bytes], size: np.ndarray, depth: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """By context length: the positions that have one, its key, and the key of it with the token that follows.
+    """By context length, from 0: the positions that have one, its key, and the key of it with the token that follows.
 
     The latter is the exclusive or of the former with the key of the context's suffix and the token.
     """
     key = np.fromiter(map(hashes().__getitem__, words), dtype=np.uint64, count=len(words))
     before = np.arange(len(words)) - np.repeat(np.cumsum(size) - size, size)
     own, context = key.copy(), np.zeros(len(words), dtype=np.uint64)
+    yield np.arange(len(words)), context, own
     for d in range(1, depth + 1):
         there = np.flatnonzero(before >= d - 1)
         last = np.where(before[there] >= d, own[there - d], START)
@@ -117,18 +120,49 @@ def states(words: list[bytes], size: np.ndarray, depth: int) -> Iterator[tuple[n
         yield there, context[there], key[there]
 
 
-def followers(rows: DataFrame, d: int) -> DataFrame:
-    """(context, symbol, n): counts of what follows contexts of d words; symbol is the key of the suffix and the word."""
+def filter_of(keys: DataFrame) -> np.ndarray:
+    """A filter of fixed size that holds all ``key``s, and others the more often the more there are."""
+    mask = " | ".join(f"shiftleft(1L, cast(shiftright(key, {6 * i}) & 63L as int))" for i in range(4))
+    blocks = keys.groupBy(F.shiftrightunsigned("key", 64 - FILTER_BITS).alias("block")).agg(F.expr(f"bit_or({mask})").alias("mask")).toArrow()
+    table = np.zeros(1 << FILTER_BITS, dtype=np.uint64)
+    table[blocks.column("block").to_numpy()] = blocks.column("mask").to_numpy().view(np.uint64)
+    return table
+
+
+def may_hold(table: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Whether the filter's block of each key has all its bits."""
+    mask = functools.reduce(np.bitwise_or, (np.uint64(1) << (key >> np.uint64(6 * i) & np.uint64(63)) for i in range(4)))
+    return table[key >> np.uint64(64 - FILTER_BITS)] & mask == mask
+
+
+def followers(rows: DataFrame, d: int, often: np.ndarray) -> DataFrame:
+    """(context, symbol, n): counts of what follows contexts of d words; symbol is the key of the suffix and the word.
+
+    ``often`` is a filter of what occurred more than once at the level above. A context that is not in it came once and
+    is left out; a word that came after the suffix only once is counted for its context under the symbol null.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast(often)
 
     def step(batch: pa.RecordBatch) -> dict:
-        strings, context, symbol, n = batch.column("text").to_pylist(), [], [], []
+        strings, context, symbol, n, single = batch.column("text").to_pylist(), [], [], [], []
         for lo, hi in in_steps(strings, STEP):
-            *_, (_, of, key) = states(*tokens(strings[lo:hi]), d)
-            every, at, count = np.unique(key, return_index=True, return_counts=True)
-            context.append(of[at])
-            symbol.append(of[at] ^ every)
-            n.append(count)
-        return {"context": np.concatenate(context).view(np.int64), "symbol": np.concatenate(symbol).view(np.int64), "n": np.concatenate(n)}
+            words, size = tokens(strings[lo:hi])
+            *_, (above, _, suffix), (there, of, key) = states(words, size, d)
+            may = np.zeros(len(words), dtype=bool)
+            may[above] = may_hold(shared.value, suffix)
+            past = may[there - 1]
+            if d == 1:
+                past[np.cumsum(size) - size] = True  # the start of a text
+            again = may[there]
+            both = past & again
+            of_both = of[both]
+            every, at, count = np.unique(key[both], return_index=True, return_counts=True)
+            alone, times = np.unique(of[past & ~again], return_counts=True)
+            context += [of_both[at], alone]
+            symbol += [of_both[at] ^ every, alone]
+            n += [count, times]
+            single += [np.zeros(len(at), dtype=bool), np.ones(len(alone), dtype=bool)]
+        return {"context": np.concatenate(context).view(np.int64), "symbol": pa.array(np.concatenate(symbol).view(np.int64), mask=np.concatenate(single)), "n": np.concatenate(n)}
 
     return arrow_map(rows.select("text"), step, "context long, symbol long, n long").groupBy("context", "symbol").agg(F.sum("n").alias("n"))
 
@@ -138,8 +172,8 @@ def level(counts: DataFrame, above: DataFrame, gain: float) -> DataFrame:
 
     ``above`` has the probabilities (symbol, p_above) that the suffixes give; p is that of the context, if it is kept.
     """
-    totals = counts.groupBy("context").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"))
-    often = settle(counts.where("n > 1").join(totals, "context"), "often")  # the others say nothing but their number
+    totals = counts.groupBy("context").agg(F.sum("n").alias("total"), F.sum(F.expr("if(symbol is null, n, 1)")).alias("kinds"))
+    often = settle(counts.where("n > 1 and symbol is not null").join(totals, "context"), "often")  # the others say nothing but their number
     found = lookup_join(often, above, "symbol")
     share = (F.col("n") - 1 + F.col("kinds") * F.col("p_above")) / F.col("total")
     once = F.max("kinds") - F.count(F.lit(1))
@@ -155,7 +189,7 @@ def fit(rows: DataFrame, words: DataFrame, symbols: int, depth: int = DEPTH, gai
     above = words.where("n_train > 1").groupBy(F.xxhash64("word").alias("symbol")).agg((F.sum("n_train") + 1).alias("n")).select("symbol", (F.col("n") / symbols).alias("p_above"))
     above, every = stage(above, "root"), []
     for d in range(1, depth + 1):
-        own = level(followers(rows, d), above, gain)
+        own = level(followers(rows, d, filter_of(above.select(F.col("symbol").alias("key")))), above, gain)
         above = own.select(F.col("key").alias("symbol"), F.col("p").alias("p_above"))
         kept = own.where("kept")
         every.append(kept.groupBy(F.col("context").alias("key")).agg(F.max("total").alias("uses"), F.log10(F.max("kinds") / F.max("total")).alias("value")))
@@ -164,12 +198,6 @@ def fit(rows: DataFrame, words: DataFrame, symbols: int, depth: int = DEPTH, gai
     return settle(functools.reduce(DataFrame.unionByName, every), "values")
 
 
-def may_hold(table: np.ndarray, key: np.ndarray) -> np.ndarray:
-    """Whether the filter's block of each key has all its bits."""
-    mask = functools.reduce(np.bitwise_or, (np.uint64(1) << (key >> np.uint64(6 * i) & np.uint64(63)) for i in range(4)))
-    return table[key >> np.uint64(64 - FILTER_BITS)] & mask == mask
-
-
 def lookups(values: DataFrame, most: int) -> tuple[DataFrame, tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """The rows that are to be joined; keys and values of the others, at most ``most``, and a filter of the joined ones."""
     order = F.floor(F.log2(F.col("uses").cast("double")) * 8).cast("int")
@@ -182,13 +210,9 @@ def lookups(values: DataFrame, most: int) -> tuple[DataFrame, tuple[np.ndarray,
         least = b
     top = values.where(order >= least).select("key", "value").toArrow()
     rest = values.where(order < least).select("key", "value")
-    mask = " | ".join(f"shiftleft(1L, cast(shiftright(key, {6 * i}) & 63L as int))" for i in range(4))
-    blocks = rest.groupBy(F.shiftrightunsigned("key", 64 - FILTER_BITS).alias("block")).agg(F.expr(f"bit_or({mask})").alias("mask")).toArrow()
-    table = np.zeros(1 << FILTER_BITS, dtype=np.uint64)
-    table[blocks.column("block").to_numpy()] = blocks.column("mask").to_numpy().view(np.uint64)
     key, value = top.column("key").to_numpy().view(np.uint64), top.column("value").to_numpy()
     by = np.argsort(key)
-    return rest, (np.append(key[by], np.uint64(2**64 - 1)), np.append(value[by], 0.0), table)
+    return rest, (np.append(key[by], np.uint64(2**64 - 1)), np.append(value[by], 0.0), filter_of(rest))
 
 
 def score(docs: DataFrame, folds: int = 7, held: int = 2, head: int = HEAD, most: int = STATES, depth: int = DEPTH, gain: float = GAIN) -> DataFrame:
@@ -223,7 +247,7 @@ def score(docs: DataFrame, folds: int = 7, held: int = 2, head: int = HEAD, most
             word_of.extend(i for i, _ in rare)
             word.extend(w for _, w in rare)
             times.extend(rare.values())
-            for there, *keys in states(found, size, depth):
+            for there, *keys in islice(states(found, size, depth), 1, None):
                 fit = np.ones(len(there), dtype=bool)
                 for k in keys:  # a word after a context counts only if the context does
                     own, own_of = k[fit], of[there[fit]]
