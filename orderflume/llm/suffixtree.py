@@ -135,16 +135,24 @@ def may_hold(table: np.ndarray, key: np.ndarray) -> np.ndarray:
     return table[key >> np.uint64(64 - FILTER_BITS)] & mask == mask
 
 
+def firsts(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The place of one of each distinct key, and how often it comes."""
+    order = np.argsort(keys)
+    sorted_keys = keys[order]
+    start = np.flatnonzero(np.append(True, sorted_keys[1:] != sorted_keys[:-1])[: len(keys)])
+    return order[start], np.diff(np.append(start, len(keys)))
+
+
 def followers(rows: DataFrame, d: int, often: np.ndarray) -> DataFrame:
     """(context, symbol, n): counts of what follows contexts of d words; symbol is the key of the suffix and the word.
 
     ``often`` is a filter of what occurred more than once at the level above. A context that is not in it came once and
-    is left out; a word that came after the suffix only once is counted for its context under the symbol null.
+    is left out; words that came after the suffix only once are counted together, as a negative n under the symbol 0.
     """
     shared = rows.sparkSession.sparkContext.broadcast(often)
 
     def step(batch: pa.RecordBatch) -> dict:
-        strings, context, symbol, n, single = batch.column("text").to_pylist(), [], [], [], []
+        strings, context, symbol, n = batch.column("text").to_pylist(), [], [], []
         for lo, hi in in_steps(strings, STEP):
             words, size = tokens(strings[lo:hi])
             *_, (above, _, suffix), (there, of, key) = states(words, size, d)
@@ -156,13 +164,13 @@ def followers(rows: DataFrame, d: int, often: np.ndarray) -> DataFrame:
             again = may[there]
             both = past & again
             of_both = of[both]
-            every, at, count = np.unique(key[both], return_index=True, return_counts=True)
+            at, count = firsts(key[both])
+            every = key[both][at]
             alone, times = np.unique(of[past & ~again], return_counts=True)
             context += [of_both[at], alone]
-            symbol += [of_both[at] ^ every, alone]
-            n += [count, times]
-            single += [np.zeros(len(at), dtype=bool), np.ones(len(alone), dtype=bool)]
-        return {"context": np.concatenate(context).view(np.int64), "symbol": pa.array(np.concatenate(symbol).view(np.int64), mask=np.concatenate(single)), "n": np.concatenate(n)}
+            symbol += [of_both[at] ^ every, np.zeros_like(alone)]
+            n += [count, -times]
+        return {"context": np.concatenate(context).view(np.int64), "symbol": np.concatenate(symbol).view(np.int64), "n": np.concatenate(n)}
 
     return arrow_map(rows.select("text"), step, "context long, symbol long, n long").groupBy("context", "symbol").agg(F.sum("n").alias("n"))
 
@@ -172,8 +180,8 @@ def level(counts: DataFrame, above: DataFrame, gain: float) -> DataFrame:
 
     ``above`` has the probabilities (symbol, p_above) that the suffixes give; p is that of the context, if it is kept.
     """
-    totals = counts.groupBy("context").agg(F.sum("n").alias("total"), F.sum(F.expr("if(symbol is null, n, 1)")).alias("kinds"))
-    often = settle(counts.where("n > 1 and symbol is not null").join(totals, "context"), "often")  # the others say nothing but their number
+    totals = counts.groupBy("context").agg(F.sum(F.abs("n")).alias("total"), F.sum(F.expr("if(n < 0, -n, 1)")).alias("kinds"))
+    often = settle(counts.where("n > 1").join(totals, "context"), "often")  # the others say nothing but their number
     found = lookup_join(often, above, "symbol")
     share = (F.col("n") - 1 + F.col("kinds") * F.col("p_above")) / F.col("total")
     once = F.max("kinds") - F.count(F.lit(1))
