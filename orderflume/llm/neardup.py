@@ -1,7 +1,8 @@
 """Near-duplicate vectors through a pivot-permutation index.
 
-Pivots are some of the vectors, chosen by a hash, their number growing with the square root of the table, no two of them
-with a cosine above ``APART``. So a dense group gets few pivots, however many vectors it holds, and its members share
+Vectors are compared with pivots by their direction from a centre, the mean of the candidates for pivots: where all of a
+table crowds around one direction, directions from its middle still differ. Pivots are some of the vectors, chosen by a
+hash, their number growing with the square root of the table, no two of them with a cosine above ``APART`` there. So a dense group gets few pivots, however many vectors it holds, and its members share
 them; only their lists grow. A vector is described by its ``PREFIX`` nearest pivots, in order, and entered in the inverted list of each. Two vectors that have at
 least ``SHARED`` pivots in common are compared; all pairs with a cosine of at least 0.95 among them link. A pair is
 counted in the list of its least common pivot alone. Within a list, pairs are compared as matrix products and leave as
@@ -67,18 +68,34 @@ def keep_apart(candidates: np.ndarray, want: int, apart: float = APART) -> np.nd
     return kept
 
 
+def seen_from(rows: np.ndarray, centre: np.ndarray) -> np.ndarray:
+    """Directions of unit vectors from ``centre``; none for one that lies there."""
+    moved = rows - centre
+    length = np.sqrt((moved * moved).sum(axis=1, keepdims=True))
+    return np.divide(moved, length, out=np.zeros_like(moved), where=length > 1e-9)
+
+
+def choose(candidates: np.ndarray, want: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pivots and the centre that they are seen from."""
+    centre = candidates.mean(axis=0)
+    if len(candidates) < 2 * want or np.linalg.norm(centre) < 1e-9:  # a few rows say little about the middle
+        centre = np.zeros(candidates.shape[1])
+    return keep_apart(seen_from(candidates, centre), want), centre
+
+
 def nearest(rows: np.ndarray, pivots: np.ndarray, prefix: int) -> np.ndarray:
     return np.concatenate([np.argsort(-(rows[a : a + BLOCK] @ pivots.T), axis=1, kind="stable")[:, :prefix] for a in range(0, len(rows), BLOCK)]).astype(np.int32)
 
 
-def entries(classes: DataFrame, pivots: np.ndarray, width: int, prefix: int) -> DataFrame:
+def entries(classes: DataFrame, pivots: np.ndarray, centre: np.ndarray, width: int, prefix: int) -> DataFrame:
     """(pivot, node, weight, near, embedding) for each of a vector's nearest pivots; near lists all of them."""
-    shared = classes.sparkSession.sparkContext.broadcast(pivots)
+    shared = classes.sparkSession.sparkContext.broadcast((pivots, centre))
     fields = "pivot int, node long, weight long, near array<int>, embedding array<double>"
 
     def step(batch: pa.RecordBatch) -> dict:
         rows = unit(batch.column("embedding"), width)
-        near = nearest(rows, shared.value, prefix)
+        pivots, centre = shared.value
+        near = nearest(seen_from(rows, centre), pivots, prefix)
         own = pa.array(np.repeat(np.arange(len(rows)), near.shape[1]))
         lists = pa.array(list(near), pa.list_(pa.int32()))
         return {"pivot": near.ravel()} | {k: (lists if k == "near" else batch.column(k)).take(own) for k in ("node", "weight", "near", "embedding")}
@@ -149,8 +166,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, prefix: in
         own = classes.where(F.size("embedding") == width)
         want = min(MOST_PIVOTS, n, max(32, math.ceil(PIVOTS_PER_ROOT * math.sqrt(n))))
         chosen = own.where(spread(F.col("node")) < CANDIDATES * want / n).select("node", "embedding").toArrow().sort_by("node")
-        pivots = keep_apart(unit(chosen.column("embedding"), width), want)
-        lists = entries(own, pivots, width, prefix)
+        pivots, centre = choose(unit(chosen.column("embedding"), width), want)
+        lists = entries(own, pivots, centre, width, prefix)
         sizes = {x["pivot"]: x["count"] for x in lists.groupBy("pivot").count().collect()}  # one row per pivot
         salts = np.ones(len(pivots), dtype=np.int64)
         for pivot, size in sizes.items():

@@ -430,3 +430,30 @@ def test_pivots_of_a_large_table_are_shared_in_a_dense_group():
     pick = np.random.default_rng(11).choice(len(i), 20_000)
     assert (near[i[pick]][:, :, None] == near[j[pick]][:, None, :]).any(axis=(1, 2)).mean() >= 0.99
     assert (np.triu(pivots @ pivots.T, 1) <= neardup.APART).all()
+
+
+@pytest.mark.parametrize("crowded", [0.0, 0.3, 0.5, 0.7, 0.8])
+@pytest.mark.parametrize("dense", [False, True])
+def test_pivots_of_crowded_vectors(crowded, dense):
+    """Vectors with a mean cosine of ``crowded``, a third of them around one if ``dense``: links are found in short lists."""
+    rng = np.random.default_rng(5)
+    n, m, width = 8000, 1000, 48
+
+    def units(x):
+        return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+    rows = rng.normal(size=(n, width))
+    rows[:, 0] = 0
+    rows = units(rows) * math.sqrt(1 - crowded)
+    rows[:, 0] = math.sqrt(crowded)
+    if dense:
+        rows[: n // 3] = units(rows[0] + 0.2 * units(rng.normal(size=(n // 3, width))))
+    other, cosine = rng.normal(size=(m, width)), rng.uniform(neardup.THRESHOLD, 0.99, (m, 1))
+    other = units(other - (other * rows[-m:]).sum(axis=1, keepdims=True) * rows[-m:])
+    rows = np.concatenate([rows, cosine * rows[-m:] + np.sqrt(1 - cosine**2) * other])
+    want = 2 * math.isqrt(len(rows))
+    pivots, centre = neardup.choose(rows[rng.permutation(len(rows))[: neardup.CANDIDATES * want]], want)
+    near = neardup.nearest(neardup.seen_from(rows, centre), pivots, neardup.PREFIX)
+    assert len(pivots) > 0.8 * want
+    assert np.bincount(near.ravel()).max() < (0.4 if dense else 0.1) * len(rows)
+    assert (near[n - m : n, :, None] == near[n:, None, :]).any(axis=(1, 2)).mean() > 0.98
