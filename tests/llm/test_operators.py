@@ -111,6 +111,37 @@ def test_regression_orders_thresholds():
     assert weights[0] > 0 and (np.diff(thresholds) > 0).all()
 
 
+def test_regression_ends_where_the_loss_is_least():
+    rng = np.random.default_rng(11)
+    value = rng.normal(size=(400, 3))
+    latent = value @ [1.0, -0.7, 0.3] + rng.logistic(size=400)
+    grade = (latent[:, None] > [0.0, 1.0, 2.0]).sum(axis=1)
+    share = np.where(grade > 0, 0.5 / (grade > 0).mean(), 0.5 / (grade == 0).mean()) / len(grade)
+
+    def loss(weights, thresholds):
+        total = toxicity.RIDGE / 2 * sum(w * w for w in weights)
+        for x, k, part in zip(value.tolist(), grade.tolist(), share.tolist()):
+            score = sum(a * b for a, b in zip(weights, x))
+            above = [1.0, *(1 / (1 + math.exp(t - score)) for t in thresholds), 0.0]
+            total -= part * math.log(above[k] - above[k + 1])
+        return total
+
+    weights, thresholds = toxicity.regress(np.repeat(np.arange(400), 3), np.tile(np.arange(3), 400), value.ravel(), grade, 3)
+    least = loss(weights, thresholds)
+    for i in range(3):
+        for move in (-0.1, 0.1):
+            assert loss(weights + move * np.eye(3)[i], thresholds) > least
+            assert loss(weights, thresholds + move * np.eye(3)[i]) > least
+
+
+def test_severity_of_one_text_by_hand():
+    model = toxicity.Model({"bad": 0, "good": 1, "^badn": 2}, np.array([1.5, -2.0, 0.7]), np.array([0.5, 1.0, 2.5]))
+    text = "bad Bad good other badness"
+    score = 1.5 * math.log(3) - 2.0 * math.log(2) + 0.7 * math.log(2)
+    want = [1 / (1 + math.exp(t - score)) for t in model.thresholds]
+    assert np.allclose(model.above([text, ""]), [want, [1 / (1 + math.exp(t)) for t in model.thresholds]])
+
+
 def test_toxic_documents_are_caught(spark, odd, none):
     bad = ["you moron", "such an idiot", "pure trash", "moron and trash"]
     rows = [(i, f"{bad[i % 4]} said number {i}" if i % 3 == 0 else f"a quiet day number {i} said so") for i in range(300)]
@@ -135,6 +166,21 @@ def test_quality_gradient_and_held_out(spark, docs, labels, odd, none):
     assert {r.score for r in quality.score(odd, quality.fit(none, labels)).collect()} == {0.5}
 
 
+def test_attention_equals_passage_by_passage():
+    rng = np.random.default_rng(2)
+    shapes = {"W": (quality.WIDTH, quality.HIDDEN), "b": quality.HIDDEN, "V": (quality.HIDDEN, quality.GATE), "U": (quality.HIDDEN, quality.GATE), "w": quality.GATE, "c": quality.HIDDEN, "d": 1}
+    model = {k: rng.normal(0, 0.3, shape) for k, shape in shapes.items()}
+    number = np.array([1, 4, 2])
+    rows = rng.normal(size=(7, quality.WIDTH))
+    got, weight = quality.forward(model, rows, number)[0], quality.forward(model, rows, number)[4]
+    for bag, (first, many) in enumerate(zip([0, 1, 5], number)):
+        hidden = [np.tanh(x @ model["W"] + model["b"]) for x in rows[first : first + many]]
+        raw = [sum(math.tanh(h @ model["V"][:, k]) / (1 + math.exp(-(h @ model["U"][:, k]))) * model["w"][k] for k in range(quality.GATE)) for h in hidden]
+        share = np.exp(raw) / np.exp(raw).sum()
+        assert np.allclose(weight[first : first + many], share)
+        assert math.isclose(got[bag], 1 / (1 + math.exp(-(sum(a * h for a, h in zip(share, hidden)) @ model["c"] + model["d"][0]))), rel_tol=1e-9)
+
+
 # --- language model ---------------------------------------------------------------------
 
 
