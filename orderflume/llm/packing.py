@@ -1,7 +1,10 @@
 """Packing documents into fixed-length sequences as a cutting-stock problem.
 
-Each document's ids (its tokens and an end id) are cut into pieces of ``LENGTH`` and a remainder. The histogram of piece
-lengths, in classes of ``GRID`` tokens and so of bounded size, is all that the driver sees. There, column generation
+Each document's ids (its tokens and an end id) are cut into pieces of ``LENGTH`` and a remainder. Sequences are filled in
+units of ``GRID`` tokens. A piece alone is charged whole units, which would waste much on short ones, so pieces of one
+exact length up to ``SHORT`` go in bundles that fill their units as nearly as can be (16 pieces of 5 tokens are 5 units);
+the few that make no whole bundle go alone. The histogram of lengths, exact up to ``SHORT`` and in units above, is of
+bounded size and all that the driver sees. There, column generation
 solves the linear program that covers the histogram with patterns (how many pieces of each class share a sequence): the
 basis gives a price per class, a knapsack dynamic program finds the pattern worth most at these prices, and it enters the
 basis until the bound shows that the rest is below ``GAP`` (or for 3000 rounds: any basis is a valid cover). Patterns are
@@ -10,7 +13,7 @@ ranked within their class, and a pattern's share of a class is a range of ranks,
 binary search in a small table.
 
 Ranks come from (class, salt) counts and a window within each, so that one very frequent length is spread over
-``SALTS`` groups. A sequence's pieces are at most LENGTH, and offsets are a running sum over them.
+``SALTS`` groups, with or without doc_ids; only rows that are equal throughout share a place in the order. A sequence's pieces are at most LENGTH, and offsets are a running sum over them.
 
 Defined results: null text is empty (its document is the end id alone); very long texts give as many pieces as needed;
 repeated rows are packed as often as they come; null doc_ids are packed too; an empty table gives none; extra columns are
@@ -33,6 +36,8 @@ from orderflume.llm.common import arrow_map, in_steps, stage, texts
 LENGTH = 4096
 END_ID = 2
 GRID = 16
+SHORT = 512  # tokens up to which pieces of one length are bundled
+BUNDLE = 1024  # tokens of a bundle at most
 GAP = 1e-3
 SALTS = 256
 CACHED_WORDS = 350_000
@@ -235,17 +240,44 @@ def shares(patterns: list[tuple[int, dict[int, int]]]) -> np.ndarray:
     return np.array(sorted(rows), dtype=np.int64).reshape(-1, 4)
 
 
+def bundles(length: int, grid: int = GRID, most: int = BUNDLE) -> int:
+    """How many pieces of this length go together: the number whose units are filled best, the least such."""
+    return min(range(1, max(1, min(grid, most // length)) + 1), key=lambda n: (-n * length % grid / (n * length), n))
+
+
+def classes(short: int, grid: int, room: int) -> np.ndarray:
+    """Rows (pieces of a bundle, its units, units of a piece alone) by class: lengths to ``short``, then units."""
+    rows = [(1, 0, 0)]
+    for n in range(1, short + 1):
+        q = bundles(n, grid)
+        rows.append((q, -(-q * n // grid), -(-n // grid)))
+    rows += [(1, u, u) for u in range(-(-short // grid) + 1, room + 1)]
+    return np.array(rows, dtype=np.int64)
+
+
 def pack(pieces: DataFrame, length: int = LENGTH, grid: int = GRID) -> DataFrame:
     """The pieces with sequence_id and offset. ``pieces`` should be a written table: it is read twice."""
-    kind = F.ceil(F.col("length") / grid).cast("long")
-    salted = pieces.withColumn("kind", kind).withColumn("salt", F.pmod(F.xxhash64("doc_id", "start"), F.lit(SALTS)))
-    counts = salted.groupBy("kind", "salt").agg(F.count(F.lit(1)).alias("n")).collect()  # at most classes x SALTS rows
     room = length // grid
-    table = np.zeros((room + 1, SALTS), dtype=np.int64)
+    short = min(SHORT, room * grid) // grid * grid
+    by_class = classes(short, grid, room)
+    units = F.ceil(F.col("length") / grid).cast("long") + (short - short // grid)
+    row = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+    salted = pieces.withColumn("kind", F.when(F.col("length") <= short, F.col("length")).otherwise(units))
+    salted = salted.withColumn("salt", F.pmod(F.xxhash64(*row), F.lit(SALTS)))
+    counts = salted.groupBy("kind", "salt").agg(F.count(F.lit(1)).alias("n")).collect()  # at most classes x SALTS rows
+    table = np.zeros((len(by_class), SALTS), dtype=np.int64)
     for r in counts:
         table[r["kind"], r["salt"]] = r["n"]
     first = np.cumsum(table, axis=1) - table
-    share = shares(cover(table[1:].sum(axis=1).astype(float), room))
+    together, wide, alone = by_class.T
+    whole, rest = np.divmod(table.sum(axis=1), together)
+    # Numbers of the first bundle and of the first single piece of each class among all that take as many units.
+    need, before_bundles, before_rest = np.zeros(room + 1, dtype=np.int64), np.zeros_like(whole), np.zeros_like(rest)
+    for items, size, before in ((whole, wide, before_bundles), (rest, alone, before_rest)):
+        for k in np.flatnonzero(items):
+            before[k] = need[size[k]]
+            need[size[k]] += items[k]
+    share = shares(cover(need[1:].astype(float), room))
     starts = share[:, 0] << 44 | share[:, 1]
     columns = pieces.columns
     small = pieces.sparkSession.sparkContext.broadcast((first, starts, share))
@@ -254,11 +286,14 @@ def pack(pieces: DataFrame, length: int = LENGTH, grid: int = GRID) -> DataFrame
         first, starts, share = small.value
         k, s, n = (batch.column(c).to_numpy() for c in ("kind", "salt", "row"))
         rank = first[k, s] + n - 1
-        own = share[np.searchsorted(starts, k << 44 | rank, side="right") - 1]
+        left = rank - whole[k] * together[k]
+        size = np.where(left < 0, wide[k], alone[k])
+        item = np.where(left < 0, before_bundles[k] + rank // together[k], before_rest[k] + left)
+        own = share[np.searchsorted(starts, size << 44 | item, side="right") - 1]
         kept = {f: batch.column(f) for f in columns}
-        return kept | {"kind": k, "rank": rank, "sequence_id": own[:, 3] + (rank - own[:, 1]) // own[:, 2]}
+        return kept | {"kind": k, "rank": rank, "sequence_id": own[:, 3] + (item - own[:, 1]) // own[:, 2]}
 
-    ranked = salted.withColumn("row", F.row_number().over(Window.partitionBy("kind", "salt").orderBy("doc_id", "start")).cast("long"))
+    ranked = salted.withColumn("row", F.row_number().over(Window.partitionBy("kind", "salt").orderBy(*row)).cast("long"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
     placed = arrow_map(ranked, place, f"{fields}, kind long, rank long, sequence_id long")
     before = Window.partitionBy("sequence_id").orderBy(F.desc("kind"), "rank").rowsBetween(Window.unboundedPreceding, -1)

@@ -320,6 +320,22 @@ def test_cover_meets_the_need_exactly():
     assert packing.cover(np.zeros(64), 64) == []
 
 
+@pytest.mark.parametrize("mean", [1, 5, 20, 80, 900])
+def test_short_pieces_leave_little_padding(spark, mean):
+    drawn = np.minimum(np.random.default_rng(mean).geometric(1 / mean, 2_000_000 // mean // 4), packing.LENGTH)
+    rows = [(None if i % 3 else i, 0, n, i, n) for i, n in enumerate(drawn.tolist())]
+    pieces = spark.createDataFrame(rows, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
+    found = packing.pack(pieces).toPandas()
+    assert sorted(found.length) == sorted(drawn.tolist()) and sorted(found.ids_crc32) == list(range(len(rows)))
+    for _, held in found.sort_values("offset").groupby("sequence_id"):
+        assert held.length.sum() <= packing.LENGTH and held.offset.tolist() == [0, *held.length.cumsum().tolist()[:-1]]
+    sequences = found.sequence_id.nunique()
+    assert sorted(found.sequence_id.unique()) == list(range(sequences))
+    padding = 1 - drawn.sum() / (sequences * packing.LENGTH)
+    print(mean, sequences, padding)
+    assert sequences <= -(-drawn.sum() // packing.LENGTH) * 1.02 + 2
+
+
 def test_packing_keeps_every_id_once(docs, odd, none):
     rows = packing.pack_documents(docs, TOKENIZER, keep_ids=True).toPandas()
     own = packing.coder(TOKENIZER).tokenizer
