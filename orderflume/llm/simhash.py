@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 from orderflume.llm import golay
 from orderflume.llm.common import arrow_map, stage, texts, unused
 from orderflume.llm.components import components
+from orderflume.llm.nearcopies import class_of, near_copies, shingles
 
 WORDS = 4
 SEED = 42
@@ -195,27 +196,27 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, most_bits: int = MOST_B
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the least doc_id, once if its row is repeated.
+    """One document of each group of near copies (five words, 0.8): the one with the least doc_id, its row once.
 
-    Different texts of one doc_id are told apart by their fingerprints. Documents without a doc_id stay, as nothing can
+    Different texts of one doc_id are told apart by their shingles. Documents without a doc_id stay, as nothing can
     name them.
     """
-    named = near_duplicates(docs).where("doc_id = component_id")
-    found = stage(named.groupBy("root").agg(F.min("doc_id").alias("kept_id"), F.min("fp").alias("kept_fp")).drop("root"), "first")
+    of_root = near_copies(docs).groupBy("root").agg(F.min("least").alias("kept_id"), F.min_by("node", "least").alias("kept_node"))
+    found = stage(of_root.drop("root"), "first")
     # Reserved names that the table does not use, and the schema as types: any column name comes through.
-    own_fp, kept_id, kept_fp = (unused(name, docs.columns) for name in ("own_fp", "kept_id", "kept_fp"))
-    found = found.toDF(kept_id, kept_fp)
+    own_node, kept_id, kept_node = (unused(name, docs.columns) for name in ("own_node", "kept_id", "kept_node"))
+    found = found.toDF(kept_id, kept_node)
     columns = docs.columns
     own = docs.join(found.select(kept_id), docs["doc_id"].cast("long") == found[kept_id], "left_semi")
 
     def step(batch: pa.RecordBatch) -> dict:
-        found = np.array([fingerprint(t.as_py() or b"") for t in batch.column("text").cast(pa.binary())], dtype=np.uint64)
-        return {c: batch.column(c) for c in columns} | {own_fp: found.view(np.int64)}
+        found = [class_of(shingles(t.as_py() or b"")) for t in batch.column("text").cast(pa.binary())]
+        return {c: batch.column(c) for c in columns} | {own_node: np.array(found, dtype=np.int64)}
 
-    fields = T.StructType([T.StructField(f.name, f.dataType) for f in docs.schema] + [T.StructField(own_fp, T.LongType())])
+    fields = T.StructType([T.StructField(f.name, f.dataType) for f in docs.schema] + [T.StructField(own_node, T.LongType())])
     own = arrow_map(own, step, fields)
-    kept = own.join(found, (own["doc_id"].cast("long") == found[kept_id]) & (own[own_fp] == found[kept_fp]), "left_semi")
-    return kept.dropDuplicates(["doc_id", own_fp]).drop(own_fp).unionByName(docs.where("doc_id is null"))
+    kept = own.join(found, (own["doc_id"].cast("long") == found[kept_id]) & (own[own_node] == found[kept_node]), "left_semi")
+    return kept.dropDuplicates(["doc_id", own_node]).drop(own_node).unionByName(docs.where("doc_id is null"))
 
 
 def digest(found: DataFrame) -> DataFrame:
