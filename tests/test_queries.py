@@ -45,3 +45,12 @@ def test_entry(spark):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
+
+
+def test_no_task_reads_all_lines_for_a_month(spark, tmp_path):
+    """With lines in several files, so that they are read by several tasks, a delta has several files as well."""
+    for name in ("orders", "lineitem"):
+        rows = spark.read.parquet(f"{SF}/{name}.parquet")
+        rows.repartition(3).write.parquet(f"{tmp_path}/{name}.parquet")
+    files = QUERIES["historical_scan_layouts"](spark, str(tmp_path)).inputFiles()
+    assert len({f.rpartition("/")[0] for f in files}) == 24 and len(files) > 24
