@@ -7,6 +7,7 @@ import pytest
 import __spark_entry__ as entry_points
 from orderflume.plans.oracle import ORACLE_SQL as ENGINE_SQL
 from orderflume.plans.queries import QUERIES as ENGINE_QUERIES
+from orderflume.sources.storage import Stage
 from tests.compare import difference, duck
 
 SF = "/root/testdata/sf0.001"
@@ -54,3 +55,12 @@ def test_no_task_reads_all_lines_for_a_month(spark, tmp_path):
         rows.repartition(3).write.parquet(f"{tmp_path}/{name}.parquet")
     files = QUERIES["historical_scan_layouts"](spark, str(tmp_path)).inputFiles()
     assert len({f.rpartition("/")[0] for f in files}) == 24 and len(files) > 24
+
+
+def test_catalog_events_come_from_tables_contracted_once(spark, monkeypatch):
+    """What is delivered is staged before it is halved; rows taken are read where they were delivered."""
+    staged, put = [], Stage.put
+    monkeypatch.setattr(Stage, "put", lambda self, name, df: staged.append(name) or put(self, name, df))
+    events = QUERIES["assembled_from_catalog"](spark, SF)
+    assert {"keyed_df_orders", "keyed_df_order_items", "keyed_df_payments"} <= set(staged)
+    assert all("/external/" in f for f in events.inputFiles())
