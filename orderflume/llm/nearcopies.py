@@ -8,8 +8,8 @@ of the segment: two texts at 0.8 share an anchor with that probability, and near
 that many texts hold, from a passage they share, is so split by what the rest of the texts says. Cells that stay dense are
 dealt over a grid of salts.
 
-Within a cell, texts whose fingerprints differ in at most ``FAR`` bits are candidates, of which a spanning forest goes on.
-Its components hold every set once, and there all are compared exactly; again a spanning forest of the true links goes on.
+Within a cell, texts whose fingerprints differ in at most ``FAR`` bits are candidates, whose components go on as stars.
+Their components hold every set once, and there all are compared exactly; again the components of true links go on so.
 Components too large for one task are dealt over a grid as well. Nothing is written per pair.
 
 Defined results: null text counts as empty; texts without words are one class; texts of one to four words have one
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from orderflume.llm import golay
 from orderflume.llm.common import arrow_map, stage, texts
-from orderflume.llm.components import components
+from orderflume.llm.components import components, star
 
 WORDS = 5
 LEAST = 0.8
@@ -142,23 +142,23 @@ def cells(nodes: DataFrame, dense: int = DENSE) -> DataFrame:
 
 
 def forest(count: int, near: Callable[[int, np.ndarray], np.ndarray]) -> tuple[list[int], list[int]]:
-    """A spanning forest over 0 to count - 1: near(p, others) tells which of the others p links with."""
+    """The components of 0 to count - 1, an edge from the least of each to every other: near(p, others) tells which of the others p links with."""
     u, v, left = [], [], np.arange(count)
     while len(left):
-        todo, left = [int(left[0])], left[1:]
+        first, left = int(left[0]), left[1:]
+        todo = [first]
         while todo and len(left):
-            p = todo.pop()
-            hit = near(p, left)
+            hit = near(todo.pop(), left)
             new = left[hit].tolist()
             left = left[~hit]
-            u += [p] * len(new)
+            u += [first] * len(new)
             v += new
             todo += new
     return u, v
 
 
 def candidates(cell_rows: DataFrame, far: int = FAR) -> DataFrame:
-    """A spanning forest of each cell's candidates, as edges (u, v)."""
+    """What is joined in each cell, as edges (u, v) from the least node to the others."""
 
     def solve(keys: np.ndarray, nodes: np.ndarray, bits: np.ndarray) -> Iterator[pa.RecordBatch]:
         first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
@@ -187,11 +187,21 @@ def candidates(cell_rows: DataFrame, far: int = FAR) -> DataFrame:
         if len(rest[0]):
             yield from solve(*rest)
 
-    return cell_rows.repartition("key").sortWithinPartitions("key").mapInArrow(run, "u long, v long")
+    return cell_rows.repartition("key").sortWithinPartitions("key", "node").mapInArrow(run, "u long, v long")
+
+
+def contracted(edges: DataFrame) -> DataFrame:
+    """Edges with the same components: each node with the least it has an edge to, and the others it has one to with that.
+
+    A text is in up to 48 cells, a salt each, and has an edge from nearly all of them; the cells of a large group have few
+    least nodes. So what goes round after round is about an edge a text, however many cells it is in.
+    """
+    apart = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    return star(stage(apart, "joined"), small=True)
 
 
 def similar(sets: list[np.ndarray], least: float = LEAST) -> tuple[list[int], list[int]]:
-    """A spanning forest of the pairs of sets, none empty, whose Jaccard similarity is at least ``least``."""
+    """Stars over the components of sets, none empty, that link if their Jaccard similarity is at least ``least``."""
     size = np.array([len(s) for s in sets])
     words, ids = np.unique(np.concatenate(sets), return_inverse=True)
     bounds = np.concatenate([[0], np.cumsum(size)])
@@ -225,7 +235,7 @@ def exact_links(grouped: DataFrame, most: int = MOST_BYTES) -> DataFrame:
         rows = salted.select(F.col("root").alias("a"), F.least("salt", "other").alias("b"), F.greatest("salt", "other").alias("c"), "node", "own")
 
     def solve(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.drop_duplicates("node")
+        group = group.drop_duplicates("node").sort_values("node")
         nodes = group["node"].to_numpy()
         u, v = similar([np.frombuffer(x, np.uint64) for x in group["own"]])
         return pd.DataFrame({"u": nodes[u], "v": nodes[v]})
@@ -238,7 +248,7 @@ def near_copies(docs: DataFrame, dense: int = DENSE, most: int = MOST_BYTES) ->
     rows = stage(sketches(docs), "sketches")
     kept = [F.first(c).alias(c) for c in ("f0", "f1", "f2", "anchors")]  # the same in all of a class
     nodes = stage(rows.groupBy("node").agg(F.min("doc_id").alias("least"), *kept), "classes")
-    maybe = components(candidates(cells(nodes, dense)))
+    maybe = components(contracted(candidates(cells(nodes, dense))))
     chosen = nodes.join(maybe, "node").select("node", "root", F.col("least").alias("doc_id"))
     given = texts(docs).join(chosen, "doc_id").select("node", "root", F.col("text").cast("binary").alias("text"))
 

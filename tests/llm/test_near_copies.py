@@ -95,3 +95,14 @@ def test_kept_documents_of_a_table(spark):
     expected = brute_components({r.doc_id: r.text for r in docs.collect()})
     assert {r.doc_id for r in simhash.keep_first(docs).collect()} == set(expected.values())
     assert simhash.keep_first(docs.limit(0)).collect() == []
+
+
+def test_edges_of_a_chain_start_at_its_least():
+    assert nearcopies.forest(4, lambda p, left: np.abs(left - p) == 1) == ([0, 0, 0], [1, 2, 3])
+
+
+def test_a_group_in_many_cells_is_about_one_edge_a_text(spark):
+    """A hundred texts that have an edge to each of three least ones, as from cells of one large group."""
+    edges = spark.createDataFrame([(m, x) for m in range(3) for x in range(3, 103)] * 2, "u long, v long")
+    found = {(r.u, r.v) for r in nearcopies.contracted(edges).collect()}
+    assert found == {(x, 0) for x in range(1, 103)}
