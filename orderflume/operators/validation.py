@@ -24,6 +24,13 @@ CHECKS = T.StructType(
 )
 ERROR, WARNING, INFO = "error", "warning", "info"
 
+# All text that a cast to double can read, and some that it cannot. A cast that fails costs an exception, some
+# microseconds for every id that is no number; text outside the pattern need not be tried.
+NUMBER_LIKE = (
+    "(?i)^[\\x00-\\x20]*[-+]?(nan|inf(inity)?|0x[0-9a-f]*[.]?[0-9a-f]*p[-+]?[0-9]+[df]?"
+    "|[0-9]*[.]?[0-9]*(e[-+]?[0-9]+)?[df]?)[\\x00-\\x20]*$"
+)
+
 
 # --- building blocks: counts as SQL text ------------------------------------------------
 
@@ -77,9 +84,9 @@ def negative_counts(df: DataFrame, text_numbers: bool = False) -> dict[str, str]
     if text_numbers:
         for f in df.schema:
             if isinstance(f.dataType, T.StringType) and f.name in data_columns(df):
-                number = f"try_cast(`{f.name}` as double)"
-                words = f"count_if(`{f.name}` is not null and {number} is null)"
-                below = rows_where(f"{number} < 0")
+                number = f"case when `{f.name}` rlike r'{NUMBER_LIKE}' then try_cast(`{f.name}` as double) end"
+                words = f"count_if(`{f.name}` is not null and ({number}) is null)"
+                below = rows_where(f"({number}) < 0")
                 counts[f.name] = below if f.name in declared else f"case when {words} = 0 then {below} else 0L end"
     return counts
 

@@ -157,3 +157,13 @@ def test_checks_counted_while_writing_equal_those_of_a_second_read(spark, tmp_pa
     read = [r.asDict() for r in validation.validate_table(again, TABLES[table]).collect()]
     order_of = lambda f: (f["rule"], f["column_name"] or "")
     assert sorted(watched.findings(), key=order_of) == sorted(read, key=order_of) != []
+
+
+def test_all_text_that_reads_as_a_number_is_tried(spark):
+    """Only text that may be a number is cast, which leaves out no number."""
+    numbers = ["1", " -1 ", "-1e5", "+.5", "5.", "1d", "-2F", "0x1p3", "-0x.8P-2f", "NaN", "nan", "-Infinity", "inf", "+INF", "\t7\n", "-0"]
+    others = ["abc", "o12", "s1", "1_0", "1 2", "i", "n1", "٣", "5f3a", "1e5x"]
+    looked_at = spark.createDataFrame([(v,) for v in numbers + others], "v string").selectExpr(
+        "v", "try_cast(v as double) is not null as number", f"v rlike r'{validation.NUMBER_LIKE}' as tried"
+    )
+    assert {(r.v, r.number, r.tried) for r in looked_at.collect()} == {(v, True, True) for v in numbers} | {(v, False, False) for v in others}
