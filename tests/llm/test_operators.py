@@ -7,6 +7,7 @@ import math
 import re
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -276,6 +277,26 @@ def test_score_edges(spark, odd, none):
     assert (alone.train_tokens, alone.n_known, alone.base_score, alone.score) == (0, 0, 0.0, 0.0)
 
 
+def test_word_keys_tell_words_apart():
+    words = [b"a", b"A", b"ab", b"ba", "wörd".encode(), b"x" * 64, b"X" * 65, b"y" * 3_000_000, b"b"]
+    text = b" \t" + b" ".join([*words, b"a" * 1_048_560, b"cd ef"]) + b"\r\n\x0b\x0c"
+    found, size = suffixtree.tokens([text, b"", text.upper(), b" "], 42)
+    split = [text.lower().split(), [], text.upper().lower().split(), []]
+    assert size.tolist() == [len(s) + 2 for s in split]
+    want = [w for s in split for w in ("start", *s, "end")]
+    assert len(set(found.tolist())) == len(set(want)) == len(set(zip(found.tolist(), want)))
+
+
+def test_tree_leaves_only_its_scores_staged(spark):
+    path = "/root/testdata/sf0.01/documents.parquet"
+    root = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    size = lambda at: sum(p.stat().st_size for p in (at.rglob("*.parquet") if at.is_dir() else [at]) if p.is_file())
+    before = size(root)
+    rows = suffixtree.score(spark.read.parquet(path)).count()
+    assert rows == spark.read.parquet(path).count()
+    assert size(root) - before < 0.1 * size(Path(path))
+
+
 # --- pieces and packing -----------------------------------------------------------------
 
 
