@@ -59,7 +59,7 @@ STATES = 2_000_000  # broadcast; the rest is joined
 HEAD = 100_000
 FILTER_BITS = 21  # 64-bit blocks of the filter, as a power of two
 BUCKET = 20  # tokens that a bucket of counts stands for, as a power of two; four times as many in scoring
-STEP = 8_000_000  # bytes of text that are worked on at once
+STEP = 4_000_000  # bytes of text that are worked on at once
 CHUNK = 1 << 20  # bytes that are hashed at once
 LONG = 64
 SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
@@ -348,7 +348,7 @@ def score(docs: DataFrame, folds: int = 7, held: int = 2, head: int = HEAD, most
     def part(batch: pa.RecordBatch, slot: int) -> Iterator[pa.RecordBatch]:
         words_held, held, filter_ = shared.value
         strings = batch.column("text").to_pylist()
-        for lo, hi in in_steps(strings, STEP):
+        for lo, hi in in_steps(strings, STEP // 2):  # beside the tables that every worker holds
             own, size = tokens(strings[lo:hi], seed)
             n, of = hi - lo, np.repeat(np.arange(hi - lo, dtype=np.uint16 if hi - lo < 1 << 16 else np.uint32), size)
             place, hit = places(words_held[0], own)
